@@ -1 +1,187 @@
-"""Queries through files."""
+"""Queries that go through files: landed CSV, tables, samples, archives, audit, streaming.
+
+The derived rows are written to a new folder below the cluster's shared scratch folder and
+read back through the library's own sources and plans. The SQL side computes the same
+answer straight from the driver tables.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from urnalake import schema as S
+from urnalake.checks import inputs as I
+from urnalake.checks.registry import check
+from urnalake.checks.report_checks import NATIONAL_SQL, REGIONAL_SQL, STATE_SQL, rounded
+from urnalake.checks.silver_checks import _LANDED, _SQL_TYPES, _nullified, _sample_sql
+from urnalake.operators import audit, rollups
+from urnalake.operators.ranking import exact_sample
+from urnalake.plans import bronze as bronze_plan
+from urnalake.plans import silver as silver_plan
+from urnalake.plans.lake import Lake
+from urnalake.plans.reports import report_of
+from urnalake.plans.years import run_years
+from urnalake.session import scratch_folder
+from urnalake.sources import archives, audit_log, files, landed_csv, tables
+from urnalake.streaming.bronze import load_new_files
+
+_TYPED_SQL = ", ".join(
+    f"CAST({_nullified(c)} AS {_SQL_TYPES[c]}) AS {c}" if c in _SQL_TYPES else f"{_nullified(c)} AS {c}"
+    for c in _LANDED
+)
+
+
+def _land(rows, folder: str, by_year: bool = False) -> None:
+    """Write rows as landed CSV text files."""
+    writer = rows.write.options(sep=S.CSV_SEPARATOR, header="true")
+    (writer.partitionBy("year") if by_year else writer).csv(folder)
+
+
+def _landed_years(spark, sf_dir: str) -> str:
+    """Landed files of the derived rows, one folder per year."""
+    folder = scratch_folder(spark, "landed")
+    rows = I.bronze(spark, sf_dir)
+    _land(rows.withColumn("year", F.col("ANO_ELEICAO")), folder, by_year=True)
+    return folder
+
+
+@check(I.with_landed(f"SELECT {_TYPED_SQL} FROM landed"))
+def csv_roundtrip(spark, sf_dir):
+    """Landed text written as CSV, read back, null tokens and types applied."""
+    folder = scratch_folder(spark, "csv")
+    _land(I.landed(spark, sf_dir), folder)
+    return landed_csv.typed(landed_csv.read_landed(spark, folder))
+
+
+def _table_of_years(spark, sf_dir: str) -> str:
+    root = scratch_folder(spark, "silver")
+    rows = I.silver(spark, sf_dir).drop("Ano").withColumn("year", F.col("ANO_ELEICAO"))
+    rows.write.options(**tables.PARQUET_OPTIONS).partitionBy("year").parquet(root)
+    return root
+
+
+@check(I.with_silver(f"SELECT * FROM ({REGIONAL_SQL}) WHERE Ano IN (1996, 1999)"))
+def table_roundtrip(spark, sf_dir):
+    """Rollup over two years of a year-partitioned silver table; a third year has no data."""
+    root = _table_of_years(spark, sf_dir)
+    chosen = tables.read_years(spark, root, [1996, 1999, 2024])
+    return rounded(rollups.regional_by_year(chosen))
+
+
+@check(I.with_silver(f"SELECT * FROM ({STATE_SQL}) WHERE Ano <> 1999"))
+def table_replace_year(spark, sf_dir):
+    """One year replaced by nothing, the others untouched."""
+    root = _table_of_years(spark, sf_dir)
+    nothing = tables.read_year(spark, root, 1999).where(F.lit(False))
+    tables.write_year(nothing, root, 1999)
+    all_years = tables.read_years(spark, root, tables.years_in(spark, root))
+    return rounded(rollups.state_by_year(all_years))
+
+
+@check(_sample_sql(100).replace("* EXCLUDE (n)", ", ".join([*I.REQUIRED, "NOME_REGIAO", "Ano"])))
+def sample_roundtrip(spark, sf_dir):
+    """Exact samples written as CSV per year and read back with silver types."""
+    folder = scratch_folder(spark, "samples")
+    sample = exact_sample(I.silver(spark, sf_dir), hash_columns=I.REQUIRED)
+    tables.write_samples(sample.withColumn("year", F.col("Ano")).drop("Ano"), folder)
+    return tables.read_samples(spark, folder).select(*I.REQUIRED, S.REGION, "Ano")
+
+
+def _lake(spark, sf_dir: str) -> tuple[Lake, list[int]]:
+    """Bronze and silver of all years, built by the audited plans from landed files."""
+    landed = _landed_years(spark, sf_dir)
+    years = tables.years_in(spark, landed)
+    lake = Lake(scratch_folder(spark, "lake"))
+    run_years(lambda y: bronze_plan.ingest_year(spark, lake, y, f"{landed}/year={y}"), years)
+    run_years(lambda y: silver_plan.build_silver_year(spark, lake, y), years)
+    return lake, years
+
+
+@check(I.with_silver(NATIONAL_SQL))
+def lake_end_to_end(spark, sf_dir):
+    """Landed files to bronze to silver to report."""
+    lake, years = _lake(spark, sf_dir)
+    return rounded(report_of(tables.read_years(spark, lake.silver, years), years).national)
+
+
+@check(
+    I.with_silver(
+        f"""SELECT '{S.SILVER_DATASET}' AS dataset, b.ANO_ELEICAO AS ano, '{S.STATUS_OK}' AS status,
+  count(*) AS linhas_antes, count(b.SG_UF) AS linhas_depois, true AS same_bronze_rows
+FROM bronze b GROUP BY b.ANO_ELEICAO"""
+    )
+)
+def lake_audit(spark, sf_dir):
+    """Audit rows of the plans: true row counts before and after the null removal."""
+    lake, _ = _lake(spark, sf_dir)
+    bronze_log = audit.latest(audit_log.read_log(spark, lake.bronze_log, S.BRONZE_AUDIT_SCHEMA))
+    silver_log = audit.latest(audit_log.read_log(spark, lake.silver_log, S.SILVER_AUDIT_SCHEMA))
+    same = F.col("linhas") == F.col("linhas_antes")
+    return silver_log.join(bronze_log.select("ano", "linhas"), "ano").select(
+        "dataset", "ano", "status", "linhas_antes", "linhas_depois", same.alias("same_bronze_rows")
+    )
+
+
+@check(
+    I.with_bronze(
+        f"""SELECT *, ANO_ELEICAO AS year, 'tse:{S.BRONZE_DATASET}:' || CAST(ANO_ELEICAO AS VARCHAR)
+  AS _metadata_source FROM bronze"""
+    )
+)
+def stream_bronze(spark, sf_dir):
+    """Landed files loaded by the file stream; a second run finds nothing new."""
+    landed = _landed_years(spark, sf_dir)
+    root = scratch_folder(spark, "stream")
+    for _ in range(2):
+        load_new_files(spark, landed, f"{root}/table", f"{root}/checkpoint", I.REQUIRED)
+    return spark.read.parquet(f"{root}/table").drop(S.LINEAGE_TIMESTAMP)
+
+
+def _zip_files(csv_files, out_dir: str):
+    """One archive per CSV file, with two smaller members and one of another kind."""
+
+    def zip_each(batches):
+        import hashlib
+        import zipfile
+
+        import pandas as pd
+
+        for batch in batches:
+            for path in batch["path"]:
+                source, inside = files.open_filesystem(path)
+                name = hashlib.sha256(path.encode()).hexdigest()[:16]
+                archive_path = f"{out_dir}/{name}.zip"
+                target, target_inside = files.open_filesystem(archive_path)
+                target.create_dir(target_inside.rsplit("/", 1)[0], recursive=True)
+                with (
+                    source.open_input_stream(inside) as stream,
+                    target.open_output_stream(target_inside) as sink,
+                    zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as archive,
+                ):
+                    archive.writestr("first.csv", "A;B\n1;2\n")
+                    with archive.open("rows.csv", "w", force_zip64=True) as member:
+                        for block in files.chunks(stream):
+                            member.write(block)
+                    archive.writestr("notes.txt", "no rows")
+                    archive.writestr("last.csv", "A;B\n")
+                yield pd.DataFrame({"archive": [archive_path]})
+
+    return csv_files.select("path").mapInPandas(zip_each, "archive string")
+
+
+@check(I.with_bronze(f"SELECT {', '.join(I.REQUIRED)} FROM bronze"))
+def archive_landing(spark, sf_dir):
+    """Archives of landed files: the largest CSV of each is extracted and read."""
+    landed = _landed_years(spark, sf_dir)
+    root = scratch_folder(spark, "archives")
+    _zip_files(files.list_files(spark, landed, "*.csv"), f"{root}/zip").write.parquet(f"{root}/made")
+    found = files.list_files(spark, f"{root}/zip", "*.zip")
+    archives.land_archives(spark, found, f"{root}/landing")
+    extracted = landed_csv.read_landed(spark, f"{root}/landing/*/raw.csv")
+    return landed_csv.typed(extracted)
+
+
+@check()
+def file_checksums(spark, sf_dir):
+    """Size and SHA-256 of the driver's own table files."""
+    return files.digests(files.list_files(spark, sf_dir, "*.parquet"))

@@ -207,7 +207,7 @@ def years_of_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 def work_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(dataset, ano) of all runs and of the years after them, which have no run yet."""
     keys = audit_runs(spark, sf_dir).select("dataset", "ano").distinct()
-    return keys.unionByName(keys.select("dataset", (F.col("ano") + 7).alias("ano"))).distinct()
+    return keys.select("dataset", F.explode(F.array("ano", F.col("ano") + 7)).alias("ano")).distinct()
 
 
 WORK_MANIFEST_SQL = """manifest AS (

@@ -26,6 +26,10 @@ def top_by_turnout(bronze: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
+_GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+_SLICES = 1000
+
+
 def exact_sample(
     df: DataFrame,
     n: int = S.SAMPLE_ROWS,
@@ -35,21 +39,20 @@ def exact_sample(
 ) -> DataFrame:
     """Exactly n rows of each ``by`` group (all rows of smaller groups), the same on every run.
 
-    Ranking by a content hash is a top-n per group: Spark keeps at most n rows per group
-    and map task before the shuffle, so a year with a third of all rows costs no more than
-    any other. That holds up to the optimizer's group-limit threshold; for a larger n the
-    same two steps are spelled out below.
+    Ranking by a content hash makes this a top-n per group. Spark keeps at most n rows per
+    group and map task before a shuffle; as the tasks may be very many, they are merged in
+    slices of tasks first, so the last step ranks at most n rows per slice however large a
+    group is. Rows that tie are identical, so the slices do not influence the result.
     """
+    conf = df.sparkSession.conf
+    if n > int(conf.get(_GROUP_LIMIT, "1000")):
+        conf.set(_GROUP_LIMIT, str(n))  # keep the reduction before the shuffle for large n too
     columns = hash_columns or df.columns
-    keyed = df.withColumn("__key", sample_key(columns, seed))
     order = [F.col("__key")] + [F.asc_nulls_first(quoted(c)) for c in columns]
-    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if n > threshold:
-        # Thin out within slices of each group first; the slice comes from the row's
-        # position, not its content, so identical rows spread over the slices as well.
-        slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        keyed = keyed.withColumn("__slice", F.pmod(F.monotonically_increasing_id(), F.lit(slices)))
-        in_slice = Window.partitionBy(quoted(by), "__slice").orderBy(*order)
-        keyed = keyed.withColumn("__n", F.row_number().over(in_slice)).where(F.col("__n") <= n)
-    ranked = keyed.withColumn("__n", F.row_number().over(Window.partitionBy(quoted(by)).orderBy(*order)))
-    return ranked.where(F.col("__n") <= n).select(*[quoted(c) for c in df.columns])
+    keyed = df.withColumns(
+        {"__key": sample_key(columns, seed), "__slice": F.pmod(F.spark_partition_id(), F.lit(_SLICES))}
+    )
+    for group in ([quoted(by), F.col("__slice")], [quoted(by)]):
+        rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+        keyed = keyed.withColumn("__n", rank).where(F.col("__n") <= n).drop("__n")
+    return keyed.select(*[quoted(c) for c in df.columns])

@@ -10,6 +10,7 @@ from urnalake import schema as S
 from urnalake.operators import audit
 from urnalake.operators.quality import require_contract
 from urnalake.plans.lake import Lake
+from urnalake.plans.years import run_years
 from urnalake.sources import archives, audit_log, files, landed_csv, manifest, tables
 
 
@@ -70,7 +71,6 @@ def ingest(spark: SparkSession, lake: Lake, origins: dict[int, str], encoding: s
     if invalid:
         raise ValueError(f"invalid manifest rows: {[tuple(r) for r in invalid]}")
     log = audit_log.read_log(spark, lake.bronze_log, S.BRONZE_AUDIT_SCHEMA)
-    work = audit.pending_bronze(requested, log).orderBy("ano").collect()
-    for row in work:
-        ingest_year(spark, lake, row["ano"], row["origin"], encoding)
-    return [row["ano"] for row in work]
+    work = {row["ano"]: row["origin"] for row in audit.pending_bronze(requested, log).collect()}
+    run_years(lambda year: ingest_year(spark, lake, year, work[year], encoding), sorted(work))
+    return sorted(work)

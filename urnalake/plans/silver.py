@@ -12,6 +12,7 @@ from urnalake.operators import audit
 from urnalake.operators.quality import require_schema
 from urnalake.operators.silver import to_silver
 from urnalake.plans.lake import Lake
+from urnalake.plans.years import run_years
 from urnalake.sources import audit_log, tables
 
 
@@ -51,7 +52,6 @@ def build_silver(spark: SparkSession, lake: Lake, years: list[int]) -> list[int]
         silver_years=tables.years_frame(spark, tables.years_in(spark, lake.silver)),
         bronze_years=tables.years_frame(spark, tables.years_in(spark, lake.bronze)),
     )
-    pending = [row["ano"] for row in work.orderBy("ano").collect()]
-    for year in pending:
-        build_silver_year(spark, lake, year)
+    pending = sorted(row["ano"] for row in work.collect())
+    run_years(lambda year: build_silver_year(spark, lake, year), pending)
     return pending

@@ -45,7 +45,9 @@ def record(
 
 
 def append(row: DataFrame, root: str) -> None:
-    row.write.mode("append").parquet(root)
+    """Add one row in a folder of its own, so that runs at the same time never share a commit."""
+    run_id = row.select("run_id").first()["run_id"]
+    row.drop("run_id").write.parquet(f"{root.rstrip('/')}/run_id={run_id}")
 
 
 def bronze_success(spark, dataset, year, start, end, rows, size_bytes, checksum) -> DataFrame:
