@@ -1,0 +1,94 @@
+import pytest
+from helpers import HEADER, write_text
+
+from urnalake import schema as S
+from urnalake.plans.bronze import bronze_frame
+from urnalake.sources import landed_csv
+
+LINE = "2022;12345;Recife;PE;1000;800;200"
+
+
+def test_minimal_file(spark, tmp_path):
+    path = write_text(tmp_path / "a.csv", HEADER, LINE)
+    df = bronze_frame(spark, path, "tse:comparecimento_abstencao:2022")
+    expected = [(f.name, f.dataType.simpleString()) for f in S.BRONZE_SCHEMA if f.name in S.REQUIRED_FIELDS]
+    assert df.dtypes == expected + [(S.LINEAGE_TIMESTAMP, "timestamp"), (S.LINEAGE_SOURCE, "string")]
+    row = df.first()
+    assert row[:7] == (2022, 12345, "Recife", "PE", 1000, 800, 200)
+    assert row[S.LINEAGE_SOURCE] == "tse:comparecimento_abstencao:2022"
+
+
+def test_one_timestamp_per_run(spark, tmp_path):
+    path = write_text(tmp_path / "a.csv", HEADER, *[LINE] * 1000)
+    df = bronze_frame(spark, path, "x")
+    assert df.count() == 1000
+    assert df.select(S.LINEAGE_TIMESTAMP).distinct().count() == 1
+
+
+def test_null_tokens_and_optional_and_unknown_columns(spark, tmp_path):
+    header = HEADER + ";NR_ZONA;NR_TURNO;DS_PERFIL"
+    path = write_text(tmp_path / "a.csv", header, LINE + ";7;1;abc", "2022;1;#NULO#;PE;#NE#;8;2;#NE#;2;#NULO#")
+    df = bronze_frame(spark, path, "x")
+    types = dict(df.dtypes)
+    assert (types["NR_ZONA"], types["NR_TURNO"], types["DS_PERFIL"]) == ("int", "tinyint", "string")
+    second = df.where("CD_MUNICIPIO = 1").first()
+    assert (second["NM_MUNICIPIO"], second["QT_APTOS"], second["NR_ZONA"], second["DS_PERFIL"]) == (None,) * 4
+
+
+def test_columns_bind_by_name(spark, tmp_path):
+    path = write_text(
+        tmp_path / "a.csv",
+        "CD_MUNICIPIO;ANO_ELEICAO;SG_UF;NM_MUNICIPIO;QT_ABSTENCAO;QT_COMPARECIMENTO;QT_APTOS",
+        "12345;2022;PE;Recife;200;800;1000",
+    )
+    row = bronze_frame(spark, path, "x").first()
+    assert (row["ANO_ELEICAO"], row["NM_MUNICIPIO"], row["QT_APTOS"], row["QT_ABSTENCAO"]) == (2022, "Recife", 1000, 200)
+
+
+def test_files_with_different_headers_do_not_mix(spark, tmp_path):
+    write_text(tmp_path / "d" / "a.csv", HEADER, LINE)
+    names = HEADER.split(";")
+    swapped = ";".join([*names[:4], names[5], names[4], names[6]])
+    write_text(tmp_path / "d" / "b.csv", swapped, LINE)
+    with pytest.raises(Exception, match="(?i)header"):
+        bronze_frame(spark, str(tmp_path / "d"), "x").collect()
+
+
+def test_unreadable_number_fails(spark, tmp_path):
+    path = write_text(tmp_path / "a.csv", HEADER, LINE.replace("1000", "foo"))
+    with pytest.raises(Exception, match="column QT_APTOS: cannot read 'foo'"):
+        bronze_frame(spark, path, "x").collect()
+
+
+def test_encodings(spark, tmp_path):
+    path = write_text(tmp_path / "a.csv", HEADER, LINE.replace("Recife", "SÃO PAULO"), encoding="latin-1")
+    assert bronze_frame(spark, path, "x").first()["NM_MUNICIPIO"] == "S�O PAULO"
+    assert bronze_frame(spark, path, "x", encoding="ISO-8859-1").first()["NM_MUNICIPIO"] == "SÃO PAULO"
+
+
+def test_quotes_and_separators_inside_fields(spark, tmp_path):
+    path = write_text(tmp_path / "a.csv", HEADER, '"2022";"1";"Sant""Ana; do \\ Sul";"PE";"10";"8";"2"')
+    assert bronze_frame(spark, path, "x").first()["NM_MUNICIPIO"] == 'Sant"Ana; do \\ Sul'
+
+
+def test_short_line_is_padded(spark, tmp_path):
+    path = write_text(tmp_path / "a.csv", HEADER, LINE, "2022;1;Olinda;PE;10;8")
+    rows = {r["NM_MUNICIPIO"]: r["QT_ABSTENCAO"] for r in bronze_frame(spark, path, "x").collect()}
+    assert rows == {"Recife": 200, "Olinda": None}
+
+
+def test_long_line_fails(spark, tmp_path):
+    path = write_text(tmp_path / "a.csv", HEADER, LINE, '2022;1;"a;b";PE;10;8;2;9')
+    with pytest.raises(Exception, match="more than 7 fields"):
+        bronze_frame(spark, path, "x").collect()
+
+
+def test_short_line_with_quoted_separators_is_not_long(spark, tmp_path):
+    path = write_text(tmp_path / "a.csv", HEADER, '2022;1;"a;b;c;d;e";PE;10;8')
+    assert bronze_frame(spark, path, "x").first()["QT_ABSTENCAO"] is None
+
+
+def test_fewer_splits_keeps_small_inputs_parallel(spark, tmp_path):
+    df = spark.range(0, 1000, 1, 64)
+    assert landed_csv.fewer_splits(df, 10).rdd.getNumPartitions() == 8
+    assert landed_csv.fewer_splits(df, 20 << 30).rdd.getNumPartitions() == 20

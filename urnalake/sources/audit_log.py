@@ -29,25 +29,26 @@ def record(
     end: datetime,
     **values: object,
 ) -> DataFrame:
-    """One log row; times are stored as instants, the duration follows from them."""
+    """One log row without its run id; times are instants, the duration follows from them."""
     row = {
         "dataset": dataset,
         "ano": year,
         "timestamp_inicio": start.astimezone(UTC),
         "timestamp_fim": end.astimezone(UTC),
         "duracao_segundos": (end - start).total_seconds(),
-        "run_id": uuid.uuid4().hex,
         **values,
     }
     return spark.range(1, numPartitions=1).select(
-        *[F.lit(row.get(f.name)).cast(f.dataType).alias(f.name) for f in layout]
+        *[F.lit(row.get(f.name)).cast(f.dataType).alias(f.name) for f in layout if f.name != "run_id"]
     )
 
 
 def append(row: DataFrame, root: str) -> None:
-    """Add one row in a folder of its own, so that runs at the same time never share a commit."""
-    run_id = row.select("run_id").first()["run_id"]
-    row.drop("run_id").write.parquet(f"{root.rstrip('/')}/run_id={run_id}")
+    """Add one row in a folder of its own, so that runs at the same time never share a commit.
+
+    The folder name is the run id, which readers see as a column.
+    """
+    row.write.parquet(f"{root.rstrip('/')}/run_id={uuid.uuid4().hex}")
 
 
 def bronze_success(spark, dataset, year, start, end, rows, size_bytes, checksum) -> DataFrame:

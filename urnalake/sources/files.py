@@ -31,7 +31,7 @@ def chunks(stream: BinaryIO) -> Iterator[bytes]:
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """(path, length) of the files below ``path``; their content is not read."""
+    """(path, length) of the files below ``path``, empty ones left out; their content is not read."""
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)

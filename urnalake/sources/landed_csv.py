@@ -25,6 +25,8 @@ def csv_options(encoding: str = "UTF-8") -> dict[str, str]:
         "encoding": encoding,
         # Compare the header of every file with the schema instead of trusting positions.
         "enforceSchema": "false",
+        # Parse whole lines, so that a malformed one is noticed whichever columns are used.
+        "columnPruning": "false",
     }
 
 
