@@ -12,5 +12,6 @@ def spark():
     from urnalake.session import build_session
 
     session = build_session("local[8]", shuffle_partitions=8)
+    session.conf.set("spark.sql.maxMetadataStringLength", "10000")
     yield session
     session.stop()

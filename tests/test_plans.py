@@ -155,7 +155,7 @@ def test_years_with_different_extra_columns(spark, lake, tmp_path):
     }
     ingest(spark, lake, origins)
     build_silver(spark, lake, [2020, 2022])
-    both = tables.read_years(spark, lake.silver, [2020, 2022])
+    both = tables.read_years_in_full(spark, lake.silver, [2020, 2022, 2024])
     assert {(r["Ano"], r["DS_X"]) for r in both.collect()} == {(2020, None), (2022, "x")}
 
 

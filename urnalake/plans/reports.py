@@ -77,5 +77,5 @@ def report(spark: SparkSession, lake: Lake, years: list[int], **options) -> Repo
 
 def export_samples(spark: SparkSession, lake: Lake, years: list[int], n: int = S.SAMPLE_ROWS) -> None:
     """Exact repeatable CSV samples of the silver table, one folder per year."""
-    silver = tables.read_years(spark, lake.silver, years)
+    silver = tables.read_years_in_full(spark, lake.silver, years)
     tables.write_samples(exact_sample(silver, n).drop("Ano"), lake.samples)

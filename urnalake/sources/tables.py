@@ -58,15 +58,37 @@ def read_year(spark: SparkSession, root: str, year: int) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/year={year}")
 
 
-def read_years(spark: SparkSession, root: str, years: list[int]) -> DataFrame:
-    """The requested years tagged with ``Ano``; years without data are simply not there.
+def read_years(
+    spark: SparkSession, root: str, years: list[int], layout: T.StructType = S.SILVER_SCHEMA
+) -> DataFrame:
+    """The contract columns of the requested years, tagged with ``Ano``; years without data are not there.
 
-    One read of the table root: the filter prunes partitions, so other years are not opened.
+    One read of the table root: the filter prunes partitions, and as the columns are known
+    no file is opened to infer them.
     """
-    table = spark.read.option("mergeSchema", "true").parquet(root)
+    columns = T.StructType([*layout.fields, T.StructField("year", T.IntegerType())])
+    table = spark.read.schema(columns).parquet(root)
     return table.where(F.col("year").isin(years)).withColumn("Ano", F.col("year").cast("int"))
 
 
+def read_years_in_full(spark: SparkSession, root: str, years: list[int]) -> DataFrame:
+    """Like ``read_years`` with all columns; a column only some years have is NULL in the others.
+
+    A year is written by one job, so one footer per year tells its columns. Merging the
+    schema of every file would open them all.
+    """
+    present = [y for y in years if y in set(years_in(spark, root))]
+    if not present:
+        return read_years(spark, root, [])
+    frames = [
+        read_year(spark, root, y).withColumns({"year": F.lit(y), "Ano": F.lit(y)}) for y in present
+    ]
+    result = frames[0]
+    for frame in frames[1:]:
+        result = result.unionByName(frame, allowMissingColumns=True)
+    return result
+
+
 def union_years(frames: list[DataFrame]) -> DataFrame:
     """UNION ALL by name; a frame with other columns is an error."""
     result = frames[0]
