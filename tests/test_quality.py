@@ -1,7 +1,10 @@
 import pytest
 from helpers import BRONZE_DDL, bronze_rows, cell, write_text
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from urnalake import schema as S
+from urnalake.functions import does_not_conform
 from urnalake.operators import quality
 from urnalake.operators.silver import to_silver
 from urnalake.sources import landed_csv, manifest
@@ -110,3 +113,20 @@ def test_published_years(spark):
     assert row["origin"].endswith(f"_{row['ano']}.zip")
     assert row["dataset_id"] == f"{S.BRONZE_DATASET}:{row['ano']}"
     assert BRONZE_DDL.startswith("ANO_ELEICAO int")
+
+
+ODD_TEXTS = [
+    "", " ", "+", "-", "1", "+1", "-1", " 12 ", "\t7\n", "1 2", "12.0", "12.", ".5", "1e2", "0x1", "1L", "١", "--1",
+    "127", "128", "-128", "-129", "32767", "32768", "2147483647", "2147483648", "-2147483648", "-2147483649",
+    "9223372036854775807", "9223372036854775808", "-9223372036854775808", "-9223372036854775809",
+    "000000000000000000000000005", "99999999999999999999999", "foo", "5\u00a0", "5\x00", "NaN", "true",
+]
+
+
+@pytest.mark.parametrize("data_type", [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.DoubleType()])
+def test_conformance_agrees_with_the_cast(spark, data_type):
+    df = spark.createDataFrame([(x,) for x in [*ODD_TEXTS, None]], "x string")
+    differing = df.where(
+        does_not_conform("x", data_type) != (F.col("x").isNotNull() & F.col("x").try_cast(data_type).isNull())
+    )
+    assert differing.collect() == []

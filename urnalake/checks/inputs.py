@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from urnalake import schema as S
 from urnalake.operators.silver import to_silver
@@ -20,8 +21,15 @@ UF_BY_NATION = (
 REQUIRED = list(S.REQUIRED_FIELDS)
 
 
+_LAYOUTS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table. Its columns are inferred once per process, its files listed every time."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _LAYOUTS:
+        _LAYOUTS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_LAYOUTS[path]).parquet(path)
 
 
 def bronze(spark: SparkSession, sf_dir: str, empty_cells: bool = False) -> DataFrame:
@@ -41,7 +49,7 @@ def bronze(spark: SparkSession, sf_dir: str, empty_cells: bool = False) -> DataF
     )
     size_shuffles(spark, lineitem, supplier)
     cells = lineitem.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-    uf = F.get(F.array(*[F.lit(u) for u in UF_BY_NATION]), "s_nationkey")
+    uf = F.get(F.expr("array(" + ", ".join(f"'{u}'" for u in UF_BY_NATION) + ")"), "s_nationkey")
     electorate = F.col("l_quantity").cast("long") - F.lit(1 if empty_cells else 0)
     absent = F.least(F.col("l_linenumber").cast("long"), electorate)
     return cells.select(

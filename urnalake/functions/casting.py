@@ -31,13 +31,13 @@ def nullify_tokens(df: DataFrame, tokens: Iterable[str] = S.NULL_TOKENS) -> Data
 def strict_cast(name: str, data_type: T.DataType) -> Column:
     """Cast that fails the job on unreadable text instead of turning it into NULL."""
     text = quoted(name)
-    value = text.try_cast(data_type)
+    value = text.try_cast(data_type)  # NULL for NULL and for unreadable text
     problem = F.concat(
         F.lit(f"column {name}: cannot read '"),
         text.cast("string"),
         F.lit(f"' as {data_type.simpleString()}"),
     )
-    return F.when(text.isNotNull() & value.isNull(), F.raise_error(problem)).otherwise(value)
+    return F.coalesce(value, F.when(text.isNotNull(), F.raise_error(problem)))
 
 
 def cast_by_name(df: DataFrame, types: T.StructType = S.BRONZE_SCHEMA) -> DataFrame:
@@ -53,6 +53,29 @@ def cast_by_name(df: DataFrame, types: T.StructType = S.BRONZE_SCHEMA) -> DataFr
     )
 
 
+# Spark ignores blanks and control characters around a number.
+_WHOLE_NUMBER = r"^[\x00-\x20\x7f]*[+-]?[0-9]+[\x00-\x20\x7f]*$"
+_LARGEST = {T.ByteType: 2**7, T.ShortType: 2**15, T.IntegerType: 2**31}
+
+
 def does_not_conform(name: str, data_type: T.DataType) -> Column:
-    """True for text that is present but cannot be read as ``data_type``."""
-    return quoted(name).isNotNull() & quoted(name).try_cast(data_type).isNull()
+    """True for text that is present but cannot be read as ``data_type``.
+
+    A failing ``try_cast`` is about a hundred times slower than a good one, as it goes
+    through an exception. Whole numbers are therefore tested by shape and range first, and
+    only digits too many for a bigint reach the cast.
+    """
+    text = quoted(name)
+    if isinstance(data_type, T.StringType):
+        return F.lit(False)
+    unreadable = text.try_cast(data_type).isNull()
+    if isinstance(data_type, S.INTEGER_TYPES):
+        limit = _LARGEST.get(type(data_type))
+        number = text.cast("long")
+        out_of_range = F.lit(False) if limit is None else (number < -limit) | (number >= limit)
+        unreadable = (
+            F.when(~text.rlike(_WHOLE_NUMBER), True)
+            .when(F.length(text) <= 18, out_of_range)
+            .otherwise(unreadable)
+        )
+    return text.isNotNull() & unreadable

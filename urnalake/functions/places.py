@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +10,7 @@ from urnalake import schema as S
 
 def _lookup(table: dict[str, str], key: Column | str) -> Column:
     # A literal map folds into one constant, so the lookup stays inside generated code.
-    entries = F.create_map(*[F.lit(x) for x in chain.from_iterable(table.items())])
+    entries = F.expr("map(" + ", ".join(f"'{k}', '{v}'" for k, v in table.items()) + ")")
     return F.try_element_at(entries, F.col(key) if isinstance(key, str) else key)
 
 
