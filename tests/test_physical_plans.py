@@ -13,7 +13,7 @@ from urnalake import schema as S
 from urnalake.checks import inputs
 from urnalake.operators import audit, ranking, rollups
 from urnalake.operators.silver import to_silver
-from urnalake.session import estimated_bytes, size_shuffles
+from urnalake.session import estimated_bytes, size_shuffles, size_splits
 from urnalake.sources import tables
 
 
@@ -136,16 +136,37 @@ def test_hot_groups_do_not_slow_the_small_results(spark):
     assert time.time() - start < 60
 
 
-def test_shuffle_size_follows_the_input(spark, root):
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+@pytest.fixture
+def settings(spark):
+    """Session settings as they were, after the test."""
+    keys = [
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.files.maxPartitionBytes",
+    ]
+    before = {key: spark.conf.get(key, None) for key in keys}
+    yield keys
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_shuffle_and_split_size_follow_the_input(spark, root, settings):
+    partitions, split = settings
     table = spark.read.parquet(root)
+    before = [spark.conf.get(key, None) for key in settings]
     assert 0 < estimated_bytes(table) < 1 << 20
-    before = spark.conf.get(key, None)
-    try:
-        assert size_shuffles(spark, table) == int(spark.conf.get("spark.sql.shuffle.partitions"))
-        assert spark.conf.get(key, None) == before
-        big = spark.range(100 << 30)
-        assert size_shuffles(spark, big) == estimated_bytes(big) // (64 << 20)
-        assert int(spark.conf.get(key)) == estimated_bytes(big) // (64 << 20)
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+    assert size_shuffles(spark, table) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size_splits(spark, table)
+    assert [spark.conf.get(key, None) for key in settings] == before
+    big = spark.range(16 << 30)
+    assert size_shuffles(spark, big) == estimated_bytes(big) // (128 << 20)
+    huge = spark.range(1 << 50)
+    assert size_shuffles(spark, huge) == int(spark.conf.get(partitions)) == 20_000
+    assert size_splits(spark, huge) == int(spark.conf.get(split)) > 1 << 30
+
+
+def test_yearly_write_neither_sorts_nor_shuffles(spark, root, tmp_path):
+    silver = to_silver(tables.read_year(spark, root, 2020).select(*S.REQUIRED_FIELDS))
+    tables.write_year(silver, str(tmp_path / "t"), 2020)
+    executions = spark._jsparkSession.sharedState().statusStore().executionsList()
+    plan = executions.apply(executions.size() - 1).physicalPlanDescription()
+    assert "WriteFiles" in plan
+    assert "Sort" not in plan and "Exchange" not in plan and "Python" not in plan

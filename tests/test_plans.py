@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from urnalake import schema as S
 from urnalake.operators import audit
 from urnalake.plans import Lake, build_silver, export_samples, ingest, report
+from urnalake.plans.reports import missing_years
 from urnalake.sources import audit_log, tables
 
 
@@ -40,9 +41,17 @@ def test_files_to_report(spark, lake, tmp_path):
     shown = report(spark, lake, [2020, 2022, 2024])
     assert {r["Ano"]: r["comparecimento_total"] for r in shown.national.collect()} == {2020: 240, 2022: 240}
     shown.release()
+    assert missing_years(spark, lake, [2020, 2022, 2024]) == [2024]
     assert tables.years_in(spark, lake.silver) == [2020, 2022]
 
 
+def test_report_before_any_load_is_empty(spark, lake):
+    shown = report(spark, lake, [2022])
+    assert shown.national.count() == 0 and shown.map().count() == 0
+    shown.release()
+    assert missing_years(spark, lake, [2022]) == [2022]
+
+
 def test_zip_origin(spark, lake, tmp_path):
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as archive:
         archive.writestr("readme.txt", "x" * 10000)

@@ -36,16 +36,24 @@ def test_contract_break_names_the_missing_field(spark, tmp_path):
 
 
 def test_silver_contract(spark):
-    silver = to_silver(bronze_rows(spark, [cell()]))
-    assert all(r["ok"] for r in quality.schema_contract(silver).collect())
+    silver = to_silver(bronze_rows(spark, [cell(), cell()]))
+    report = quality.schema_contract(silver).collect()
+    assert [r["field"] for r in report] == S.SILVER_SCHEMA.names
+    assert all(r["type_ok"] and r["nulls"] == 0 for r in report)
     quality.require_schema(silver)
     broken = silver.drop(S.REGION).withColumn(S.RATE_TURNOUT, silver["NM_MUNICIPIO"])
-    wrong = [r["field"] for r in quality.schema_contract(broken).where("NOT ok").collect()]
-    assert wrong == [S.RATE_TURNOUT, S.REGION]
+    wrong = [(r["field"], r["actual_type"]) for r in quality.schema_contract(broken).where("NOT type_ok").collect()]
+    assert wrong == [(S.RATE_TURNOUT, "string"), (S.REGION, None)]
     with pytest.raises(quality.ContractError, match=f"{S.RATE_TURNOUT}, {S.REGION}"):
         quality.require_schema(broken)
 
 
+def test_contract_counts_nulls(spark):
+    df = bronze_rows(spark, [cell(), cell(uf=None), cell(name=None), cell(uf=None)])
+    nulls = {r["field"]: r["nulls"] for r in quality.schema_contract(df).collect()}
+    assert (nulls["SG_UF"], nulls["NM_MUNICIPIO"], nulls["QT_APTOS"], nulls[S.REGION]) == (2, 1, 0, None)
+
+
 def test_a_narrower_integer_is_still_an_integer(spark):
     silver = to_silver(bronze_rows(spark, [cell()]))
     quality.require_schema(silver.withColumn("QT_APTOS", silver["QT_APTOS"].cast("smallint")))

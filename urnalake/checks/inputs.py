@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from urnalake import schema as S
 from urnalake.operators.silver import to_silver
-from urnalake.session import size_shuffles
+from urnalake.session import size_shuffles, size_splits
 
 # Nation key 0..24 to state code, with one overseas and one unknown code.
 UF_BY_NATION = (
@@ -29,7 +29,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir}/{name}.parquet"
     if path not in _LAYOUTS:
         _LAYOUTS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_LAYOUTS[path]).parquet(path)
+    scan = spark.read.schema(_LAYOUTS[path]).parquet(path)
+    size_splits(spark, scan)
+    return scan
 
 
 def bronze(spark: SparkSession, sf_dir: str, empty_cells: bool = False) -> DataFrame:

@@ -43,6 +43,43 @@ def silver_rule_violations(spark, sf_dir):
     return quality.rule_violations(I.silver(spark, sf_dir, empty_cells=True), S.silver_rules())
 
 
+_CLASSES = {"int": "inteiro", "bigint": "inteiro", "string": "texto", "double": "decimal"}
+
+
+@check(
+    I.with_silver(
+        " UNION ALL ".join(
+            f"SELECT '{f.name}' AS field, '{_CLASSES[f.dataType.simpleString()]}' AS expected_class,"
+            f" '{f.dataType.simpleString()}' AS actual_type, true AS type_ok,"
+            f" count(*) FILTER (WHERE {f.name} IS NULL) AS nulls FROM silver"
+            for f in S.SILVER_SCHEMA
+        )
+    )
+)
+def silver_contract(spark, sf_dir):
+    """Every silver column is there, of the right class and without NULL."""
+    return quality.schema_contract(I.silver(spark, sf_dir))
+
+
+@check(
+    I.with_bronze(
+        " UNION ALL ".join(
+            f"SELECT '{f.name}' AS field, '{_CLASSES[f.dataType.simpleString()]}' AS expected_class,"
+            + (
+                f" '{f.dataType.simpleString()}' AS actual_type, true AS type_ok,"
+                f" count(*) FILTER (WHERE {f.name} IS NULL) AS nulls FROM bronze"
+                if f.name in S.REQUIRED_FIELDS
+                else " CAST(NULL AS VARCHAR) AS actual_type, false AS type_ok, CAST(NULL AS BIGINT) AS nulls"
+            )
+            for f in S.SILVER_SCHEMA
+        )
+    )
+)
+def silver_contract_of_bronze(spark, sf_dir):
+    """Bronze rows fail the silver contract: three columns are missing, one has NULLs."""
+    return quality.schema_contract(I.bronze(spark, sf_dir))
+
+
 _CONSISTENT = "count(*) FILTER (WHERE QT_COMPARECIMENTO + QT_ABSTENCAO = QT_APTOS)"
 
 

@@ -76,20 +76,28 @@ def _type_class(data_type: T.DataType) -> str:
 
 
 def schema_contract(df: DataFrame, contract: T.StructType = S.SILVER_SCHEMA) -> DataFrame:
-    """Per contract field: is the column there and of the right class (integer, text, decimal)."""
+    """Per contract field: is the column there, of the right class (integer, text, decimal), and full.
+
+    ``nulls`` counts the rows without a value, which silver must not have; a missing column
+    has none to count.
+    """
     actual = {f.name: f.dataType for f in df.schema}
+    found = [f.name for f in contract if f.name in actual]
+    counts = df.agg(F.count(F.lit(1)).alias("__rows"), *[F.count_if(F.isnull(c)).alias(c) for c in found])
     lines = []
     for f in contract:
-        found = actual.get(f.name)
+        data_type = actual.get(f.name)
+        matches = data_type is not None and _type_class(data_type) == _type_class(f.dataType)
         lines.append(
             F.struct(
                 F.lit(f.name).alias("field"),
                 F.lit(_type_class(f.dataType)).alias("expected_class"),
-                F.lit(found.simpleString() if found else None).cast("string").alias("actual_type"),
-                F.lit(found is not None and _type_class(found) == _type_class(f.dataType)).alias("ok"),
+                F.lit(data_type.simpleString() if data_type else None).cast("string").alias("actual_type"),
+                F.lit(matches).alias("type_ok"),
+                (F.col(f.name) if data_type else F.lit(None)).cast("long").alias("nulls"),
             )
         )
-    return df.sparkSession.range(1).select(F.inline(F.array(*lines)))
+    return counts.select(F.inline(F.array(*lines)))
 
 
 def require_schema(df: DataFrame, contract: T.StructType = S.SILVER_SCHEMA) -> None:

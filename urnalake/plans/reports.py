@@ -71,6 +71,11 @@ def report_of(
     )
 
 
+def missing_years(spark: SparkSession, lake: Lake, years: list[int]) -> list[int]:
+    """Requested years without silver data; a report simply has no rows for them."""
+    return sorted(set(years) - set(tables.years_in(spark, lake.silver)))
+
+
 def report(spark: SparkSession, lake: Lake, years: list[int], **options) -> Report:
     return report_of(tables.read_years(spark, lake.silver, years), years, **options)
 

@@ -9,7 +9,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-_SHUFFLE_TARGET_BYTES = 64 << 20
+_SHUFFLE_TARGET_BYTES = 128 << 20
+_MOST_SHUFFLE_PARTITIONS = 20_000
+_SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
+_MOST_SPLITS = 100_000
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
@@ -41,9 +44,12 @@ def size_shuffles(spark: SparkSession, *inputs: DataFrame) -> int:
     """Raise AQE's initial partition count so a shuffle of ``inputs`` fits in task memory.
 
     AQE merges small partitions again but does not split evenly large ones, so the count
-    must be high enough before the shuffle. A higher count set by the cluster is kept.
+    must be high enough before the shuffle. Beyond the upper bound the blocks between map
+    and reduce tasks would cost more than larger, spilling partitions do. A higher count
+    set by the cluster is kept.
     """
     needed = math.ceil(sum(estimated_bytes(df) for df in inputs) / _SHUFFLE_TARGET_BYTES)
+    needed = min(needed, _MOST_SHUFFLE_PARTITIONS)
     current = int(spark.conf.get(_INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
     if needed > current:
         spark.conf.set(_INITIAL_PARTITIONS, str(needed))
@@ -51,6 +57,16 @@ def size_shuffles(spark: SparkSession, *inputs: DataFrame) -> int:
     return current
 
 
+def size_splits(spark: SparkSession, scan: DataFrame) -> int:
+    """Enlarge file splits where ``scan`` would otherwise need more tasks than is sensible."""
+    wanted = math.ceil(estimated_bytes(scan) / _MOST_SPLITS)
+    current = int(str(spark.conf.get(_SPLIT_BYTES)).removesuffix("b"))
+    if wanted > current:
+        spark.conf.set(_SPLIT_BYTES, str(wanted))
+        return wanted
+    return current
+
+
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name under the cluster's shared ``spark.checkpoint.dir``.
 

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from urnalake import schema as S
 from urnalake.functions.casting import cast_by_name
-from urnalake.sources.files import hadoop_path
+from urnalake.sources.files import hadoop_path, path_exists
 
 PARQUET_OPTIONS = {"compression": "zstd", "parquet.compression.codec.zstd.level": "3"}
 
@@ -67,7 +67,10 @@ def read_years(
     no file is opened to infer them.
     """
     columns = T.StructType([*layout.fields, T.StructField("year", T.IntegerType())])
-    table = spark.read.schema(columns).parquet(root)
+    if path_exists(spark, root):
+        table = spark.read.schema(columns).parquet(root)
+    else:
+        table = spark.createDataFrame([], columns)
     return table.where(F.col("year").isin(years)).withColumn("Ano", F.col("year").cast("int"))
 
 
