@@ -66,6 +66,18 @@ def test_encodings(spark, tmp_path):
     assert bronze_frame(spark, path, "x", encoding="ISO-8859-1").first()["NM_MUNICIPIO"] == "SÃO PAULO"
 
 
+def test_byte_order_mark_and_line_endings(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b"\xef\xbb\xbf" + f'"{HEADER.replace(";", chr(34) + ";" + chr(34))}"'.encode()
+                                     + b"\r\n" + LINE.encode() + b"\r\n\r\n")
+    assert bronze_frame(spark, str(tmp_path / "a.csv"), "x").first()[:7] == (2022, 12345, "Recife", "PE", 1000, 800, 200)
+
+
+def test_empty_file_has_no_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b"")
+    with pytest.raises(ValueError, match="no header line"):
+        bronze_frame(spark, str(tmp_path / "a.csv"), "x")
+
+
 def test_quotes_and_separators_inside_fields(spark, tmp_path):
     path = write_text(tmp_path / "a.csv", HEADER, '"2022";"1";"Sant""Ana; do \\ Sul";"PE";"10";"8";"2"')
     assert bronze_frame(spark, path, "x").first()["NM_MUNICIPIO"] == 'Sant"Ana; do \\ Sul'

@@ -44,6 +44,8 @@ def read_landed(
     paths = [paths] if isinstance(paths, str) else list(paths)
     options = csv_options(encoding)
     names = spark.read.options(**options).csv(paths).columns
+    if not names:
+        raise ValueError(f"no header line in {', '.join(paths)}")
     layout = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
     lines = (
         spark.read.options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
