@@ -79,8 +79,8 @@ def exclude_overseas(spark, sf_dir):
 @check(I.with_bronze("SELECT * FROM bronze WHERE NM_MUNICIPIO = (SELECT min(s_name) FROM supplier)"))
 def municipality_lookup(spark, sf_dir):
     """All cells of one named municipality, the first by name."""
-    first = I.table(spark, sf_dir, "supplier").agg(F.min("s_name")).first()[0]
-    return I.bronze(spark, sf_dir).where(F.col("NM_MUNICIPIO") == first)
+    first = I.table(spark, sf_dir, "supplier").agg(F.min("s_name"))
+    return I.bronze(spark, sf_dir).where(F.col("NM_MUNICIPIO") == first.scalar())
 
 
 @check(

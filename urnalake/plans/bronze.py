@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from urnalake import schema as S
 from urnalake.operators import audit
@@ -25,25 +27,44 @@ def bronze_frame(
     return landed_csv.with_lineage(landed_csv.typed(landed), source)
 
 
-def _landed_file(spark: SparkSession, lake: Lake, origin: str, year: int) -> tuple[str, int, str]:
-    """(CSV path, bytes, SHA-256) of an origin: a CSV file, a folder of them, or an archive."""
-    if origin.endswith(".zip"):
-        found = files.list_files(spark, origin)
-        row = archives.land_archives(spark, found, f"{lake.landing}/year={year}").first()
-        return row["csv_path"], row["size_bytes"], row["sha256"]
-    total = files.folder_digest(files.digests(files.list_files(spark, origin, "*.csv"))).first()
-    return origin, total["size_bytes"], total["sha256"]
+def _write(spark: SparkSession, lake: Lake, path: str, size_bytes: int, year: int, encoding: str) -> int:
+    source = f"{S.SOURCE_PREFIX}:{S.BRONZE_DATASET}:{year}"
+    frame = bronze_frame(spark, path, source, encoding, size_bytes)
+    return tables.write_year(frame, lake.bronze, year)["rows"]
+
+
+def _load_archive(
+    spark: SparkSession, lake: Lake, origin: str, year: int, encoding: str
+) -> tuple[int, int, str]:
+    """(rows, bytes, SHA-256) of the largest CSV in an archive, hashed while it is extracted."""
+    found = files.list_files(spark, origin)
+    landed = archives.land_archives(spark, found, f"{lake.landing}/year={year}").first()
+    rows = _write(spark, lake, landed["csv_path"], landed["size_bytes"], year, encoding)
+    return rows, landed["size_bytes"], landed["sha256"]
+
+
+def _load_files(
+    spark: SparkSession, lake: Lake, origin: str, year: int, encoding: str
+) -> tuple[int, int, str]:
+    """(rows, bytes, SHA-256) of a CSV file or a folder of them.
+
+    A checksum is computed front to back, one file per task, while the load is split. Both
+    run at the same time, so that one very large file does not hold up the load.
+    """
+    listed = files.list_files(spark, origin, "*.csv")
+    size_bytes = listed.agg(F.sum("length")).first()[0] or 0
+    with ThreadPoolExecutor(max_workers=1) as pool:
+        digest = pool.submit(lambda: files.folder_digest(files.digests(listed)).first())
+        rows = _write(spark, lake, origin, size_bytes, year, encoding)
+    return rows, size_bytes, digest.result()["sha256"]
 
 
 def ingest_year(spark: SparkSession, lake: Lake, year: int, origin: str, encoding: str = "UTF-8") -> int:
     """Load one year. Data is written first, the audit row second; a failure is logged and raised."""
     start = datetime.now(UTC)
+    load = _load_archive if origin.endswith(".zip") else _load_files
     try:
-        path, size_bytes, checksum = _landed_file(spark, lake, origin, year)
-        source = f"{S.SOURCE_PREFIX}:{S.BRONZE_DATASET}:{year}"
-        rows = tables.write_year(
-            bronze_frame(spark, path, source, encoding, size_bytes), lake.bronze, year
-        )["rows"]
+        rows, size_bytes, checksum = load(spark, lake, origin, year, encoding)
     except Exception as error:
         failure = audit_log.bronze_failure(
             spark, S.BRONZE_DATASET, year, start, datetime.now(UTC), str(error)

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from urnalake import schema as S
 from urnalake.functions.casting import cast_by_name
+from urnalake.session import size_splits
 from urnalake.sources.files import hadoop_path, path_exists
 
 PARQUET_OPTIONS = {"compression": "zstd", "parquet.compression.codec.zstd.level": "3"}
@@ -55,7 +56,9 @@ def years_frame(spark: SparkSession, years: list[int]) -> DataFrame:
 
 def read_year(spark: SparkSession, root: str, year: int) -> DataFrame:
     """One year of a table without the partition column."""
-    return spark.read.parquet(f"{root.rstrip('/')}/year={year}")
+    table = spark.read.parquet(f"{root.rstrip('/')}/year={year}")
+    size_splits(spark, table)
+    return table
 
 
 def read_years(
@@ -69,6 +72,7 @@ def read_years(
     columns = T.StructType([*layout.fields, T.StructField("year", T.IntegerType())])
     if path_exists(spark, root):
         table = spark.read.schema(columns).parquet(root)
+        size_splits(spark, table)
     else:
         table = spark.createDataFrame([], columns)
     return table.where(F.col("year").isin(years)).withColumn("Ano", F.col("year").cast("int"))
