@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 _INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 _SHUFFLE_TARGET_BYTES = 128 << 20
 _MOST_SHUFFLE_PARTITIONS = 20_000
+_HASH_JOIN_BYTES = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
 _SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
 _MOST_SPLITS = 100_000
 
@@ -47,7 +48,12 @@ def size_shuffles(spark: SparkSession, *inputs: DataFrame) -> int:
     must be high enough before the shuffle. Beyond the upper bound the blocks between map
     and reduce tasks would cost more than larger, spilling partitions do. A higher count
     set by the cluster is kept.
+
+    AQE may also replace a sort-merge join by a hash join where every build partition turns
+    out to be small, which saves sorting the large side.
     """
+    if spark.conf.get(_HASH_JOIN_BYTES, "0").rstrip("b") == "0":
+        spark.conf.set(_HASH_JOIN_BYTES, "64MB")
     needed = math.ceil(sum(estimated_bytes(df) for df in inputs) / _SHUFFLE_TARGET_BYTES)
     needed = min(needed, _MOST_SHUFFLE_PARTITIONS)
     current = int(spark.conf.get(_INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
