@@ -68,6 +68,22 @@ def test_folder_origin(spark, lake, tmp_path):
     assert bronze_log(spark, lake).first()["linhas"] == 9
 
 
+def test_checksum_of_any_file_name(spark, lake, tmp_path):
+    import hashlib
+
+    path = write_text(tmp_path / "rows.CSV", HEADER, *lines(2022))
+    ingest(spark, lake, {2022: path})
+    row = bronze_log(spark, lake).first()
+    assert row["checksum"] == hashlib.sha256((tmp_path / "rows.CSV").read_bytes()).hexdigest()
+    assert row["tamanho_bytes"] == (tmp_path / "rows.CSV").stat().st_size
+
+
+def test_missing_origin_is_a_logged_failure(spark, lake, tmp_path):
+    with pytest.raises(Exception, match="(?i)path"):
+        ingest(spark, lake, {2022: str(tmp_path / "none.csv")})
+    assert bronze_log(spark, lake).first()["status"] == "falha"
+
+
 def test_failure_is_logged_and_raised_and_retried(spark, lake, tmp_path):
     path = write_text(tmp_path / "a.csv", HEADER, lines(2022)[0].replace("100", "foo"))
     with pytest.raises(Exception, match="cannot read 'foo'"):

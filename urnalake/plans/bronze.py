@@ -51,7 +51,7 @@ def _load_files(
     A checksum is computed front to back, one file per task, while the load is split. Both
     run at the same time, so that one very large file does not hold up the load.
     """
-    listed = files.list_files(spark, origin, "*.csv")
+    listed = files.list_files(spark, origin)
     size_bytes = listed.agg(F.sum("length")).first()[0] or 0
     with ThreadPoolExecutor(max_workers=1) as pool:
         digest = pool.submit(lambda: files.folder_digest(files.digests(listed)).first())
