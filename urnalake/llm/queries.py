@@ -1,3 +1,3 @@
 """Importing this module registers the query of every operator."""
 
-from urnalake.llm import chat, merkle  # noqa: F401
+from urnalake.llm import bpe, chat, merkle, neardup, substrings  # noqa: F401
