@@ -1,3 +1,14 @@
 """Importing this module registers the query of every operator."""
 
-from urnalake.llm import bpe, chat, merkle, neardup, substrings  # noqa: F401
+from urnalake.llm import (  # noqa: F401
+    bpe,
+    chat,
+    langid,
+    licences,
+    merkle,
+    mixing,
+    neardup,
+    substrings,
+    topk,
+    warc,
+)
