@@ -22,14 +22,13 @@ from urnalake.llm.common import ship, table
 from urnalake.llm.words import mix, window_hashes
 
 ORDER = 4
-#: Labelled texts per language that a model is counted on, and that rejection is calibrated on:
-#: those with the smallest hashes of their ids, about as many as given here.
-TRAIN_DOCS = 2_000
-CALIBRATE_DOCS = 500
+#: Labelled texts per language that are used, those with the smallest hashes of their ids: about as
+#: many as given here, four fifths to count on and a fifth to calibrate rejection on.
+TRAIN_DOCS = 2_500
 #: N-grams per language in a model, the most frequent ones.
 MOST_GRAMS = 300_000
 #: Rejected beyond so many times the largest excess of a calibration text.
-SLACK = 1.5
+SLACK = 2.5
 #: Characters beyond which an entropy counts as exact, for excess and score.
 SETTLED = 400
 UNKNOWN = "und"
@@ -243,16 +242,12 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str =
     if not sizes:
         return LanguageModels([], {}, {}, np.zeros(0), np.zeros(0), np.zeros(0))
     # A row's hash, spread evenly over 0 to 1, against the share of its language that is wanted.
-    place = (F.xxhash64(F.col(key), F.lit("langid")).cast("double") / 2.0**64 + 0.5).alias("place")
-    marked = rows.select(F.col(text).alias("text"), F.col(label).alias("lang"), place)
-    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, 1.0 / n)])[F.col("lang")]
-    rank = F.col("place") / share  # about the row's rank by hash within its language
-    counts = count_grams(marked.where(rank < TRAIN_DOCS), "lang", "text")
-    models = build_models(_most_frequent(counts).toPandas())
-    # Languages with few labelled texts are calibrated on what they were counted on.
-    few = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, n <= 2 * TRAIN_DOCS)])[F.col("lang")]
-    wanted = marked.where((few & (rank < CALIBRATE_DOCS)) | ((rank >= TRAIN_DOCS) & (rank < TRAIN_DOCS + CALIBRATE_DOCS)))
-    return _calibrated(models, wanted)
+    place = F.xxhash64(F.col(key), F.lit("langid")).cast("double") / 2.0**64 + 0.5
+    limit = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, TRAIN_DOCS / n)])[F.col(label)]
+    fifth = F.pmod(F.xxhash64(F.col(key), F.lit("calibrate")), F.lit(5)) == 0
+    used = rows.where(place < limit).select(F.col(text).alias("text"), F.col(label).alias("lang"), fifth.alias("fifth"))
+    counts = count_grams(used.where("NOT fifth"), "lang", "text")
+    return _calibrated(build_models(_most_frequent(counts).toPandas()), used.where("fifth"))
 
 
 def _most_frequent(counts: DataFrame) -> DataFrame:
