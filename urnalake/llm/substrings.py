@@ -192,7 +192,7 @@ def _extended(docs: DataFrame, size: int, seed: int, length: int) -> DataFrame:
         start, n = start[~repeats], n[~repeats]
         at = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
         at, count, one, two = _keys(text, at) if len(at) else (at, at, at.view(np.uint64), at.view(np.uint64))
-        place = mix(first.astype(np.uint64) + np.uint64(i % (1 << 63)) * BASE)
+        place = mix(first.astype(np.uint64) + mix(np.full(len(first), i % (1 << 63), np.uint64)))
         total = len(at) + len(first)
         return {
             "k1": np.concatenate([one, place]), "k2": np.concatenate([two, place]),
@@ -336,7 +336,8 @@ def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     others = [F.col(c) for c in docs.columns if c != text]
     return docs.select(
         F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))).alias("id"),
-        (F.xxhash64(F.col(text)) % (2**31)).cast("int").alias("tag"),
+        # Never null by its type, so inner joins add no filter and all joins read one exchange.
+        F.coalesce((F.xxhash64(F.col(text)) % (2**31)).cast("int"), F.lit(0)).alias("tag"),
         F.col(text).alias("text"),
         F.struct(*others).alias("row"),
     )
