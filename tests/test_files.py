@@ -47,7 +47,7 @@ def test_members_in_folders_stay_below_the_landing_folder(spark, tmp_path):
         archive.writestr("../../evil.csv", "x")
     found = files.list_files(spark, str(tmp_path), "*.zip")
     row = archives.land_archives(spark, found, str(tmp_path / "out")).first()
-    assert row["csv_path"].startswith(str(tmp_path / "out"))
+    assert row["csv_path"].startswith(f"file:{tmp_path / 'out'}")
     assert not (tmp_path.parent / "evil.csv").exists()
 
 
@@ -82,3 +82,21 @@ def test_folder_digest(spark, tmp_path):
     both, renamed, changed = digest(a=b"one", b=b"two"), digest(x=b"two", y=b"one"), digest(a=b"one", b=b"twO")
     assert both == renamed and both["n_files"] == 2 and both["size_bytes"] == 6
     assert both["sha256"] != changed["sha256"]
+
+
+def test_folder_digest_counts_equal_files(spark, tmp_path):
+    def digest(name, *contents):
+        folder = tmp_path / name
+        folder.mkdir()
+        for i, content in enumerate(contents):
+            (folder / f"{i}.csv").write_bytes(content)
+        return files.folder_digest(files.digests(files.list_files(spark, str(folder)))).first()["sha256"]
+
+    assert len({digest("a", b"one", b"one"), digest("b", b"two", b"two"), digest("c", b"one", b"two")}) == 3
+
+
+def test_paths_without_a_filesystem_are_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="names no filesystem"):
+        files.open_filesystem("/lake/landing")
+    assert files.qualified(spark, str(tmp_path)) == f"file:{tmp_path}"
+    assert files.open_filesystem(f"file://{tmp_path}")[1] == files.open_filesystem(f"file:{tmp_path}")[1] == str(tmp_path)

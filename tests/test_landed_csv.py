@@ -104,3 +104,38 @@ def test_fewer_splits_keeps_small_inputs_parallel(spark, tmp_path):
     df = spark.range(0, 1000, 1, 64)
     assert landed_csv.fewer_splits(df, 10).rdd.getNumPartitions() == 8
     assert landed_csv.fewer_splits(df, 20 << 30).rdd.getNumPartitions() == 20
+
+
+@pytest.mark.parametrize(
+    "line", ['2022;1;D"A;PE;10;8;2;x"y', '2022;1;"D";PE;10;8;2;"x;y"', '2022;1;a"b;c"d;PE;10;8;2', ";;;;;;;"]
+)
+def test_long_line_with_quote_signs_fails(spark, tmp_path, line):
+    path = write_text(tmp_path / "a.csv", HEADER, LINE, line)
+    with pytest.raises(Exception, match="more than 7 fields"):
+        bronze_frame(spark, path, "x").collect()
+
+
+def test_long_line_fails_whichever_columns_are_used(spark, tmp_path):
+    path = write_text(tmp_path / "a.csv", HEADER, LINE, LINE + ";9")
+    for use in (lambda df: df.select("SG_UF").collect(), lambda df: df.count()):
+        with pytest.raises(Exception, match="more than 7 fields"):
+            use(bronze_frame(spark, path, "x"))
+
+
+def test_short_line_with_doubled_quotes_is_not_long(spark, tmp_path):
+    path = write_text(tmp_path / "a.csv", HEADER, '2022;1;"a"";b"";;;";"PE;;";10;8')
+    row = bronze_frame(spark, path, "x").first()
+    assert (row["NM_MUNICIPIO"], row["SG_UF"], row["QT_ABSTENCAO"]) == ('a";b";;;', "PE;;", None)
+
+
+def test_nested_folders_are_read(spark, tmp_path):
+    write_text(tmp_path / "d" / "a.csv", HEADER, LINE)
+    write_text(tmp_path / "d" / "sub" / "b.csv", HEADER, LINE, LINE)
+    assert bronze_frame(spark, str(tmp_path / "d"), "x").count() == 3
+
+
+def test_line_breaks_inside_quotes(spark, tmp_path):
+    path = write_text(tmp_path / "a.csv", HEADER, LINE.replace("Recife", '"A\nB"'))
+    assert bronze_frame(spark, path, "x", multi_line=True).first()["NM_MUNICIPIO"] == "A\nB"
+    with pytest.raises(Exception):  # noqa: B017
+        bronze_frame(spark, path, "x").collect()

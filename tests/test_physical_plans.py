@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import time
 
+import __spark_entry__ as entry_point
 import pytest
 from helpers import bronze_rows, cell
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from urnalake import schema as S
 from urnalake.checks import inputs
 from urnalake.operators import audit, ranking, rollups
 from urnalake.operators.silver import to_silver
-from urnalake.session import estimated_bytes, size_shuffles, size_splits
+from urnalake.plans.silver import silver_frame
 from urnalake.sources import tables
 
 
@@ -66,9 +67,10 @@ def test_top_n_never_sorts_everything(spark, root):
 def test_samples_and_latest_rows_are_cut_before_the_shuffle(spark, root):
     sample = physical(ranking.exact_sample(tables.read_years(spark, root, [2020])))
     assert len(re.findall("WindowGroupLimit", sample)) == 4
+    assert sample.count("FileScan") == 1
     by_slice = re.search(r"Exchange hashpartitioning\(Ano#\d+, __slice#\d+", sample)
     assert "WindowGroupLimit" in sample[by_slice.end():]
-    assert "BroadcastHashJoin" in sample and "SortMergeJoin" not in sample
+    assert "Join" not in sample
     ddl = "dataset string, ano int, timestamp_fim timestamp, run_id string"
     latest = physical(audit.latest(spark.createDataFrame([], ddl)))
     assert "WindowGroupLimit" in latest[latest.rindex("Exchange"):]
@@ -139,31 +141,33 @@ def test_hot_groups_do_not_slow_the_small_results(spark):
     assert time.time() - start < 60
 
 
-@pytest.fixture
-def settings(spark):
-    """Session settings as they were, after the test."""
-    keys = [
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.files.maxPartitionBytes",
-    ]
-    before = {key: spark.conf.get(key, None) for key in keys}
-    yield keys
-    for key, value in before.items():
-        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-
-
-def test_shuffle_and_split_size_follow_the_input(spark, root, settings):
-    partitions, split = settings
-    table = spark.read.parquet(root)
-    before = [spark.conf.get(key, None) for key in settings]
-    assert 0 < estimated_bytes(table) < 1 << 20
-    assert size_shuffles(spark, table) == int(spark.conf.get("spark.sql.shuffle.partitions"))
-    size_splits(spark, table)
-    assert [spark.conf.get(key, None) for key in settings] == before
-    big = spark.range(16 << 30)
-    assert size_shuffles(spark, big) == estimated_bytes(big) // (128 << 20)
-    huge = spark.range(1 << 50)
-    assert size_shuffles(spark, huge) == int(spark.conf.get(partitions)) == 20_000
-    assert size_splits(spark, huge) == int(spark.conf.get(split)) > 1 << 30
+@pytest.mark.parametrize("split", ["256m", "128MB", "134217728b", "134217728"])
+def test_any_split_size_setting_is_taken(spark, root, split):
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, split)
+        assert tables.read_years(spark, root, [2020]).count() == 2
+        assert tables.read_year(spark, root, 2020).count() == 2
+        assert spark.conf.get(key) == split
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_queries_leave_the_settings_as_they_were(spark):
+    def settings():
+        return {k: v for k, v in spark.conf.getAll.items() if k.startswith("spark.sql.")}
+
+    before = settings()
+    for name in ("national_by_year", "sample_exact_large", "table_roundtrip", "plan_silver"):
+        entry_point.queries()[name](spark, "/root/testdata/sf0.001").collect()
+    assert settings() == before
+
+
+def test_silver_job_filters_in_the_scan(spark, tmp_path):
+    bronze_rows(spark, [cell()]).write.parquet(str(tmp_path / "b"))
+    plan = physical(silver_frame(spark.read.parquet(str(tmp_path / "b"))))
+    assert "PushedFilters: [IsNotNull(ANO_ELEICAO)" in plan and "CollectMetrics" not in plan
 
 
 def test_yearly_write_neither_sorts_nor_shuffles(spark, root, tmp_path):

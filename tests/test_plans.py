@@ -219,3 +219,54 @@ def test_views_for_direct_sql(spark, lake, tmp_path):
     ingest(spark, lake, {2022: write_text(tmp_path / "a.csv", HEADER, *lines(2022))})
     tables.register_views(spark, bronze_turnout=lake.bronze)
     assert spark.sql("SELECT sum(QT_APTOS) FROM bronze_turnout WHERE year = 2022").first()[0] == 300
+
+
+def _archive(path, year, n):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    with zipfile.ZipFile(path, "w") as archive:
+        archive.writestr("rows.csv", "\n".join([HEADER, *lines(year, n)]) + "\n")
+
+
+def test_all_archives_of_an_origin_are_loaded(spark, lake, tmp_path):
+    from urnalake.plans.bronze import ingest_year
+
+    for name, n in (("a", 1), ("b", 2), ("c", 4)):
+        _archive(tmp_path / "in" / f"{name}.zip", 2022, n)
+    ingest(spark, lake, {2022: str(tmp_path / "in" / "*.zip")})
+    row = bronze_log(spark, lake).first()
+    assert (row["linhas"], tables.read_year(spark, lake.bronze, 2022).count()) == (7, 7)
+    text = [len("\n".join([HEADER, *lines(2022, n)])) + 1 for n in (1, 2, 4)]
+    assert row["tamanho_bytes"] == sum(text)
+    (tmp_path / "in" / "c.zip").unlink()
+    ingest_year(spark, lake, 2022, str(tmp_path / "in" / "*.zip"))
+    assert tables.read_year(spark, lake.bronze, 2022).count() == 3
+
+
+def test_nested_folder_origin(spark, lake, tmp_path):
+    write_text(tmp_path / "in" / "a.csv", HEADER, *lines(2022, 1))
+    write_text(tmp_path / "in" / "sub" / "b.csv", HEADER, *lines(2022, 2))
+    ingest(spark, lake, {2022: str(tmp_path / "in")})
+    assert bronze_log(spark, lake).first()["linhas"] == 3
+
+
+def test_short_lines_are_counted(spark, lake, tmp_path):
+    path = write_text(tmp_path / "a.csv", HEADER, *lines(2022), "2022;9;X;PE;10;8", "2022;9;Y;PE")
+    ingest(spark, lake, {2022: path})
+    row = bronze_log(spark, lake).first()
+    assert (row["linhas"], row["linhas_malformadas"]) == (5, 2)
+
+
+def test_file_addresses_and_published_addresses(spark, lake, tmp_path):
+    path = write_text(tmp_path / "a.csv", HEADER, *lines(2022))
+    assert ingest(spark, lake, {2022: f"file://{path}"}) == [2022]
+    _archive(tmp_path / "b.zip", 2020, 2)
+    assert ingest(spark, lake, {2020: f"file://{tmp_path}/b.zip"}) == [2020]
+    with pytest.raises(ValueError, match="land the file first"):
+        ingest(spark, lake, {2018: "https://example.com/a.zip"})
+
+
+def test_old_log_files_have_no_malformed_count(spark, lake, tmp_path):
+    ingest(spark, lake, {2022: write_text(tmp_path / "a.csv", HEADER, *lines(2022))})
+    old = audit_log.read_log(spark, lake.bronze_log, S.BRONZE_AUDIT_SCHEMA).drop("linhas_malformadas", "run_id")
+    audit_log.append(old.withColumn("ano", F.lit(2020)), lake.bronze_log)
+    assert {r["ano"]: r["linhas_malformadas"] for r in bronze_log(spark, lake).collect()} == {2022: 0, 2020: None}

@@ -55,3 +55,9 @@ def test_seed_changes_the_sample(spark):
     df = _years(spark).where("Ano = 2020")
     one, other = ranking.exact_sample(df, 50), ranking.exact_sample(df, 50, seed=1)
     assert set(one.collect()) != set(other.collect())
+
+
+def test_rows_without_a_year_are_a_group(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), (2022, 3)], "Ano int, x int")
+    assert sorted(map(tuple, ranking.exact_sample(df, 5).collect()), key=str) == [(2022, 3), (None, 1), (None, 2)]
+    assert ranking.exact_sample(df, 1).count() == 2

@@ -2,14 +2,16 @@ import pytest
 from helpers import HEADER, write_text
 
 from urnalake import schema as S
+from urnalake.operators import audit
+from urnalake.plans import Lake, ingest
+from urnalake.sources import audit_log, tables
 from urnalake.streaming import load_new_files
 
 
 def _run(spark, tmp_path):
-    load_new_files(
-        spark, str(tmp_path / "in"), str(tmp_path / "table"), str(tmp_path / "checkpoint"), S.REQUIRED_FIELDS
-    )
-    return spark.read.parquet(str(tmp_path / "table"))
+    lake = Lake(str(tmp_path / "lake"))
+    load_new_files(spark, str(tmp_path / "in"), lake, str(tmp_path / "checkpoint"), S.REQUIRED_FIELDS)
+    return tables.read_years_in_full(spark, lake.bronze, tables.years_in(spark, lake.bronze))
 
 
 def test_only_new_files_are_loaded(spark, tmp_path):
@@ -32,3 +34,46 @@ def test_bad_input_stops_the_stream(spark, tmp_path, lines):
     write_text(tmp_path / "in" / "year=2020" / "a.csv", *lines)
     with pytest.raises(Exception):  # noqa: B017
         _run(spark, tmp_path)
+
+
+def _counts(spark, lake):
+    years = tables.years_in(spark, lake.bronze)
+    rows = tables.read_years_in_full(spark, lake.bronze, years).groupBy("Ano").count().collect()
+    return {r["Ano"]: r["count"] for r in rows}
+
+
+def test_stream_and_ingest_share_a_lake(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    write_text(tmp_path / "in" / "year=2020" / "a.csv", HEADER, "2020;1;A;PE;10;8;2")
+    _run(spark, tmp_path)
+    other = write_text(tmp_path / "other.csv", HEADER, *[f"2022;{i};A;PE;10;8;2" for i in range(1, 4)])
+    assert ingest(spark, lake, {2022: other}) == [2022]
+    write_text(tmp_path / "in" / "year=2020" / "b.csv", HEADER, "2020;2;B;PE;10;8;2", "2020;3;C;PE;10;8;2")
+    write_text(tmp_path / "in" / "year=2022" / "c.csv", HEADER, "2022;9;B;PE;10;8;2")
+    _run(spark, tmp_path)
+    assert _counts(spark, lake) == {2020: 3, 2022: 4}
+    assert spark.read.parquet(lake.bronze).count() == 7
+    log = audit_log.read_log(spark, lake.bronze_log, S.BRONZE_AUDIT_SCHEMA)
+    assert sorted((r["ano"], r["linhas"], r["status"]) for r in log.collect()) == [
+        (2020, 1, "sucesso"), (2020, 2, "sucesso"), (2022, 1, "sucesso"), (2022, 3, "sucesso"),
+    ]
+    assert audit.latest(log).count() == 2
+
+
+def test_replayed_batch_is_added_once(spark, tmp_path):
+    """The commit of the last batch is taken back, as after a failure between write and commit."""
+    write_text(tmp_path / "in" / "year=2020" / "a.csv", HEADER, "2020;1;A;PE;10;8;2")
+    _run(spark, tmp_path)
+    write_text(tmp_path / "in" / "year=2020" / "b.csv", HEADER, "2020;2;A;PE;10;8;2")
+    assert _run(spark, tmp_path).count() == 2
+    commits = tmp_path / "checkpoint" / "commits"
+    (commits / "1").unlink()
+    (commits / ".1.crc").unlink(missing_ok=True)
+    assert _run(spark, tmp_path).count() == 2
+
+
+def test_columns_are_checked_before_the_stream_starts(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    write_text(tmp_path / "in" / "year=2020" / "a.csv", HEADER, "2020;1;A;PE;10;8;2")
+    with pytest.raises(ValueError, match="QT_APTOS"):
+        load_new_files(spark, str(tmp_path / "in"), lake, str(tmp_path / "c"), [c for c in S.REQUIRED_FIELDS if c != "QT_APTOS"])

@@ -122,6 +122,15 @@ def lake_audit(spark, sf_dir):
     )
 
 
+@check(I.with_bronze("SELECT * FROM bronze"))
+def union_years(spark, sf_dir):
+    """All yearly frames of a table together; each reads its own partition only."""
+    root = scratch_folder(spark, "bronze")
+    rows = I.bronze(spark, sf_dir).withColumn("year", F.col("ANO_ELEICAO"))
+    rows.write.options(**tables.PARQUET_OPTIONS).partitionBy("year").parquet(root)
+    return tables.union_years([tables.read_year(spark, root, y) for y in tables.years_in(spark, root)])
+
+
 @check(
     I.with_bronze(
         f"""SELECT *, ANO_ELEICAO AS year, 'tse:{S.BRONZE_DATASET}:' || CAST(ANO_ELEICAO AS VARCHAR)
@@ -129,19 +138,22 @@ def lake_audit(spark, sf_dir):
     )
 )
 def stream_bronze(spark, sf_dir):
-    """Landed files loaded by the file stream; a second run finds nothing new."""
+    """Landed files loaded by the file stream into a lake; a second run finds nothing new."""
     landed = _landed_years(spark, sf_dir)
-    root = scratch_folder(spark, "stream")
+    lake = Lake(scratch_folder(spark, "stream"))
     for _ in range(2):
-        load_new_files(spark, landed, f"{root}/table", f"{root}/checkpoint", I.REQUIRED)
-    return spark.read.parquet(f"{root}/table").drop(S.LINEAGE_TIMESTAMP)
+        load_new_files(spark, landed, lake, f"{lake.root}/checkpoint", I.REQUIRED)
+    years = tables.years_in(spark, lake.bronze)
+    return tables.read_years_in_full(spark, lake.bronze, years).drop(S.LINEAGE_TIMESTAMP, "Ano")
 
 
 def _zip_files(csv_files, out_dir: str):
-    """One archive per CSV file, with two smaller members and one of another kind."""
+    """One archive per CSV file below ``year=Y``, with two smaller members and one of another kind."""
+    out_dir = files.qualified(csv_files.sparkSession, out_dir)
 
     def zip_each(batches):
         import hashlib
+        import re
         import zipfile
 
         import pandas as pd
@@ -150,7 +162,8 @@ def _zip_files(csv_files, out_dir: str):
             for path in batch["path"]:
                 source, inside = files.open_filesystem(path)
                 name = hashlib.sha256(path.encode()).hexdigest()[:16]
-                archive_path = f"{out_dir}/{name}.zip"
+                year = re.search(r"year=(\d+)", path).group(1)
+                archive_path = f"{out_dir}/{year}/{name}.zip"
                 target, target_inside = files.open_filesystem(archive_path)
                 target.create_dir(target_inside.rsplit("/", 1)[0], recursive=True)
                 with (
@@ -181,7 +194,204 @@ def archive_landing(spark, sf_dir):
     return landed_csv.typed(extracted)
 
 
-@check()
+def _landed_halves(spark, sf_dir: str) -> str:
+    """Landed files of the derived rows: per year two folders below each other."""
+    folder = scratch_folder(spark, "landed")
+    half = F.when(F.col("QT_ABSTENCAO") % 2 == 0, F.lit("a")).otherwise(F.lit("b"))
+    rows = I.bronze(spark, sf_dir).withColumns({"year": F.col("ANO_ELEICAO"), "half": half, "part": half})
+    rows.write.options(sep=S.CSV_SEPARATOR, header="true").partitionBy("year", "half", "part").csv(folder)
+    return folder
+
+
+@check(
+    I.with_bronze(
+        """SELECT ANO_ELEICAO AS ano, count(*) AS linhas, CAST(0 AS BIGINT) AS linhas_malformadas,
+  count(*) AS n_rows, sum(QT_APTOS)::BIGINT AS aptos FROM bronze GROUP BY ANO_ELEICAO"""
+    )
+)
+def lake_many_files(spark, sf_dir):
+    """Several archives of a year (even years) and nested folders (odd years): nothing is left out."""
+    landed = _landed_halves(spark, sf_dir)
+    root = scratch_folder(spark, "archives")
+    _zip_files(files.list_files(spark, landed, "*.csv"), f"{root}/zip").write.parquet(f"{root}/made")
+    years = tables.years_in(spark, landed)
+    origins = {y: f"{root}/zip/{y}/*.zip" if y % 2 == 0 else f"{landed}/year={y}" for y in years}
+    lake = Lake(f"{root}/lake")
+    run_years(lambda y: bronze_plan.ingest_year(spark, lake, y, origins[y]), years)
+    log = audit.latest(audit_log.read_log(spark, lake.bronze_log, S.BRONZE_AUDIT_SCHEMA))
+    rows = tables.read_years_in_full(spark, lake.bronze, years).groupBy("Ano")
+    sums = rows.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("QT_APTOS").alias("aptos"))
+    return log.join(sums, log["ano"] == sums["Ano"]).select(
+        log["ano"], "linhas", "linhas_malformadas", "n_rows", "aptos"
+    )
+
+
+def _land_lines(lines, folder: str) -> None:
+    """Text lines as files that begin with the header."""
+    header = S.CSV_SEPARATOR.join(I.REQUIRED)
+
+    def with_header(batches):
+        first = True
+        for batch in batches:
+            if first and len(batch):
+                batch = batch.copy()
+                batch.iloc[0, 0] = f"{header}\n{batch.iloc[0, 0]}"
+                first = False
+            yield batch
+
+    lines.select("line").mapInPandas(with_header, "line string").write.text(folder)
+
+
+def _lines(rows, last=None):
+    """Bronze rows as landed text lines; NULL is an empty field."""
+    columns = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in I.REQUIRED]
+    return rows.withColumn("line", F.concat_ws(S.CSV_SEPARATOR, *columns[:-1], *([] if last else columns[-1:])))
+
+
+@check(
+    I.with_bronze(
+        """SELECT ANO_ELEICAO AS ano, count(*) AS linhas,
+  count(*) FILTER (QT_ABSTENCAO = 5) AS linhas_malformadas FROM bronze GROUP BY ANO_ELEICAO"""
+    )
+)
+def malformed_lines(spark, sf_dir):
+    """Lines without their last field are padded, and the audit row of the load counts them."""
+    root = scratch_folder(spark, "lines")
+    rows = I.bronze(spark, sf_dir)
+    short = _lines(rows.where("QT_ABSTENCAO = 5"), last=True)
+    whole = _lines(rows.where("QT_ABSTENCAO <> 5"))
+    years = sorted(r["ANO_ELEICAO"] for r in rows.select("ANO_ELEICAO").distinct().collect())
+    lake = Lake(f"{root}/lake")
+
+    def load(year):
+        for name, lines in (("short", short), ("whole", whole)):
+            _land_lines(lines.where(F.col("ANO_ELEICAO") == year), f"{root}/{year}/{name}")
+        bronze_plan.ingest_year(spark, lake, year, f"{root}/{year}")
+
+    run_years(load, years)
+    log = audit.latest(audit_log.read_log(spark, lake.bronze_log, S.BRONZE_AUDIT_SCHEMA))
+    return log.select("ano", "linhas", "linhas_malformadas")
+
+
+def _shifted_origins(spark, sf_dir: str, poisoned: int | None = None) -> dict[int, str]:
+    """Landed files whose years the manifest allows: twenty years later. One may be unreadable."""
+    folder = scratch_folder(spark, "landed")
+    rows = I.bronze(spark, sf_dir).withColumn("ANO_ELEICAO", F.col("ANO_ELEICAO") + _SHIFT)
+    rows = rows.withColumn("year", F.col("ANO_ELEICAO"))
+    if poisoned is not None:
+        bad = F.when(F.col("year") == poisoned, F.lit("foo")).otherwise(F.col("QT_APTOS").cast("string"))
+        rows = rows.withColumn("QT_APTOS", bad)
+    _land(rows, folder, by_year=True)
+    return {y: f"{folder}/year={y}" for y in tables.years_in(spark, folder)}
+
+
+_SHIFT, _POISONED = 20, 2018
+
+
+@check(
+    I.with_bronze(
+        f"""SELECT ANO_ELEICAO + {_SHIFT} AS ano,
+  CASE WHEN ANO_ELEICAO + {_SHIFT} = {_POISONED} THEN '{S.STATUS_FAILED}' ELSE '{S.STATUS_OK}' END AS status,
+  CASE WHEN ANO_ELEICAO + {_SHIFT} = {_POISONED} THEN 0 ELSE count(*) END AS linhas,
+  ANO_ELEICAO + {_SHIFT} = {_POISONED} AS no_bytes, ANO_ELEICAO + {_SHIFT} = {_POISONED} AS names_cause,
+  ANO_ELEICAO + {_SHIFT} <> {_POISONED} AS in_silver FROM bronze GROUP BY ANO_ELEICAO"""
+    )
+)
+def lake_failure(spark, sf_dir):
+    """One unreadable year: its failure is logged with zero counts and raised, the others succeed."""
+    origins = _shifted_origins(spark, sf_dir, _POISONED)
+    lake = Lake(scratch_folder(spark, "lake"))
+    raised = False
+    try:
+        bronze_plan.ingest(spark, lake, origins)
+    except Exception:
+        raised = True
+    built = silver_plan.build_silver(spark, lake, sorted(origins))
+    log = audit.latest(audit_log.read_log(spark, lake.bronze_log, S.BRONZE_AUDIT_SCHEMA))
+    return log.where(F.lit(raised)).select(
+        "ano", "status", "linhas",
+        ((F.col("tamanho_bytes") == 0) & (F.col("checksum") == "")).alias("no_bytes"),
+        F.coalesce(F.col("erro").contains("cannot read 'foo'"), F.lit(False)).alias("names_cause"),
+        F.col("ano").isin(built).alias("in_silver"),
+    )
+
+
+@check(
+    I.with_silver(
+        f"""SELECT * REPLACE (CAST(Ano + {_SHIFT} AS INT) AS Ano), CAST(0 AS BIGINT) AS loaded_again,
+  CAST(0 AS BIGINT) AS built_again FROM ({NATIONAL_SQL})"""
+    )
+)
+def lake_skip(spark, sf_dir):
+    """Manifest to report by the plans' own entry points; a second run has nothing to do."""
+    origins = _shifted_origins(spark, sf_dir)
+    lake, years = Lake(scratch_folder(spark, "lake")), sorted(origins)
+    bronze_plan.ingest(spark, lake, origins)
+    silver_plan.build_silver(spark, lake, years)
+    loaded_again = bronze_plan.ingest(spark, lake, origins)
+    built_again = silver_plan.build_silver(spark, lake, years)
+    national = rounded(report_of(tables.read_years(spark, lake.silver, years), years).national)
+    return national.withColumns(
+        {
+            "loaded_again": F.lit(len(loaded_again)).cast("long"),
+            "built_again": F.lit(len(built_again)).cast("long"),
+        }
+    )
+
+
+_MORE_THAN_10 = "(SELECT * FROM silver WHERE Ano <> 1999 OR QT_APTOS > 10) AS silver"
+
+
+@check(I.with_silver(STATE_SQL.replace("FROM silver", f"FROM {_MORE_THAN_10}")))
+def table_replace_rows(spark, sf_dir):
+    """One year replaced by other rows, here a part of its own; the others untouched."""
+    root = _table_of_years(spark, sf_dir)
+    part = I.silver(spark, sf_dir).drop("Ano").where("ANO_ELEICAO = 1999 AND QT_APTOS > 10")
+    tables.write_year(part, root, 1999)
+    all_years = tables.read_years(spark, root, tables.years_in(spark, root))
+    return rounded(rollups.state_by_year(all_years))
+
+
+def _page_files(spark, sf_dir: str) -> str:
+    """The html of every page as a file of its own, named by the page."""
+    folder = files.qualified(spark, scratch_folder(spark, "pages"))
+
+    def write_each(batches):
+        import pandas as pd
+
+        target, inside = files.open_filesystem(folder)
+        target.create_dir(inside, recursive=True)
+        for batch in batches:
+            for page, html in zip(batch["page_id"], batch["html"], strict=True):
+                with target.open_output_stream(f"{inside}/{page}.html") as out:
+                    out.write(html.encode("utf-8"))
+            yield pd.DataFrame({"page_id": batch["page_id"]})
+
+    pages = I.table(spark, sf_dir, "pages").select("page_id", "html").where("html <> ''")
+    pages.mapInPandas(write_each, "page_id long").write.format("noop").mode("overwrite").save()
+    return folder
+
+
+@check(
+    """SELECT page_id, strlen(html)::BIGINT AS size_bytes, sha256(html) AS sha256 FROM pages WHERE html <> ''"""
+)
 def file_checksums(spark, sf_dir):
-    """Size and SHA-256 of the driver's own table files."""
-    return files.digests(files.list_files(spark, sf_dir, "*.parquet"))
+    """Size and SHA-256 of files, each the html of a page."""
+    digests = files.digests(files.list_files(spark, _page_files(spark, sf_dir)))
+    page = F.regexp_extract("path", r"/(-?\d+)\.html$", 1).cast("long")
+    return digests.select(page.alias("page_id"), "size_bytes", "sha256")
+
+
+_PIECES_SQL = ", ".join(
+    f"sum(('0x' || substr(sha256(html), {start}, 16))::UBIGINT)::VARCHAR" for start in range(1, 65, 16)
+)
+
+
+@check(
+    f"""SELECT count(*) AS n_files, sum(strlen(html))::BIGINT AS size_bytes,
+  sha256(concat_ws('|', count(*)::VARCHAR, sum(strlen(html))::VARCHAR, {_PIECES_SQL})) AS sha256
+FROM pages WHERE html <> ''"""
+)
+def folder_checksum(spark, sf_dir):
+    """One checksum over a folder of files, from the files' own."""
+    return files.folder_digest(files.digests(files.list_files(spark, _page_files(spark, sf_dir))))

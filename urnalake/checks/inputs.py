@@ -12,12 +12,12 @@ from pyspark.sql import types as T
 
 from urnalake import schema as S
 from urnalake.operators.silver import to_silver
-from urnalake.session import size_shuffles, size_splits
 
 # Nation key 0..24 to state code, with one overseas and one unknown code.
-UF_BY_NATION = (
-    "AC AP AM PA RO RR TO AL BA CE MA PB PE PI RN SE DF GO MT MS PR RS MG ZZ XX".split()
-)
+UF_BY_NATION = [
+    "AC", "AP", "AM", "PA", "RO", "RR", "TO", "AL", "BA", "CE", "MA", "PB", "PE",
+    "PI", "RN", "SE", "DF", "GO", "MT", "MS", "PR", "RS", "MG", "ZZ", "XX",
+]
 REQUIRED = list(S.REQUIRED_FIELDS)
 
 
@@ -29,9 +29,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir}/{name}.parquet"
     if path not in _LAYOUTS:
         _LAYOUTS[path] = spark.read.parquet(path).schema
-    scan = spark.read.schema(_LAYOUTS[path]).parquet(path)
-    size_splits(spark, scan)
-    return scan
+    return spark.read.schema(_LAYOUTS[path]).parquet(path)
 
 
 def bronze(spark: SparkSession, sf_dir: str, empty_cells: bool = False) -> DataFrame:
@@ -49,7 +47,6 @@ def bronze(spark: SparkSession, sf_dir: str, empty_cells: bool = False) -> DataF
         .select("s_suppkey", "s_name", "s_nationkey")
         .where(F.col("s_nationkey").between(0, len(UF_BY_NATION) - 1))
     )
-    size_shuffles(spark, lineitem, supplier)
     cells = lineitem.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
     uf = F.get(F.expr("array(" + ", ".join(f"'{u}'" for u in UF_BY_NATION) + ")"), "s_nationkey")
     electorate = F.col("l_quantity").cast("long") - F.lit(1 if empty_cells else 0)
@@ -168,7 +165,6 @@ def with_landed(query: str) -> str:
 def audit_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audit log rows: orders as runs, priority and year as the key."""
     orders = table(spark, sf_dir, "orders")
-    size_shuffles(spark, orders)
     status = F.col("o_orderstatus")
     return orders.select(
         F.col("o_orderpriority").alias("dataset"),

@@ -174,12 +174,6 @@ def sample_exact_large(spark, sf_dir):
     return ranking.exact_sample(I.silver(spark, sf_dir), n=1500, hash_columns=I.REQUIRED)
 
 
-@check(I.with_bronze("SELECT * FROM bronze WHERE ANO_ELEICAO IN (1996, 1998, 2000)"))
-def union_years(spark, sf_dir):
-    rows = I.bronze(spark, sf_dir)
-    return tables.union_years([rows.where(F.col("ANO_ELEICAO") == y) for y in (1996, 1998, 2000)])
-
-
 @check(
     """SELECT ano FROM (SELECT DISTINCT CAST(year(o_orderdate) + 3 AS INT) AS ano FROM orders)
 WHERE ano NOT IN (SELECT year(l_shipdate) FROM lineitem)"""
@@ -204,7 +198,11 @@ def manifest_years(spark, sf_dir):
     return manifest.manifest_of(years).orderBy(F.desc("ano"))
 
 
-_ORIGINS = ("https://example.com/a.zip", "http://example.com/a", "/data/a.csv", "C:\\a.csv", "ftp://x", " ")
+_ORIGINS = (
+    "https://example.com/a.zip", "http://example.com/a", "/data/a.csv", "C:\\a.csv", "ftp://x", " ",
+    "s3a://bucket/a/*.zip", "hdfs://name/a", "abfss://c@account/a", "gs://bucket/a", "file:///a.csv", "s4://bucket/a",
+)
+_ORIGIN_STARTS = ("http://", "https://", "/", "_:", "s3://", "s3a://", "hdfs://", "abfs://", "abfss://", "gs://", "file:/")
 
 
 @check(
@@ -213,13 +211,13 @@ _ORIGINS = ("https://example.com/a.zip", "http://example.com/a", "/data/a.csv",
          CASE o_orderstatus WHEN 'F' THEN '{S.BRONZE_DATASET}' WHEN 'O' THEN '{S.SILVER_DATASET}'
               ELSE CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE 'outro' END END AS dataset,
          CAST(year(o_orderdate) + o_orderkey % 40 AS INT) AS ano,
-         CASE o_orderkey % 6 {" ".join(f"WHEN {i} THEN '{o}'" for i, o in enumerate(_ORIGINS))} END AS origin
+         CASE o_orderkey % {len(_ORIGINS)} {" ".join(f"WHEN {i} THEN '{o}'" for i, o in enumerate(_ORIGINS))} END AS origin
   FROM orders
 ), r AS (
   SELECT *, trim(dataset) <> '' AS name_given,
          dataset IN ('{S.BRONZE_DATASET}', '{S.SILVER_DATASET}') AS name_known,
          ano BETWEEN 2000 AND 2030 AS year_in_range,
-         (origin LIKE 'http://%' OR origin LIKE 'https://%' OR origin LIKE '/%' OR origin LIKE '_:%')
+         ({" OR ".join(f"origin LIKE '{start}%'" for start in _ORIGIN_STARTS)})
            AND trim(origin) <> '' AS origin_valid
   FROM m
 )
@@ -228,7 +226,7 @@ SELECT *, name_given AND name_known AND year_in_range AND origin_valid AS is_val
 )
 def manifest_rules(spark, sf_dir):
     status = F.col("o_orderstatus")
-    origin = F.get(F.array(*[F.lit(o) for o in _ORIGINS]), (F.col("o_orderkey") % 6).cast("int"))
+    origin = F.get(F.array(*[F.lit(o) for o in _ORIGINS]), (F.col("o_orderkey") % len(_ORIGINS)).cast("int"))
     rows = I.table(spark, sf_dir, "orders").select(
         "o_orderkey",
         F.when(status == "F", S.BRONZE_DATASET)

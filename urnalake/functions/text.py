@@ -33,6 +33,10 @@ def grouped_text(count: Column | str) -> Column:
     return F.format_number(count, 0)
 
 
+#: Published addresses, what a session can open (object stores, HDFS, files), and local paths.
+ORIGIN_PATTERN = "(?s)^(https?://|s3a?://|hdfs://|abfss?://|gs://|file:/|/|.:)"
+
+
 def dataset_id(dataset: Column | str, year: Column | str) -> Column:
     return F.concat_ws(":", dataset, year)
 
@@ -42,9 +46,9 @@ def source_id(dataset: Column | str, year: Column | str) -> Column:
 
 
 def is_valid_origin(origin: Column | str) -> Column:
-    """http(s) addresses, absolute paths and drive paths; everything else is rejected."""
+    """http(s) and storage addresses, absolute paths and drive paths; everything else is rejected."""
     origin = F.col(origin) if isinstance(origin, str) else origin
-    return origin.rlike("(?s)^(https?://|/|.:)")
+    return origin.rlike(ORIGIN_PATTERN)
 
 
 def sample_key(columns: list[str], seed: int = S.SAMPLE_SEED) -> Column:

@@ -26,28 +26,9 @@ def top_by_turnout(bronze: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
-_GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 _SLICES = 1000
 
 
-def _narrowed(keyed: DataFrame, n: int) -> DataFrame:
-    """Rows that can be among the n lowest keys of their year, about 1/256 of large years.
-
-    Keys are spread evenly, so their first two digits cut a year into 256 buckets. Counting
-    them is a cheap aggregation; buckets after the one that reaches n are left out. The cut
-    has one row per year, at most the thirty-one the contract allows, so it is broadcast.
-    """
-    buckets = keyed.groupBy("Ano", "__bucket").agg(F.count(F.lit(1)).alias("rows"))
-    earlier = Window.partitionBy("Ano").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    cut = (
-        buckets.withColumn("before", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
-        .where(F.col("before") < n)
-        .groupBy("Ano")
-        .agg(F.max("__bucket").alias("__cut"))
-    )
-    return keyed.join(F.broadcast(cut), "Ano").where(F.col("__bucket") <= F.col("__cut"))
-
-
 def exact_sample(
     df: DataFrame,
     n: int = S.SAMPLE_ROWS,
@@ -56,18 +37,16 @@ def exact_sample(
 ) -> DataFrame:
     """Exactly n rows of each year ``Ano`` (all rows of smaller years), the same on every run.
 
-    Ranking by a content hash makes this a top-n per year. Most rows are left out by the
-    first digits of the hash, before any sort. Of the rest, Spark keeps at most n rows per
-    year and map task before a shuffle; as the tasks may be very many, they are merged in
-    slices of tasks first, so the last step ranks at most n rows per slice however large a
-    year is. Rows that tie are identical, so the slices do not influence the result.
+    Ranking by a content hash makes this a top-n per year, and the input is read once. Spark
+    keeps at most n rows per year and map task before a shuffle (for n up to the group-limit
+    threshold of the session); as the tasks may be very many, they are merged in slices of tasks
+    first, so the last step ranks at most n rows per slice however large a year is. Rows that
+    tie are identical, so the slices do not influence the result. Rows without a year are a
+    group like any year.
     """
-    conf = df.sparkSession.conf
-    if n > int(conf.get(_GROUP_LIMIT, "1000")):
-        conf.set(_GROUP_LIMIT, str(n))  # keep the reduction before the shuffle for large n too
     columns = hash_columns or df.columns
-    keyed = df.withColumn("__key", sample_key(columns, seed)).withColumn("__bucket", F.substring("__key", 1, 2))
-    ranked = _narrowed(keyed, n).withColumn("__slice", F.pmod(F.spark_partition_id(), F.lit(_SLICES)))
+    keyed = df.withColumn("__key", sample_key(columns, seed))
+    ranked = keyed.withColumn("__slice", F.pmod(F.spark_partition_id(), F.lit(_SLICES)))
     order = [F.col("__key")] + [F.asc_nulls_first(quoted(c)) for c in columns]
     for group in (["Ano", "__slice"], ["Ano"]):
         rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))

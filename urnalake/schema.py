@@ -118,6 +118,8 @@ BRONZE_AUDIT_SCHEMA = T.StructType(
         T.StructField("duracao_segundos", T.DoubleType()),
         T.StructField("status", T.StringType()),
         T.StructField("checksum", T.StringType()),
+        # Lines with too few fields; older log files have no such column.
+        T.StructField("linhas_malformadas", T.LongType()),
     ]
     + _AUDIT_END
 )

@@ -1,23 +1,23 @@
-"""Session settings, shuffle sizing and the shared scratch folder."""
+"""Session settings and the shared scratch folder."""
 
 from __future__ import annotations
 
-import math
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
-_INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-_SHUFFLE_TARGET_BYTES = 128 << 20
-_MOST_SHUFFLE_PARTITIONS = 20_000
-_HASH_JOIN_BYTES = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
-_SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
-_MOST_SPLITS = 100_000
+#: Partitions a shuffle starts with; adaptive execution merges small ones but does not split
+#: evenly large ones, so there must be enough of them for the largest input.
+INITIAL_PARTITIONS = 4000
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
-    """A session with the settings this library expects; cluster settings win where given."""
+    """A session with the settings this library expects.
+
+    All settings are made here. Operators and sources change none, so a session that is shared
+    with other work stays as it is, and a cluster's own sizing counts.
+    """
     builder = (
         SparkSession.builder.appName("urnalake")
         .config("spark.sql.session.timeZone", "UTC")
@@ -25,54 +25,23 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # A sort-merge join becomes a hash join where every build partition turns out small.
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
         .config("spark.ui.enabled", "false")
     )
     if master:
         builder = builder.master(master).config("spark.driver.memory", "8g")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    else:
+        builder = builder.config(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(INITIAL_PARTITIONS)
+        )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan; for a file scan it is the listed file size."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def size_shuffles(spark: SparkSession, *inputs: DataFrame) -> int:
-    """Raise AQE's initial partition count so a shuffle of ``inputs`` fits in task memory.
-
-    AQE merges small partitions again but does not split evenly large ones, so the count
-    must be high enough before the shuffle. Beyond the upper bound the blocks between map
-    and reduce tasks would cost more than larger, spilling partitions do. A higher count
-    set by the cluster is kept.
-
-    AQE may also replace a sort-merge join by a hash join where every build partition turns
-    out to be small, which saves sorting the large side.
-    """
-    if spark.conf.get(_HASH_JOIN_BYTES, "0").rstrip("b") == "0":
-        spark.conf.set(_HASH_JOIN_BYTES, "64MB")
-    needed = math.ceil(sum(estimated_bytes(df) for df in inputs) / _SHUFFLE_TARGET_BYTES)
-    needed = min(needed, _MOST_SHUFFLE_PARTITIONS)
-    current = int(spark.conf.get(_INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    if needed > current:
-        spark.conf.set(_INITIAL_PARTITIONS, str(needed))
-        return needed
-    return current
-
-
-def size_splits(spark: SparkSession, scan: DataFrame) -> int:
-    """Enlarge file splits where ``scan`` would otherwise need more tasks than is sensible."""
-    wanted = math.ceil(estimated_bytes(scan) / _MOST_SPLITS)
-    current = int(str(spark.conf.get(_SPLIT_BYTES)).removesuffix("b"))
-    if wanted > current:
-        spark.conf.set(_SPLIT_BYTES, str(wanted))
-        return wanted
-    return current
-
-
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name under the cluster's shared ``spark.checkpoint.dir``.
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from urnalake.sources.files import chunks, open_filesystem
+from urnalake.sources.files import chunks, open_filesystem, qualified
 
 MEMBER_SUFFIX = ".csv"
 
@@ -63,7 +63,7 @@ def largest_csv(listing: DataFrame) -> DataFrame:
 
 
 def extract(chosen: DataFrame, out_dir: str) -> DataFrame:
-    """Extract (archive, member) rows below ``out_dir``; path, size and SHA-256 of each CSV.
+    """Extract (archive, member) rows below the qualified ``out_dir``; path, size, SHA-256 of each CSV.
 
     A task writes under a name of its own and renames at the end, so a retried or
     speculative task cannot leave a half-written file behind the final name.
@@ -114,7 +114,8 @@ def extract(chosen: DataFrame, out_dir: str) -> DataFrame:
 
 def land_archives(spark: SparkSession, archives: DataFrame, out_dir: str) -> DataFrame:
     """Extract one CSV per archive; the result is a written table, so nothing runs twice."""
-    log = f"{out_dir.rstrip('/')}/_landed"
+    out_dir = qualified(spark, out_dir)
+    log = f"{out_dir}/_landed"
     chosen = largest_csv(members(archives))
     extract(chosen, out_dir).write.mode("overwrite").parquet(log)
     landed = spark.read.parquet(log)

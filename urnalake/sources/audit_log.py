@@ -51,17 +51,18 @@ def append(row: DataFrame, root: str) -> None:
     row.write.parquet(f"{root.rstrip('/')}/run_id={uuid.uuid4().hex}")
 
 
-def bronze_success(spark, dataset, year, start, end, rows, size_bytes, checksum) -> DataFrame:
+def bronze_success(spark, dataset, year, start, end, rows, size_bytes, checksum, malformed=None) -> DataFrame:
     return record(
         spark, S.BRONZE_AUDIT_SCHEMA, dataset, year, start, end,
-        status=S.STATUS_OK, linhas=rows, tamanho_bytes=size_bytes, checksum=checksum, erro=None,
+        status=S.STATUS_OK, linhas=rows, tamanho_bytes=size_bytes, checksum=checksum,
+        linhas_malformadas=malformed, erro=None,
     )
 
 
 def bronze_failure(spark, dataset, year, start, end, error) -> DataFrame:
     return record(
         spark, S.BRONZE_AUDIT_SCHEMA, dataset, year, start, end,
-        status=S.STATUS_FAILED, linhas=0, tamanho_bytes=0, checksum="", erro=error,
+        status=S.STATUS_FAILED, linhas=0, tamanho_bytes=0, checksum="", linhas_malformadas=0, erro=error,
     )
 
 

@@ -14,14 +14,17 @@ CHUNK = 1 << 20
 
 
 def open_filesystem(path: str):
-    """(filesystem, path inside it) for a local path or a storage address."""
+    """(filesystem, path inside it) of a qualified path.
+
+    A path without a scheme would mean the disk of whichever executor runs the task, so it is
+    refused; see :func:`qualified`.
+    """
     from pyarrow import fs
 
-    if "://" not in path:
-        path = path.removeprefix("file:")
-        return fs.LocalFileSystem(), path
-    if path.startswith("file://"):
-        return fs.LocalFileSystem(), path.removeprefix("file://")
+    if path.startswith("file:/"):
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    if ":/" not in path:
+        raise ValueError(f"{path} names no filesystem")
     return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
 
 
@@ -65,11 +68,14 @@ def digests(files: DataFrame) -> DataFrame:
 def folder_digest(file_digests: DataFrame) -> DataFrame:
     """(n_files, size_bytes, sha256) over all files of a folder, whatever their order.
 
-    A single file keeps its own checksum. Several are combined by XOR of the pieces of
-    their checksums, so no list of files is gathered in one task.
+    A single file keeps its own checksum. Of several, the checksums are cut into four numbers of
+    64 bits, which are added up and hashed with the count and the size: no list of files is
+    gathered in one task, all digits count, and files with equal content count as often as they
+    are there.
     """
     pieces = [
-        F.bit_xor(F.conv(F.substring("sha256", start, 15), 16, 10).cast("long")) for start in range(1, 60, 15)
+        F.sum(F.conv(F.substring("sha256", start, 16), 16, 10).cast("decimal(20,0)")).cast("string")
+        for start in range(1, 65, 16)
     ]
     combined = F.sha2(F.concat_ws("|", F.count(F.lit(1)), F.sum("size_bytes"), *pieces), 256)
     return file_digests.agg(
@@ -86,6 +92,12 @@ def hadoop_path(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme of the filesystem the session finds it in; tasks get no other."""
+    filesystem, target = hadoop_path(spark, path)
+    return str(filesystem.makeQualified(target))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     filesystem, target = hadoop_path(spark, path)
     return filesystem.exists(target)

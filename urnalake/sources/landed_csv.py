@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,14 +35,19 @@ def read_landed(
     paths: str | Sequence[str],
     encoding: str = "UTF-8",
     keep_malformed: bool = False,
+    malformed: Observation | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Landed columns as strings in header order, whatever they are.
 
-    A line with too few fields is padded with NULL, one with too many fails the job. With
-    ``keep_malformed`` the text of such lines is kept in an extra column instead.
+    Folders are read with everything below them, as :func:`files.list_files` lists them. A line
+    with too few fields is padded with NULL, one with too many fails the job; ``malformed``
+    counts the former as ``malformed`` while the rows are used. With ``keep_malformed`` the text
+    of both kinds is kept in an extra column instead. ``multi_line`` allows line breaks inside
+    quotes, at the price that a file is no longer split between tasks.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    options = csv_options(encoding)
+    options = csv_options(encoding) | {"recursiveFileLookup": "true", "multiLine": str(multi_line).lower()}
     names = spark.read.options(**options).csv(paths).columns
     if not names:
         raise ValueError(f"no header line in {', '.join(paths)}")
@@ -52,23 +57,33 @@ def read_landed(
         .schema(layout)
         .csv(paths)
     )
+    if malformed is not None:
+        # The first field is counted as well: no CSV query may use the malformed text alone.
+        counts = [F.count(CORRUPT).alias("malformed"), F.count(quoted(names[0])).alias("first_fields")]
+        lines = lines.observe(malformed, *counts)
     return lines if keep_malformed else reject_long_lines(lines, names)
 
 
 def reject_long_lines(lines: DataFrame, names: Sequence[str]) -> DataFrame:
     """Fail on lines with more fields than the header; shorter ones stay padded with NULL.
 
-    The test rides on the first column and needs no pass of its own.
+    The test is a filter, so it runs whichever columns are used later, and needs no pass of
+    its own. It names the first field, as no CSV query may use the malformed text alone.
     """
-    problem = F.concat(F.lit(f"more than {len(names)} fields: "), F.col(CORRUPT))
-    first = F.when(_has_extra_fields(len(names)), F.raise_error(problem)).otherwise(quoted(names[0]))
-    others = [quoted(c) for c in lines.columns if c not in (names[0], CORRUPT)]
-    return lines.select(first.alias(names[0]), *others)
+    first = F.coalesce(quoted(names[0]), F.lit(""))
+    problem = F.concat(F.lit(f"more than {len(names)} fields: "), F.col(CORRUPT), F.left(first, F.lit(0)))
+    kept = lines.where(F.when(_has_extra_fields(len(names)), F.raise_error(problem).cast("boolean")).otherwise(True))
+    return kept.drop(CORRUPT)
+
+
+# A quoted field begins at a separator or the line's start and ends at a separator or the line's
+# end, with quote signs doubled inside. Other quote signs are plain text.
+_QUOTED_FIELD = rf'(?s)(^|{S.CSV_SEPARATOR})"[^"]*(?:""[^"]*)*"(?={S.CSV_SEPARATOR}|\r?$)'
 
 
 def _has_extra_fields(expected: int) -> Column:
     """Only malformed lines carry text here, so the count costs nothing on good ones."""
-    unquoted = F.regexp_replace(F.col(CORRUPT), '"[^"]*"', "")
+    unquoted = F.regexp_replace(F.col(CORRUPT), _QUOTED_FIELD, "$1")
     separators = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(S.CSV_SEPARATOR), F.lit("")))
     return F.col(CORRUPT).isNotNull() & (separators + 1 > expected)
 

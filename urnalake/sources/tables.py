@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 
 from urnalake import schema as S
 from urnalake.functions.casting import cast_by_name
-from urnalake.session import size_splits
 from urnalake.sources.files import hadoop_path, path_exists
 
 PARQUET_OPTIONS = {"compression": "zstd", "parquet.compression.codec.zstd.level": "3"}
@@ -40,6 +39,37 @@ def write_year(df: DataFrame, root: str, year: int, observe: dict[str, Column] |
     return result
 
 
+def add_batch(df: DataFrame, root: str, name: str, staging: str) -> dict[int, int]:
+    """Add rows (with column ``year``) to their years' partitions under a batch name; rows per year.
+
+    The batch is written beside the table, then its files are moved in under names that begin
+    with the batch's. Files of an earlier attempt at the same batch go first, so adding a batch
+    again changes nothing. The moves are one call per file on the driver, and readers may see a
+    part of the batch until the last one is done.
+    """
+    spark = df.sparkSession
+    folder = f"{staging.rstrip('/')}/{name}"
+    df.write.mode("overwrite").options(**PARQUET_OPTIONS).partitionBy("year").parquet(folder)
+    filesystem, source = hadoop_path(spark, folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for year in years_in(spark, root):
+        for status in filesystem.listStatus(path(f"{root.rstrip('/')}/year={year}")):
+            if status.getPath().getName().startswith(f"batch-{name}-"):
+                filesystem.delete(status.getPath(), False)
+    rows = {}
+    for year in years_in(spark, folder):
+        partition = f"{folder}/year={year}"
+        rows[year] = spark.read.parquet(partition).count()
+        target = path(f"{root.rstrip('/')}/year={year}")
+        filesystem.mkdirs(target)
+        for status in filesystem.listStatus(path(partition)):
+            file = status.getPath()
+            if not filesystem.rename(file, path(target, f"batch-{name}-{file.getName()}")):
+                raise OSError(f"cannot move {file} to {target}")
+    filesystem.delete(source, True)
+    return rows
+
+
 def years_in(spark: SparkSession, root: str) -> list[int]:
     """Years that have a partition. Lists one folder level and opens no data file."""
     filesystem, target = hadoop_path(spark, root)
@@ -56,9 +86,7 @@ def years_frame(spark: SparkSession, years: list[int]) -> DataFrame:
 
 def read_year(spark: SparkSession, root: str, year: int) -> DataFrame:
     """One year of a table without the partition column."""
-    table = spark.read.parquet(f"{root.rstrip('/')}/year={year}")
-    size_splits(spark, table)
-    return table
+    return spark.read.parquet(f"{root.rstrip('/')}/year={year}")
 
 
 def read_years(
@@ -72,7 +100,6 @@ def read_years(
     columns = T.StructType([*layout.fields, T.StructField("year", T.IntegerType())])
     if path_exists(spark, root):
         table = spark.read.schema(columns).parquet(root)
-        size_splits(spark, table)
     else:
         table = spark.createDataFrame([], columns)
     return table.where(F.col("year").isin(years)).withColumn("Ano", F.col("year").cast("int"))

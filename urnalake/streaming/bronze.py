@@ -1,12 +1,15 @@
 """Bronze load as a file stream: each run takes the files no earlier run has taken.
 
 The checkpoint does for files what the audit log does for years. Landing files lie in
-``<landing>/year=Y/`` and must share one header, which is compared with ``columns``.
+``<landing>/year=Y/`` and must share one header, which is compared with ``columns``. Batches are
+added to the same table that ``ingest`` writes and are audited in the same log.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +17,10 @@ from pyspark.sql import types as T
 
 from urnalake import schema as S
 from urnalake.functions.text import source_id
-from urnalake.sources import landed_csv, tables
+from urnalake.operators.quality import require_contract
+from urnalake.plans.lake import Lake
+from urnalake.sources import audit_log, landed_csv, tables
+from urnalake.sources.files import qualified
 
 
 def landed_stream(
@@ -38,25 +44,35 @@ def landed_stream(
 def load_new_files(
     spark: SparkSession,
     landing: str,
-    table: str,
+    lake: Lake,
     checkpoint: str,
     columns: Sequence[str],
     encoding: str = "UTF-8",
 ) -> None:
-    """Append all new landing files to ``table`` and stop.
+    """Add all new landing files to the lake's bronze table and stop.
 
-    The Parquet sink commits each batch in its own log, so a batch that is run again after
-    a failure is not added twice.
+    Every batch has a name made of the checkpoint and its number. A batch that runs again after
+    a failure replaces the files of that name, so none is added twice and none is lost. Each
+    year of a batch gets an audit row. ``ingest`` replaces a year, streamed rows included.
     """
     landed = landed_stream(spark, landing, columns, encoding)
+    require_contract(landed.drop("year"))
     source = source_id(F.lit(S.BRONZE_DATASET), F.col("year"))
     bronze = landed_csv.with_lineage(landed_csv.typed(landed), source)
+    stream = hashlib.sha256(qualified(spark, checkpoint).encode()).hexdigest()[:16]
+
+    def add(batch: DataFrame, number: int) -> None:
+        start = datetime.now(UTC)
+        rows = tables.add_batch(batch, lake.bronze, f"{stream}-{number:012d}", f"{lake.landing}/_batches")
+        for year, count in sorted(rows.items()):
+            success = audit_log.bronze_success(
+                spark, S.BRONZE_DATASET, year, start, datetime.now(UTC), count, None, None
+            )
+            audit_log.append(success, lake.bronze_log)
+
     query = (
-        bronze.writeStream.format("parquet")
-        .options(**tables.PARQUET_OPTIONS)
-        .option("path", table)
+        bronze.writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
-        .partitionBy("year")
         .trigger(availableNow=True)
         .start()
     )
