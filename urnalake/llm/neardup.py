@@ -1,15 +1,16 @@
 """Near duplicates by HyperMinHash: compressed registers, banding, estimate, verification.
 
 A document's set is its distinct 5-word shingles. One hash per shingle picks a bucket; a bucket
-keeps its smallest hash as a leading-zero count plus mantissa bits. Bands of registers are the
-keys under which similar sets meet. Sets too small to fill the registers meet under their
-smallest hashes instead: with a similarity of at least t, two sets share one of the first
-n - ceil(t n) + 1, so no link of small sets depends on chance.
+keeps its smallest hash as a leading-zero count plus mantissa bits, an empty one takes those of a
+bucket drawn for it. Bands of registers are the keys under which similar sets meet. Small sets
+meet under their rarest shingles instead: with a similarity of at least t, two sets share one of
+the first n - ceil(t n) + 1 in any common order, so no link of small sets depends on chance.
 
 Groups of copies are never expanded into pairs. Equal sets are one class. In each bucket a class
 is compared with one leader; classes that verified links connect need no further comparison.
 Only where a bucket still holds several components, classes outside its largest component are
-compared with the members of other components, after the estimate from the registers.
+compared with others: those with which they share one of their rarest shingles, as many as the
+sizes of the two ask for, and which the estimate from the registers leaves possible.
 """
 
 from __future__ import annotations
@@ -19,32 +20,34 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from urnalake.checks.registry import check
 from urnalake.llm.common import ship, table, written
 from urnalake.llm.graph import components
-from urnalake.llm.words import mix, window_hashes, word_hashes, words_of
+from urnalake.llm.words import mix, window_hashes, word_hashes
 
 SHINGLE = 5
 #: A link needs PARTS[0] * |union| <= PARTS[1] * |intersection|, that is 0.75 or more.
 PARTS = (75, 100)
-REGISTERS = 64
-BAND = 2
+REGISTERS = 256
+#: Registers in a band. At the threshold similarity a pair meets in none of the 64 bands with a
+#: probability of 3e-11; sets that share a tenth meet with one of 0.6 per cent.
+BAND = 4
 #: Bits of a register: six for the leading zeros, the rest mantissa.
-MANTISSA_BITS = 18
-#: Sets of fewer shingles leave registers empty, so they meet by their smallest hashes.
+MANTISSA_BITS = 10
+#: Sets of fewer shingles fill too few buckets and meet by their rarest shingles.
 FULL_FROM = 64
 #: Standard errors below the threshold down to which an estimate is verified.
 DOUBT = 5.0
 
-_SKETCH = "id long, n long, set_a long, set_b long, registers binary, smallest array<long>"
+_SKETCH = "id long, n long, set_a long, set_b long, registers binary, shingles array<long>"
 
 
 def shingle_set(text: str | None) -> np.ndarray:
     """The distinct shingle hashes of a text, sorted; a shorter text is one shingle."""
-    words = words_of(text.translate(_LOWER) if text else None)
+    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []  # of bytes: A-Z only
     if not words:
         return np.zeros(0, np.uint64)
     hashes = word_hashes(words)
@@ -53,12 +56,11 @@ def shingle_set(text: str | None) -> np.ndarray:
     return np.unique(mix(window_hashes(hashes, SHINGLE)))
 
 
-_LOWER = {upper: upper + 32 for upper in range(ord("A"), ord("Z") + 1)}
-
-
 def registers_of(shingles: np.ndarray) -> np.ndarray:
-    """HyperMinHash registers; 0 is an empty bucket, larger values are smaller hashes."""
-    registers = np.zeros(REGISTERS, np.uint32)
+    """HyperMinHash registers; larger values are smaller hashes."""
+    registers = np.zeros(REGISTERS, np.uint16)
+    if not len(shingles):
+        return registers
     bucket_bits = np.uint64(REGISTERS.bit_length() - 1)
     bucket = (shingles >> (np.uint64(64) - bucket_bits)).astype(np.int64)
     rest = (shingles << bucket_bits) | np.uint64(1)
@@ -66,9 +68,16 @@ def registers_of(shingles: np.ndarray) -> np.ndarray:
     first[1:] = bucket[1:] != bucket[:-1]
     rest = rest[first]
     zeros = 63 - _top_bit(rest)
-    mantissa = (rest << (zeros + 1).astype(np.uint64)) >> np.uint64(64 - MANTISSA_BITS)
-    registers[bucket[first]] = ((zeros + 1).astype(np.uint32) << np.uint32(MANTISSA_BITS)) | mantissa.astype(np.uint32)
-    return registers
+    mantissa = (rest << zeros.astype(np.uint64) << np.uint64(1)) >> np.uint64(64 - MANTISSA_BITS)
+    registers[bucket[first]] = ((zeros + 1).astype(np.uint64) << np.uint64(MANTISSA_BITS)) | mantissa
+    # Empty buckets draw others in an order of their own until one is filled.
+    empty, filled, draw = np.flatnonzero(registers == 0), registers.copy(), 0
+    while len(empty):
+        draw += 1
+        donor = mix(empty.astype(np.uint64) + np.uint64(draw * REGISTERS)) % np.uint64(REGISTERS)
+        filled[empty] = registers[donor.astype(np.int64)]
+        empty = empty[filled[empty] == 0]
+    return filled
 
 
 def _top_bit(values: np.ndarray) -> np.ndarray:
@@ -81,21 +90,21 @@ def _top_bit(values: np.ndarray) -> np.ndarray:
     return top
 
 
-def estimated_similarity(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int) -> float:
-    """Share of equal registers among the filled ones, less the expected chance collisions."""
-    filled = (a > 0) | (b > 0)
-    count = int(filled.sum())
-    if not count:
-        return 0.0
-    equal = int(((a == b) & filled).sum())
-    # Two independent registers agree in the zeros and in the mantissa: a third at most agree in
-    # the zeros (geometric counts of similar size), and 2**-bits of those in the mantissa.
-    expected = count * min(n_a, n_b) / max(n_a, n_b) * 2.0**-MANTISSA_BITS / 3
-    return max(0.0, (equal - expected) / count)
+def estimated_similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Share of equal registers, less the expected chance collisions."""
+    # Registers of different shingles agree in the leading zeros about every third time (counts
+    # are geometric) and then in the mantissa with 2**-bits.
+    chance = 2.0**-MANTISSA_BITS / 3
+    return max(0.0, (float((a == b).mean()) - chance) / (1 - chance))
+
+
+def _samples(n: int) -> float:
+    """Buckets that n shingles fill on average: registers that count as independent."""
+    return REGISTERS * (1 - (1 - 1 / REGISTERS) ** n)
 
 
 def _small_part(n: int) -> int:
-    """How many smallest hashes two sets of similarity PARTS share one of."""
+    """Of the first so many elements in a common order, two linked sets share one."""
     return n - -(-PARTS[0] * n // PARTS[1]) + 1
 
 
@@ -105,13 +114,13 @@ def _largest_small() -> int:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(id, n, 128-bit digest of the set, registers, smallest hashes of small sets)."""
+    """(id, n, 128-bit digest of the set, registers of large sets, shingles of small ones)."""
     ship(docs.sparkSession)
     most = _largest_small()
 
     def run(batches):
         for batch in batches:
-            n, one, two, registers, smallest = [], [], [], [], []
+            n, one, two, registers, small = [], [], [], [], []
             for text in batch.column("text"):
                 shingles = shingle_set(text.as_py())
                 digest = xxhash.xxh3_128_intdigest(shingles.tobytes())
@@ -119,43 +128,41 @@ def sketches(docs: DataFrame) -> DataFrame:
                 one.append((digest >> 64) - (1 << 63))
                 two.append((digest & (2**64 - 1)) - (1 << 63))
                 registers.append(registers_of(shingles).tobytes() if len(shingles) >= FULL_FROM else b"")
-                small = 0 < len(shingles) <= most
-                smallest.append(shingles[: _small_part(len(shingles))].view(np.int64) if small else [])
+                small.append(shingles.view(np.int64) if len(shingles) <= most else [])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
-                 pa.array(registers, pa.binary()), pa.array(smallest, pa.list_(pa.int64()))],
-                names=["id", "n", "set_a", "set_b", "registers", "smallest"],
+                 pa.array(registers, pa.binary()), pa.array(small, pa.list_(pa.int64()))],
+                names=["id", "n", "set_a", "set_b", "registers", "shingles"],
             )
 
     return docs.select("id", "text").mapInArrow(run, _SKETCH)
 
 
-def _keys(classes: DataFrame) -> DataFrame:
-    """(key, id): the bands and smallest hashes under which classes meet."""
+def _band_keys(classes: DataFrame) -> DataFrame:
+    """(key, id): the bands of each large set."""
 
     def run(batches):
         salts = mix(np.arange(1, REGISTERS // BAND + 1, dtype=np.uint64))
         for batch in batches:
-            keys, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-            for i, registers, smallest in zip(
-                batch.column("id").to_pylist(), batch.column("registers").to_pylist(),
-                batch.column("smallest").to_pylist(), strict=True,
-            ):
-                own = [np.array(smallest, np.int64).view(np.uint64)]
-                if registers:
-                    bands = np.frombuffer(registers, np.uint32).astype(np.uint64).reshape(-1, BAND)
-                    key = salts.copy()
-                    for column in bands.T:
-                        key = mix(key * np.uint64(0x9E3779B97F4A7C15) + column)
-                    own.append(key[bands.any(axis=1)])
-                own = np.unique(np.concatenate(own))
-                keys.append(own)
-                owners.append(np.full(len(own), i, np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(owners))], names=["key", "id"]
-            )
+            registers = np.frombuffer(b"".join(batch.column("registers").to_pylist()), np.uint16)
+            bands = registers.astype(np.uint64).reshape(-1, REGISTERS // BAND, BAND)
+            packed = np.zeros(bands.shape[:2], np.uint64)
+            for column in range(BAND):
+                packed = (packed << np.uint64(16)) | bands[:, :, column]
+            keys = mix(packed ^ salts[None, :])
+            ids = np.repeat(batch.column("id").to_numpy(), REGISTERS // BAND)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(ids)], names=["key", "id"])
+
+    return classes.where(f"n >= {FULL_FROM}").select("id", "registers").mapInArrow(run, "key long, id long")
 
-    return classes.select("id", "registers", "smallest").mapInArrow(run, "key long, id long")
+
+def _rare_keys(classes: DataFrame) -> DataFrame:
+    """(key, id): the rarest shingles of each small set, as many as links need."""
+    small = classes.where(f"n <= {_largest_small()}").select("id", "n", F.explode("shingles").alias("key"))
+    counts = small.groupBy("key").agg(F.count(F.lit(1)).alias("sets"))
+    place = F.row_number().over(Window.partitionBy("id").orderBy("sets", "key"))
+    part = F.col("n") - F.ceil(F.col("n") * PARTS[0] / PARTS[1]) + 1
+    return small.join(counts, "key").withColumn("place", place).where(F.col("place") <= part).select("key", "id")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -201,30 +208,30 @@ def _unpacked(packed: bytes) -> str:
 
 
 def _similar_by_estimate(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs whose registers don't rule the threshold out; small sets have none and stay."""
-    margin = DOUBT * math.sqrt(PARTS[0] * (PARTS[1] - PARTS[0])) / PARTS[1]
-    threshold = PARTS[0] / PARTS[1]
+    """Pairs that sizes and registers don't rule out; small sets are compared as they are."""
+    low, high = PARTS
+    margin = DOUBT * math.sqrt(low * (high - low)) / high
+
+    def similar(a: bytes, b: bytes, n_a: int, n_b: int, few_a: list[int], few_b: list[int]) -> bool:
+        if min(n_a, n_b) * high < max(n_a, n_b) * low:
+            return False
+        if few_a and few_b:
+            shared = len(set(few_a).intersection(few_b))
+            return high * shared >= low * (n_a + n_b - shared)
+        estimate = estimated_similarity(np.frombuffer(a, np.uint16), np.frombuffer(b, np.uint16))
+        return estimate >= low / high - margin / math.sqrt(_samples(min(n_a, n_b)))
 
     def run(batches):
         for batch in batches:
-            keep = []
-            for a, b, n_a, n_b in zip(*(batch.column(c).to_pylist() for c in ("ra", "rb", "na", "nb")), strict=True):
-                if min(n_a, n_b) * PARTS[1] < max(n_a, n_b) * PARTS[0]:
-                    keep.append(False)
-                    continue
-                if not a or not b:
-                    keep.append(True)
-                    continue
-                a, b = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
-                filled = int(((a > 0) | (b > 0)).sum())
-                keep.append(estimated_similarity(a, b, n_a, n_b) >= threshold - margin / math.sqrt(filled))
-            yield pa.RecordBatch.from_arrays(
-                [c.filter(pa.array(keep)) for c in (batch.column("a"), batch.column("b"))], names=["a", "b"]
-            )
-
-    one = classes.select(F.col("id").alias("a"), F.col("registers").alias("ra"), F.col("n").alias("na"))
-    two = classes.select(F.col("id").alias("b"), F.col("registers").alias("rb"), F.col("n").alias("nb"))
-    rows = pairs.join(one, "a").join(two, "b").select("a", "b", "ra", "rb", "na", "nb")
+            columns = (batch.column(c).to_pylist() for c in ("ra", "rb", "na", "nb", "sa", "sb"))
+            keep = pa.array([similar(*row) for row in zip(*columns, strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
+
+    sides = [
+        classes.select(F.col("id").alias(c), *(F.col(x).alias(f"{x[0]}{c}") for x in ("registers", "n", "shingles")))
+        for c in "ab"
+    ]
+    rows = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "ra", "rb", "na", "nb", "sa", "sb")
     return rows.mapInArrow(run, "a long, b long")
 
 
@@ -244,16 +251,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     linked = sketched.where("n > 0 AND id IS NOT NULL")
     classes = linked.groupBy("set_a", "set_b").agg(
         F.min("id").alias("id"), F.first("n").alias("n"),
-        F.first("registers").alias("registers"), F.first("smallest").alias("smallest"),
+        F.first("registers").alias("registers"), F.first("shingles").alias("shingles"),
     )
     classes = written(classes, "neardup-classes")
-    buckets = written(_in_company(_keys(classes)), "neardup-buckets")
+    buckets = written(_in_company(_band_keys(classes).unionByName(_rare_keys(classes))), "neardup-buckets")
     wanted = buckets.select("id").distinct()
     texts = written(_packed(rows).join(wanted, "id", "left_semi"), "neardup-texts")
 
-    # One leader per bucket, another in each: a class goes with the leader it meets most often.
-    leader = F.min_by("id", F.xxhash64("id", "key"))
-    led = buckets.join(buckets.groupBy("key").agg(leader.alias("leader")), "key").where("id <> leader")
+    # A bucket's leader is the member that meets most others over all its buckets: of a text and
+    # its edited copies that is the text. A class goes with the leader it meets most often.
+    sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+    central = buckets.join(sizes, "key").groupBy("id").agg(F.sum("size").alias("met"))
+    leader = F.max_by("id", F.struct("met", -F.col("id")))
+    leaders = buckets.join(central, "id").groupBy("key").agg(leader.alias("leader"))
+    led = buckets.join(leaders, "key").where("id <> leader")
     best = led.groupBy("id", "leader").count().groupBy("id").agg(F.max_by("leader", F.struct("count", "leader")).alias("b"))
     first = written(verified(best.select(F.col("id").alias("a"), "b"), texts), "neardup-links")
     joined = components(first, "neardup-components")
@@ -269,10 +280,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         .where("parts > 1").select("key", "largest")
     )
     mixed = placed.join(largest, "key")
-    outside = mixed.where("component <> largest").select("key", F.col("id").alias("x"), F.col("component").alias("cx"))
-    inside = mixed.select("key", F.col("id").alias("y"), F.col("component").alias("cy"), "largest")
-    across = outside.join(inside, "key").where("cx <> cy AND (cy = largest OR x < y)")
-    across = across.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    mixed = mixed.groupBy("id", "component").agg(F.max(F.col("component") != F.col("largest")).alias("outside"))
+    mixed = written(mixed, "neardup-mixed")
+    across = _possible_pairs(mixed, _ranked_shingles(texts.join(mixed, "id", "left_semi")))
     second = verified(_similar_by_estimate(across, classes), texts)
     links = first.select("a", "b").unionByName(second)
 
@@ -290,6 +300,80 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
 
 
+def _ranked_shingles(texts: DataFrame) -> DataFrame:
+    """(id, shingle, sets, place, n, u): the shingles of texts, the rarest of a text first.
+
+    ``sets`` is the number of texts with the shingle, n that of the text's shingles, u of those
+    which any other of these texts has.
+    """
+
+    def run(batches):
+        for batch in batches:
+            for i, packed in zip(batch.column("id").to_pylist(), batch.column("packed"), strict=True):
+                shingles = shingle_set(_unpacked(packed.as_py()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(shingles), i, np.int64)), pa.array(shingles.view(np.int64))], names=["id", "shingle"]
+                )
+
+    rows = texts.select("id", "packed").mapInArrow(run, "id long, shingle long").distinct()
+    owners = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets"))
+    own = Window.partitionBy("id")
+    return rows.join(owners, "shingle").withColumns(
+        {
+            "place": F.row_number().over(own.orderBy("sets", "shingle")),
+            "n": F.count(F.lit(1)).over(own),
+            "u": F.count(F.when(F.col("sets") > 1, 1)).over(own),
+        }
+    )
+
+
+#: Sizes up to this one are a band each; beyond it, sizes within half a per cent share one.
+_OWN_BAND = 200
+
+
+def _band(size: Column) -> Column:
+    beyond = F.floor(F.log(size.cast("double") / _OWN_BAND) * _OWN_BAND + 1e-9) + _OWN_BAND
+    return F.when(size <= _OWN_BAND, size).otherwise(beyond).cast("int")
+
+
+def _smallest_in(band: Column) -> Column:
+    """A size that no set in the band is below."""
+    beyond = F.lit(float(_OWN_BAND)) * F.exp((band - _OWN_BAND) / F.lit(float(_OWN_BAND)))
+    return F.when(band <= _OWN_BAND, band.cast("double")).otherwise(beyond - F.lit(1e-3))
+
+
+def _possible_pairs(mixed: DataFrame, ranked: DataFrame) -> DataFrame:
+    """(a, b) of different components that may be linked, once each.
+
+    Two linked sets of n and m shingles share at least c = PARTS[0] * (n + m) / (PARTS[0] +
+    PARTS[1]), so one of the first n - c + 1 of the one is among the first m - c + 1 of the other.
+    For sets of like size that is a seventh of their shingles, for a text with too many edits
+    hardly more than those edits, which few others have. So the sizes, in bands, are part of the
+    key. A set with u shingles in common with any other has partners in a range of sizes only,
+    most often in none.
+    """
+    low, high = PARTS
+    least = F.ceil(F.col("n") * low / high)
+    most = F.least(F.floor(F.col("n") * high / low), F.floor(F.col("u") * (low + high) / low) - F.col("n"))
+
+    sizes = _smallest_in(F.col("own")) + _smallest_in(F.col("other"))
+    common = F.ceil(sizes * low / (low + high) - F.lit(1e-6))
+    keys = (
+        ranked.withColumns({"least": least, "most": most}).where("sets > 1 AND least <= most")
+        .withColumn("own", _band(F.col("n")))
+        .withColumn("other", F.explode(F.sequence(_band(F.col("least")), _band(F.col("most")))))
+        .where(F.col("place") <= F.col("n") - common + 1)
+        .select("shingle", "own", "other", "id").join(mixed, "id")
+    )
+    x = keys.where("outside").select("shingle", "own", "other", F.col("id").alias("x"), F.col("component").alias("cx"))
+    y = keys.select(
+        "shingle", F.col("own").alias("other"), F.col("other").alias("own"), F.col("id").alias("y"),
+        F.col("component").alias("cy"),
+    )
+    pairs = x.join(y, ["shingle", "own", "other"]).where("cx <> cy")
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def _in_company(keys: DataFrame) -> DataFrame:
     """The rows of keys that several ids have."""
     shared = keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
