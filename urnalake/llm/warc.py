@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from urnalake.checks.registry import check
 from urnalake.llm.common import ship, table, written
 from urnalake.session import scratch_folder
-from urnalake.sources.files import hadoop_path, open_filesystem
+from urnalake.sources.files import open_filesystem, qualified
 
 #: Bytes of payload in a chunk row.
 CHUNK_BYTES = 1 << 18
@@ -90,6 +90,7 @@ def write_archives(records: DataFrame, folder: str) -> DataFrame:
     member, written a slice at a time.
     """
     ship(records.sparkSession)
+    folder = qualified(records.sparkSession, folder)
 
     def run(batches):
         filesystem, inside = open_filesystem(folder)
@@ -234,9 +235,8 @@ def archived(pages: DataFrame, key: str = "page_id", html: str = "html") -> Data
     are not written. Archives go to the shared scratch folder.
     """
     spark = pages.sparkSession
-    filesystem, path = hadoop_path(spark, scratch_folder(spark, "warc"))
-    folder = str(filesystem.makeQualified(path))
-    index = written(write_archives(with_revisits(pages, key, html), folder), "warc-index")
+    records = with_revisits(pages, key, html)
+    index = written(write_archives(records, scratch_folder(spark, "warc")), "warc-index")
     kind = pages.schema[key].dataType
     back = records_of(read_chunks(index))
     unsound = F.raise_error(F.concat(F.lit("damaged record "), "record_id")).cast("long")
