@@ -63,7 +63,7 @@ def test_chunks_carry_content_and_incremental_digests(spark):
 def test_archives_are_plain_warc(spark):
     folder = scratch_folder(spark, "warc-test")
     index = written(warc.write_archives(warc.with_revisits(frame(spark, PAGES[:2]).coalesce(1)), folder), "warc-test-index")
-    with gzip.open(index.first()["archive"].removeprefix("file://")) as file:
+    with gzip.open(index.first()["archive"].removeprefix("file:")) as file:
         content = file.read()
     assert content.count(b"WARC/1.1\r\nWARC-Type: ") == 2
     assert b"\r\nEvil" not in content and content.endswith(b"\r\n\r\n\r\n\r\n")

@@ -27,8 +27,8 @@ ORDER = 4
 TRAIN_DOCS = 2_500
 #: N-grams per language in a model, the most frequent ones.
 MOST_GRAMS = 300_000
-#: Rejected beyond so many times the largest excess of a calibration text.
-SLACK = 2.5
+#: Where only one language is learned: rejected beyond so many times its own texts' largest excess.
+SLACK = 4.0
 #: Characters beyond which an entropy counts as exact, for excess and score.
 SETTLED = 400
 UNKNOWN = "und"
@@ -125,7 +125,7 @@ class LanguageModels:
     weights: dict[int, tuple[np.ndarray, np.ndarray]]
     unseen: np.ndarray
     typical: np.ndarray
-    largest_excess: np.ndarray
+    allowed: np.ndarray
 
     def entropies(self, codes: np.ndarray) -> tuple[np.ndarray, int]:
         """Cross-entropy per character under each language, and the number of characters."""
@@ -158,7 +158,7 @@ class LanguageModels:
         best = int(np.argmin(entropy))
         score = 1.0 / float(np.exp(-(entropy - entropy[best]) * min(n, SETTLED)).sum())
         excess = excess_of(entropy[best], self.typical[best], n)
-        return self.languages[best], score, bool(excess > SLACK * self.largest_excess[best])
+        return self.languages[best], score, bool(excess > self.allowed[best])
 
 
 def excess_of(entropy: float, typical: float, n: int) -> float:
@@ -256,30 +256,40 @@ def _most_frequent(counts: DataFrame) -> DataFrame:
 
 
 def _calibrated(models: LanguageModels, texts: DataFrame) -> LanguageModels:
+    """Sets the excess that a text of each language is allowed.
+
+    It lies half way between the largest excess of the language's own texts and what texts of
+    the other languages have: those stand in for languages that were not learned.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(models)
 
     def run(batches):
         for batch in batches:
-            out = []
+            rows = []
             for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
                 codes = codes_of(text)
-                if len(codes) and lang in shared.value.languages:
+                if len(codes):
                     entropy, n = shared.value.entropies(codes)
-                    out.append((lang, float(entropy[shared.value.languages.index(lang)]), n))
+                    rows += [(lang, model, float(e), n) for model, e in zip(shared.value.languages, entropy, strict=True)]
+            columns = list(zip(*rows, strict=True)) or [[], [], [], []]
+            kinds = (pa.string(), pa.string(), pa.float64(), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in out], pa.string()), pa.array([r[1] for r in out], pa.float64()), pa.array([r[2] for r in out], pa.int64())],
-                names=["lang", "entropy", "n"],
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["lang", "model", "entropy", "n"]
             )
 
-    measured = texts.select("text", "lang").mapInArrow(run, "lang string, entropy double, n long").toPandas()
-    typical, largest = np.zeros(len(models.languages)), np.full(len(models.languages), np.inf)
+    measured = texts.select("text", "lang").mapInArrow(run, "lang string, model string, entropy double, n long").toPandas()
+    typical, allowed = np.zeros(len(models.languages)), np.full(len(models.languages), np.inf)
     for column, lang in enumerate(models.languages):
-        own = measured[measured["lang"] == lang]
-        if len(own):
-            typical[column] = np.average(own["entropy"], weights=own["n"])
-            excess = [excess_of(e, typical[column], n) for e, n in zip(own["entropy"], own["n"], strict=True)]
-            largest[column] = max([*excess, 0.1])
-    models.typical, models.largest_excess = typical, largest
+        by_model = measured[measured["model"] == lang]
+        own, foreign = by_model[by_model["lang"] == lang], by_model[by_model["lang"] != lang]
+        if not len(own):
+            continue
+        typical[column] = np.average(own["entropy"], weights=own["n"])
+        excess = [[excess_of(e, typical[column], n) for e, n in zip(t["entropy"], t["n"], strict=True)] for t in (own, foreign)]
+        most = max([*excess[0], 0.1])
+        least = float(np.quantile(excess[1], 0.05)) if excess[1] else 0.0
+        allowed[column] = (most + least) / 2 if least > most else SLACK * most
+    models.typical, models.allowed = typical, allowed
     return models
 
 
