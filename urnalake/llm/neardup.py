@@ -69,6 +69,7 @@ def registers_of(shingles: np.ndarray) -> np.ndarray:
     rest = rest[first]
     zeros = 63 - _top_bit(rest)
     mantissa = (rest << zeros.astype(np.uint64) << np.uint64(1)) >> np.uint64(64 - MANTISSA_BITS)
+    mantissa ^= np.uint64((1 << MANTISSA_BITS) - 1)  # so that order holds among equal zeros too
     registers[bucket[first]] = ((zeros + 1).astype(np.uint64) << np.uint64(MANTISSA_BITS)) | mantissa
     # Empty buckets draw others in an order of their own until one is filled.
     empty, filled, draw = np.flatnonzero(registers == 0), registers.copy(), 0
@@ -282,7 +283,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     mixed = placed.join(largest, "key")
     mixed = mixed.groupBy("id", "component").agg(F.max(F.col("component") != F.col("largest")).alias("outside"))
     mixed = written(mixed, "neardup-mixed")
-    across = _possible_pairs(mixed, _ranked_shingles(texts.join(mixed, "id", "left_semi")))
+    across = _possible_pairs(_ranked_shingles(texts.join(mixed, "id")))
     second = verified(_similar_by_estimate(across, classes), texts)
     links = first.select("a", "b").unionByName(second)
 
@@ -301,28 +302,36 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def _ranked_shingles(texts: DataFrame) -> DataFrame:
-    """(id, shingle, sets, place, n, u): the shingles of texts, the rarest of a text first.
+    """(id, component, outside, shingle, crossing, place, n, u): shingles, the rarest of a text first.
 
-    ``sets`` is the number of texts with the shingle, n that of the text's shingles, u of those
-    which any other of these texts has.
+    A shingle is crossing if texts of several components have it. n is the number of the text's
+    shingles, u that of its crossing ones.
     """
 
     def run(batches):
         for batch in batches:
-            for i, packed in zip(batch.column("id").to_pylist(), batch.column("packed"), strict=True):
-                shingles = shingle_set(_unpacked(packed.as_py()))
+            columns = (batch.column(c).to_pylist() for c in ("id", "component", "outside", "packed"))
+            for i, component, outside, packed in zip(*columns, strict=True):
+                shingles = shingle_set(_unpacked(packed))
+                count = len(shingles)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(shingles), i, np.int64)), pa.array(shingles.view(np.int64))], names=["id", "shingle"]
+                    [pa.array(np.full(count, i)), pa.array(np.full(count, component)), pa.array(np.full(count, outside)),
+                     pa.array(shingles.view(np.int64))],
+                    names=["id", "component", "outside", "shingle"],
                 )
 
-    rows = texts.select("id", "packed").mapInArrow(run, "id long, shingle long").distinct()
-    owners = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets"))
+    rows = texts.select("id", "component", "outside", "packed").mapInArrow(
+        run, "id long, component long, outside boolean, shingle long"
+    ).distinct()
+    owners = rows.groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("sets"), (F.min("component") != F.max("component")).alias("crossing")
+    )
     own = Window.partitionBy("id")
     return rows.join(owners, "shingle").withColumns(
         {
             "place": F.row_number().over(own.orderBy("sets", "shingle")),
             "n": F.count(F.lit(1)).over(own),
-            "u": F.count(F.when(F.col("sets") > 1, 1)).over(own),
+            "u": F.count(F.when(F.col("crossing"), 1)).over(own),
         }
     )
 
@@ -342,15 +351,15 @@ def _smallest_in(band: Column) -> Column:
     return F.when(band <= _OWN_BAND, band.cast("double")).otherwise(beyond - F.lit(1e-3))
 
 
-def _possible_pairs(mixed: DataFrame, ranked: DataFrame) -> DataFrame:
+def _possible_pairs(ranked: DataFrame) -> DataFrame:
     """(a, b) of different components that may be linked, once each.
 
     Two linked sets of n and m shingles share at least c = PARTS[0] * (n + m) / (PARTS[0] +
     PARTS[1]), so one of the first n - c + 1 of the one is among the first m - c + 1 of the other.
     For sets of like size that is a seventh of their shingles, for a text with too many edits
     hardly more than those edits, which few others have. So the sizes, in bands, are part of the
-    key. A set with u shingles in common with any other has partners in a range of sizes only,
-    most often in none.
+    key. A set with u shingles in common with any of another component has partners in a range of
+    sizes only, most often in none.
     """
     low, high = PARTS
     least = F.ceil(F.col("n") * low / high)
@@ -359,11 +368,11 @@ def _possible_pairs(mixed: DataFrame, ranked: DataFrame) -> DataFrame:
     sizes = _smallest_in(F.col("own")) + _smallest_in(F.col("other"))
     common = F.ceil(sizes * low / (low + high) - F.lit(1e-6))
     keys = (
-        ranked.withColumns({"least": least, "most": most}).where("sets > 1 AND least <= most")
+        ranked.withColumns({"least": least, "most": most}).where("crossing AND least <= most")
         .withColumn("own", _band(F.col("n")))
         .withColumn("other", F.explode(F.sequence(_band(F.col("least")), _band(F.col("most")))))
         .where(F.col("place") <= F.col("n") - common + 1)
-        .select("shingle", "own", "other", "id").join(mixed, "id")
+        .select("shingle", "own", "other", "id", "component", "outside")
     )
     x = keys.where("outside").select("shingle", "own", "other", F.col("id").alias("x"), F.col("component").alias("cx"))
     y = keys.select(
