@@ -158,9 +158,9 @@ def _judge_runs(runs: DataFrame) -> DataFrame:
 
 
 def _levels(size: int, seed: int) -> list[int]:
-    """Seed length doubled up to the final length."""
+    """Seed length doubled up to half the final length, then the final length itself."""
     lengths = []
-    while seed * 2 < size:
+    while seed * 4 <= size:
         seed *= 2
         lengths.append(seed)
     return [*lengths, size]
