@@ -398,10 +398,14 @@ WITH RECURSIVE split AS (
     ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) END AS s FROM split
 ), sizes AS (SELECT doc_id, len(s)::BIGINT AS n FROM sets
 ), items AS (SELECT doc_id, unnest(s) AS x FROM sets
-), links AS (
-  SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.x = b.x AND a.doc_id <> b.doc_id
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM items a JOIN items b ON a.x = b.x AND a.doc_id < b.doc_id
   GROUP BY a.doc_id, b.doc_id
-  HAVING 100 * count(*) >= 75 * ((SELECT n FROM sizes WHERE doc_id = a.doc_id) + (SELECT n FROM sizes WHERE doc_id = b.doc_id) - count(*))
+), near AS (
+  SELECT a, b FROM pairs JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b
+  WHERE 100 * shared >= 75 * (s.n + t.n - shared)
+), links AS (
+  SELECT a, b FROM near UNION ALL SELECT b, a FROM near
 ), reach AS (
   SELECT doc_id AS a, doc_id AS b FROM sizes UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
 )
