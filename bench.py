@@ -14,6 +14,8 @@ from urnalake.checks import audit_checks, quality_checks, report_checks, silver_
 from urnalake.checks import inputs
 from urnalake.checks.registry import QUERIES
 from urnalake.operators.silver import to_silver
+from urnalake.plans.bronze import ingest_year
+from urnalake.plans.lake import Lake
 from urnalake.session import build_session, scratch_folder
 from urnalake.sources import tables
 
@@ -62,6 +64,11 @@ def main() -> None:
 
         rollups_fused(tables.read_years(spark, f"{root}/silver", [2022])).collect()
 
+    # The load from text: landed CSV files to a bronze year, checksum and audit row included.
+    landed = f"{root}/landed"
+    inputs.bronze(spark, sf_dir).write.options(sep=";", header="true").csv(landed)
+    lake = Lake(f"{root}/lake")
+    timed["ingest"] = seconds(lambda: ingest_year(spark, lake, 2022, landed))
     timed["table_silver_build"] = seconds(build_silver)
     timed["table_report"] = seconds(report)
     spark.stop()
