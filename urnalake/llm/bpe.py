@@ -12,21 +12,24 @@ import json
 import re
 import sys
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType, StructField, StructType
 
 from urnalake.checks.registry import check
 from urnalake.llm.common import ship, table
 
 #: Words whose ids a task keeps at a time; beyond it the memory starts anew.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 100_000
 #: Symbols (words times longest word) that are merged side by side at a time.
 SIDE_BY_SIDE = 1 << 18
+#: Rows whose ids or decoded texts a task holds at a time.
+ROWS_AT_A_TIME = 200
 #: Bytes of a word beyond which it is merged alone: few words are so long.
 LONG_WORD = 64
 #: Characters of a document that are looked up at a time.
@@ -304,35 +307,50 @@ def _model_step(spark: SparkSession, path: str):
     return lambda: model_of(shared.value)
 
 
+def _with_column(df: DataFrame, column: str, into: str, kind: DataType, step: Callable[[pa.Array], pa.Array]) -> DataFrame:
+    """``df`` with ``into`` computed from ``column``, a few rows at a time."""
+    kept = [c for c in df.columns if c != into or c == column]
+    rows = df.select(*kept)
+    names = [c for c in kept if c != into]
+    schema = StructType([*(rows.schema[c] for c in names), StructField(into, kind)])
+
+    def run(batches):
+        for batch in batches:
+            for begin in range(0, batch.num_rows, ROWS_AT_A_TIME):
+                part = batch.slice(begin, ROWS_AT_A_TIME)
+                made = step(part.column(column))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), made], names=[*names, into])
+
+    out = rows.mapInArrow(run, schema)
+    return out.select(*[c for c in df.columns if c != into], into)
+
+
 def encode(docs: DataFrame, path: str, text: str = "text", into: str = "ids") -> DataFrame:
-    """``docs`` with the ids of every whole text as array ``into``.
+    """``docs`` with the ids of every whole text as array ``into``, the last column.
 
     Null and empty texts, and texts of white space only, have no ids. The column ``into`` is
     replaced if there is one; other columns and rows, also repeated ones, stay as they are.
     """
     get = _model_step(docs.sparkSession, path)
 
-    @F.pandas_udf("array<int>")
-    def ids(texts):
-        import pandas as pd
+    def step(texts: pa.Array) -> pa.Array:
+        encoded = get().encode_batch(texts.to_pylist())
+        offsets = np.cumsum([0, *(len(x) // 4 for x in encoded)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(encoded), "<i4")))
 
-        return pd.Series([np.frombuffer(x, "<i4") for x in get().encode_batch(texts.tolist())])
-
-    return docs.withColumn(into, ids(F.col(text)))
+    return _with_column(docs, text, into, ArrayType(IntegerType()), step)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """``df`` with the text of an array of ids as column ``into``; null ids give the empty text."""
     get = _model_step(df.sparkSession, path)
 
-    @F.pandas_udf("string")
-    def texts(column):
-        import pandas as pd
-
+    def step(column: pa.Array) -> pa.Array:
         none = np.zeros(0, "<u4")
-        return pd.Series([get().decode(np.asarray(none if x is None else x, "<u4").tobytes()) for x in column])
+        values = (np.asarray(x.values, "<u4") if x.is_valid else none for x in column)
+        return pa.array([get().decode(x.tobytes()) for x in values], pa.string())
 
-    return df.withColumn(into, texts(F.col(ids)))
+    return _with_column(df, ids, into, StringType(), step)
 
 
 def token_digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
