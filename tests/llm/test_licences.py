@@ -69,3 +69,76 @@ def test_odd_rows(spark):
     got = [(r["doc_id"], len(r["licences"])) for r in licences.scan_licences(df).collect()]
     assert sorted(got) == [(1, 0), (2, 0), (3, 0), (4, 0), (5, 1), (5, 1)]
     assert licences.scan_licences(df.limit(0)).collect() == []
+
+
+def _every_window(texts, least, words):
+    """(first, last, licence, dice) of all windows that reach the coefficient."""
+    known = [(name, licences.bigrams(licences.normalised(v))) for name, vs in texts.items() for v in vs]
+    found = []
+    for i in range(len(words)):
+        for j in range(i + 2, len(words) + 1):
+            grams = licences.bigrams(words[i:j])
+            found += [(i, j, name, d) for name, t in known if (d := licences.dice(grams, t)) >= least]
+    return found
+
+
+def test_all_windows_are_found():
+    rng = random.Random(7)
+    texts = {"A": ["a b c d a b e f"], "B": ["b c d a b", "x y"], "C": ["a b a b a b c"], "D": ["one"]}
+    matched = 0
+    for _ in range(1500):
+        words = [rng.choice("abcdefxyz") for _ in range(rng.randint(0, 14))]
+        for _ in range(rng.randint(0, 2)):
+            at = rng.randint(0, len(words))
+            words[at:at] = rng.choice([v for vs in texts.values() for v in vs]).split()
+        least = rng.choice([0.6, 0.75, 0.9])
+        got, possible = licences.Windows(texts, least).spans(words), _every_window(texts, least, words)
+        assert set(got) <= set(possible)
+        assert all(a[1] <= b[0] for a, b in zip(got, got[1:]))
+        assert all(any(i < b and a < j for a, b, _, _ in got) for i, j, _, _ in possible)
+        alone = licences.Windows({"A": texts["A"]}, least).spans(words)
+        best = max((d, j - i, -i) for i, j, _, d in own) if (own := _every_window({"A": texts["A"]}, least, words)) else None
+        assert max(((d, j - i, -i) for i, j, _, d in alone), default=None) == best
+        matched += len(got)
+    assert matched > 1000
+
+
+PROSE = "Some other prose that is no licence of any kind and goes on for a while. " * 40
+PARAGRAPHS = {
+    "MIT": ("to the following conditions:", "portions of the Software."),
+    "Apache-2.0": ("with the License.", "licenses/LICENSE-2.0"),
+    "GPL-3.0": ("any later version.", "for more details."),
+}
+
+
+def _wrapped(text, width=12):
+    words = text.split()
+    return "\n".join(" ".join(words[i : i + width]) for i in range(0, len(words), width))
+
+
+def test_licences_of_several_paragraphs_in_long_documents():
+    windows = licences.Windows(TEMPLATES, licences.LEAST)
+    for name, ends in PARAGRAPHS.items():
+        text = " ".join(TEMPLATES[name][0].split())
+        for end in ends:
+            assert end in text
+            text = text.replace(f"{end} ", f"{end}\n\n")
+        assert windows.find(f"{PROSE}\n\n{text}\n\n{PROSE}") == [(name, 1.0)]
+        assert windows.find(f"{PROSE}\n{_wrapped(TEMPLATES[name][0])}\n{PROSE}") == [(name, 1.0)]
+
+
+def test_notices_inside_lines_and_beside_owners():
+    windows = licences.Windows(TEMPLATES, licences.LEAST)
+    line = "The tool is open. Licensed under the Apache License, Version 2.0. See the file beside it for all of the terms"
+    assert windows.find(f"{PROSE}{line} {PROSE}") == [("Apache-2.0", 1.0)]
+    assert windows.find("words before it. Released under\nthe MIT License. And words after it") == [("MIT", 1.0)]
+    assert windows.find("Copyright 2020 Some Owner. All rights reserved.") == [("All-Rights-Reserved", 1.0)]
+    both = f"{PROSE} {TEMPLATES['ISC'][0]} Licensed under CC BY-NC 4.0. {TEMPLATES['MIT'][0]} {PROSE}"
+    assert windows.find(both) == [("ISC", 1.0), ("CC-BY-NC-4.0", 1.0), ("MIT", 1.0)]
+    assert windows.find(PROSE) == windows.find(None) == windows.find("") == []
+
+
+def test_query_rows_hold_matches_inside_long_texts(spark):
+    rows = [(1, f"{PROSE}Released under the MIT License. {PROSE}"), (2, PROSE)]
+    got = licences.scan_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: [m["licence"] for m in r["licences"]] for r in got} == {1: ["MIT"], 2: []}
