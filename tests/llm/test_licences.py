@@ -142,3 +142,55 @@ def test_query_rows_hold_matches_inside_long_texts(spark):
     rows = [(1, f"{PROSE}Released under the MIT License. {PROSE}"), (2, PROSE)]
     got = licences.scan_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r["doc_id"]: [m["licence"] for m in r["licences"]] for r in got} == {1: ["MIT"], 2: []}
+
+
+BSD_2 = """Copyright (c) 2020, Some Owner
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+{clause}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+"""
+CLAUSE_3 = """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+
+def test_exact_copies_of_complete_licences():
+    from urnalake.llm import licence_full
+
+    windows = licences.Windows(TEMPLATES, licences.LEAST)
+    copies = {
+        "BSD-2-Clause": BSD_2.format(clause=""),
+        "BSD-3-Clause": BSD_2.format(clause=CLAUSE_3),
+        "Apache-2.0": licence_full.APACHE,
+        "GPL-3.0": licence_full.GPL,
+        "MPL-2.0": licence_full.MPL,
+    }
+    assert [len(licence_full.APACHE.split()), len(licence_full.GPL.split()), len(licence_full.MPL.split())] == [1581, 5644, 2435]
+    for name, copy in copies.items():
+        for text in (copy, f"{PROSE}\n\n{copy}\n\n{PROSE}", f"{PROSE}\n{_wrapped(copy, 15)}\n{PROSE}"):
+            found = [m for m in windows.find(text) if m[0] != "All-Rights-Reserved"]
+            assert {n for n, _ in found} == {name}
+        words = licences.normalised(f"{PROSE}\n\n{copy}\n\n{PROSE}")
+        (value,) = [d for _, _, n, d in windows.spans(words) if n == name]
+        assert value > 0.97

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urnalake.llm import licence_full
+
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software
 and associated documentation files (the "Software"), to deal in the Software without restriction, including
 without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
@@ -30,6 +32,15 @@ other materials provided with the distribution."""
 _BSD_3 = _BSD_2 + """ Neither the name of the copyright holder nor the names of its contributors may be used
 to endorse or promote products derived from this software without specific prior written permission."""
 
+_BSD_DISCLAIMER = """ THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR
+IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A
+PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY
+DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO,
+PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR
+OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH
+DAMAGE."""
+
 _APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except
 in compliance with the License. You may obtain a copy of the License at
 http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software
@@ -50,11 +61,22 @@ MPL was not distributed with this file, You can obtain one at https://mozilla.or
 TEMPLATES: dict[str, list[str]] = {
     "Apache-2.0": [
         _APACHE,
+        licence_full.APACHE,
         "Licensed under the Apache License, Version 2.0.",
         "Released under the Apache License 2.0.",
     ],
-    "BSD-2-Clause": [_BSD_2, "Licensed under the BSD 2-Clause License.", "Released under the Simplified BSD License."],
-    "BSD-3-Clause": [_BSD_3, "Licensed under the BSD 3-Clause License.", "Released under the New BSD License."],
+    "BSD-2-Clause": [
+        _BSD_2,
+        _BSD_2 + _BSD_DISCLAIMER,
+        "Licensed under the BSD 2-Clause License.",
+        "Released under the Simplified BSD License.",
+    ],
+    "BSD-3-Clause": [
+        _BSD_3,
+        _BSD_3 + _BSD_DISCLAIMER,
+        "Licensed under the BSD 3-Clause License.",
+        "Released under the New BSD License.",
+    ],
     "CC-BY-4.0": [
         "Licensed under CC BY 4.0.",
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
@@ -69,12 +91,13 @@ TEMPLATES: dict[str, list[str]] = {
     ],
     "GPL-3.0": [
         _GPL,
+        licence_full.GPL,
         "This work is licensed under the GNU General Public License, version 3.",
         "Licensed under the GNU GPL, version 3.",
         "Released under the GNU General Public License version 3.",
     ],
     "ISC": [_ISC, "Released under the ISC License.", "Licensed under the ISC License."],
     "MIT": [_MIT, "Released under the MIT License.", "Licensed under the MIT License."],
-    "MPL-2.0": [_MPL, "Licensed under the Mozilla Public License, version 2.0."],
+    "MPL-2.0": [_MPL, licence_full.MPL, "Licensed under the Mozilla Public License, version 2.0."],
     "All-Rights-Reserved": ["All rights reserved."],
 }
