@@ -3,7 +3,7 @@ from helpers import HEADER, write_text
 
 from urnalake import schema as S
 from urnalake.operators import audit
-from urnalake.plans import Lake, ingest
+from urnalake.plans import Lake, build_silver, ingest
 from urnalake.sources import audit_log, tables
 from urnalake.streaming import load_new_files
 
@@ -77,3 +77,36 @@ def test_columns_are_checked_before_the_stream_starts(spark, tmp_path):
     write_text(tmp_path / "in" / "year=2020" / "a.csv", HEADER, "2020;1;A;PE;10;8;2")
     with pytest.raises(ValueError, match="QT_APTOS"):
         load_new_files(spark, str(tmp_path / "in"), lake, str(tmp_path / "c"), [c for c in S.REQUIRED_FIELDS if c != "QT_APTOS"])
+
+
+def test_a_streamed_year_is_still_ingested(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    write_text(tmp_path / "in" / "year=2022" / "a.csv", HEADER, "2022;9;A;PE;10;8;2")
+    _run(spark, tmp_path)
+    origin = write_text(tmp_path / "other.csv", HEADER, *[f"2022;{i};A;PE;10;8;2" for i in range(1, 4)])
+    assert ingest(spark, lake, {2022: origin}) == [2022]
+    assert _counts(spark, lake) == {2022: 3}
+    write_text(tmp_path / "in" / "year=2022" / "b.csv", HEADER, "2022;8;A;PE;10;8;2")
+    _run(spark, tmp_path)
+    assert ingest(spark, lake, {2022: origin}) == []
+    assert _counts(spark, lake) == {2022: 4}
+
+
+def test_streamed_rows_reach_silver(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    origin = write_text(tmp_path / "other.csv", HEADER, "2022;1;A;PE;10;8;2")
+    ingest(spark, lake, {2022: origin})
+    assert build_silver(spark, lake, [2022]) == [2022] and build_silver(spark, lake, [2022]) == []
+    write_text(tmp_path / "in" / "year=2022" / "a.csv", HEADER, "2022;2;A;PE;10;8;2", "2022;3;A;PE;10;8;2")
+    _run(spark, tmp_path)
+    assert build_silver(spark, lake, [2022]) == [2022] and build_silver(spark, lake, [2022]) == []
+    assert tables.read_years(spark, lake.silver, [2022]).count() == 3
+
+
+def test_short_lines_of_a_batch_are_counted_per_year(spark, tmp_path):
+    write_text(tmp_path / "in" / "year=2020" / "a.csv", HEADER, "2020;1;A;PE;10;8", "2020;2;A;PE;10", "2020;3;A;PE;10;8;2")
+    write_text(tmp_path / "in" / "year=2022" / "b.csv", HEADER, "2022;1;A;PE;10;8;2")
+    rows = _run(spark, tmp_path)
+    assert rows.count() == 4 and "__is_malformed" not in rows.columns
+    log = audit_log.read_log(spark, Lake(str(tmp_path / "lake")).bronze_log, S.BRONZE_AUDIT_SCHEMA)
+    assert {r["ano"]: (r["linhas"], r["linhas_malformadas"]) for r in log.collect()} == {2020: (3, 2), 2022: (1, 0)}

@@ -47,16 +47,33 @@ def successes(log: DataFrame) -> DataFrame:
     return latest(log).where(F.col("status") == S.STATUS_OK).select(*KEY)
 
 
+def loads(log: DataFrame) -> DataFrame:
+    """Runs that load a whole year; batches of the stream add to one and finish none."""
+    return log.where(F.col("carga").isNull()) if "carga" in log.columns else log
+
+
 def pending_bronze(manifest: DataFrame, log: DataFrame) -> DataFrame:
-    """Manifest rows (dataset, ano, …) whose latest run is not a success."""
-    return manifest.join(successes(log), list(KEY), "left_anti")
+    """Manifest rows (dataset, ano, …) whose latest load is not a success, whatever batches were added."""
+    return manifest.join(successes(loads(log)), list(KEY), "left_anti")
 
 
 def pending_silver(
-    manifest: DataFrame, log: DataFrame, silver_years: DataFrame, bronze_years: DataFrame
+    manifest: DataFrame,
+    log: DataFrame,
+    silver_years: DataFrame,
+    bronze_years: DataFrame,
+    bronze_log: DataFrame | None = None,
 ) -> DataFrame:
-    """Manifest rows to build: bronze is there, and not (succeeded before and output still there)."""
+    """Manifest rows to build: bronze is there, and not (succeeded before and output still there).
+
+    With ``bronze_log``, a year is built again if a load or batch succeeded after its build began.
+    """
     finished = successes(log).join(silver_years, "ano", "left_semi")
+    if bronze_log is not None:
+        changed = bronze_log.where(F.col("status") == S.STATUS_OK).groupBy("ano").agg(F.max("timestamp_fim").alias("__changed"))
+        began = latest(log).select(*KEY, "timestamp_inicio").join(changed, "ano")
+        stale = began.where(F.col("__changed") > F.col("timestamp_inicio"))
+        finished = finished.join(stale, list(KEY), "left_anti")
     return manifest.join(bronze_years, "ano", "left_semi").join(finished, list(KEY), "left_anti")
 
 

@@ -51,15 +51,18 @@ def build_silver_year(spark: SparkSession, lake: Lake, year: int) -> tuple[int,
 def build_silver(spark: SparkSession, lake: Lake, years: list[int]) -> list[int]:
     """Build the years that have bronze data and are not finished; returns the years built.
 
+    A year whose bronze rows changed after its build began is not finished.
     A year without bronze data is passed over and leaves no audit row.
     """
     manifest = tables.years_frame(spark, years).select(F.lit(S.SILVER_DATASET).alias("dataset"), "ano")
     log = audit_log.read_log(spark, lake.silver_log, S.SILVER_AUDIT_SCHEMA)
+    bronze_log = audit_log.read_log(spark, lake.bronze_log, S.BRONZE_AUDIT_SCHEMA)
     work = audit.pending_silver(
         manifest,
         log,
         silver_years=tables.years_frame(spark, tables.years_in(spark, lake.silver)),
         bronze_years=tables.years_frame(spark, tables.years_in(spark, lake.bronze)),
+        bronze_log=bronze_log.where(F.col("dataset") == S.BRONZE_DATASET),
     )
     pending = sorted(row["ano"] for row in work.collect())
     run_years(lambda year: build_silver_year(spark, lake, year), pending)

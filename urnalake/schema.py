@@ -102,6 +102,8 @@ SILVER_SCHEMA = T.StructType(
     ]
 )
 
+KIND_BATCH = "fluxo"
+
 _AUDIT_KEY = [
     T.StructField("dataset", T.StringType()),
     T.StructField("ano", T.IntegerType()),
@@ -120,6 +122,8 @@ BRONZE_AUDIT_SCHEMA = T.StructType(
         T.StructField("checksum", T.StringType()),
         # Lines with too few fields; older log files have no such column.
         T.StructField("linhas_malformadas", T.LongType()),
+        # KIND_BATCH for a batch of the stream; NULL for the load of a year.
+        T.StructField("carga", T.StringType()),
     ]
     + _AUDIT_END
 )

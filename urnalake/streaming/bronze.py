@@ -11,7 +11,7 @@ import hashlib
 from collections.abc import Sequence
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +23,9 @@ from urnalake.sources import audit_log, landed_csv, tables
 from urnalake.sources.files import qualified
 
 
+MALFORMED = "__is_malformed"
+
+
 def landed_stream(
     spark: SparkSession,
     landing: str,
@@ -30,6 +33,7 @@ def landed_stream(
     encoding: str = "UTF-8",
     files_per_trigger: int = 1000,
 ) -> DataFrame:
+    """Landed columns as strings, ``year``, and whether a line was too short (``MALFORMED``)."""
     texts = [T.StructField(c, T.StringType()) for c in [*columns, landed_csv.CORRUPT]]
     lines = (
         spark.readStream.options(**landed_csv.csv_options(encoding))
@@ -38,7 +42,8 @@ def landed_stream(
         .schema(T.StructType(texts).add("year", T.IntegerType()))
         .csv(landing)
     )
-    return landed_csv.reject_long_lines(lines, columns)
+    # Lines that are too long fail, so the malformed ones that stay are too short.
+    return landed_csv.reject_long_lines(lines.withColumn(MALFORMED, F.col(landed_csv.CORRUPT).isNotNull()), columns)
 
 
 def load_new_files(
@@ -53,20 +58,27 @@ def load_new_files(
 
     Every batch has a name made of the checkpoint and its number. A batch that runs again after
     a failure replaces the files of that name, so none is added twice and none is lost. Each
-    year of a batch gets an audit row. ``ingest`` replaces a year, streamed rows included.
+    year of a batch gets an audit row, of a kind that does not count as the load of the year.
+    ``ingest`` replaces a year, streamed rows included; ``build_silver`` builds a year again that
+    batches were added to.
     """
     landed = landed_stream(spark, landing, columns, encoding)
-    require_contract(landed.drop("year"))
+    require_contract(landed.drop("year", MALFORMED))
     source = source_id(F.lit(S.BRONZE_DATASET), F.col("year"))
     bronze = landed_csv.with_lineage(landed_csv.typed(landed), source)
     stream = hashlib.sha256(qualified(spark, checkpoint).encode()).hexdigest()[:16]
 
     def add(batch: DataFrame, number: int) -> None:
         start = datetime.now(UTC)
-        rows = tables.add_batch(batch, lake.bronze, f"{stream}-{number:012d}", f"{lake.landing}/_batches")
+        years = tables.years_in(spark, landing)
+        short = Observation()
+        counts = [F.count_if(F.col(MALFORMED) & (F.col("year") == y)).alias(str(y)) for y in years]
+        counted = batch.observe(short, F.count(F.lit(1)).alias("rows"), *counts).drop(MALFORMED)
+        rows = tables.add_batch(counted, lake.bronze, f"{stream}-{number:012d}", f"{lake.landing}/_batches")
         for year, count in sorted(rows.items()):
             success = audit_log.bronze_success(
-                spark, S.BRONZE_DATASET, year, start, datetime.now(UTC), count, None, None
+                spark, S.BRONZE_DATASET, year, start, datetime.now(UTC), count, None, None,
+                short.get.get(str(year)), S.KIND_BATCH,
             )
             audit_log.append(success, lake.bronze_log)
 
