@@ -110,3 +110,15 @@ def test_short_lines_of_a_batch_are_counted_per_year(spark, tmp_path):
     assert rows.count() == 4 and "__is_malformed" not in rows.columns
     log = audit_log.read_log(spark, Lake(str(tmp_path / "lake")).bronze_log, S.BRONZE_AUDIT_SCHEMA)
     assert {r["ano"]: (r["linhas"], r["linhas_malformadas"]) for r in log.collect()} == {2020: (3, 2), 2022: (1, 0)}
+
+
+def test_a_year_of_both_loads_has_the_columns_of_both(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    origin = write_text(tmp_path / "other.csv", f"{HEADER};NR_ZONA", "2022;1;A;PE;10;8;2;7", "2022;4;A;PE;10;8;2;#NULO#")
+    ingest(spark, lake, {2022: origin})
+    write_text(tmp_path / "in" / "year=2022" / "a.csv", HEADER, "2022;2;A;PE;10;8;2")
+    rows = {r["CD_MUNICIPIO"]: r["NR_ZONA"] for r in _run(spark, tmp_path).collect()}
+    assert rows == {1: 7, 2: None, 4: None}
+    assert build_silver(spark, lake, [2022]) == [2022]
+    silver = tables.read_years_in_full(spark, lake.silver, [2022])
+    assert {r["CD_MUNICIPIO"]: r["NR_ZONA"] for r in silver.collect()} == {1: 7, 2: None}

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from urnalake import schema as S
+from urnalake.functions.casting import quoted
 from urnalake.operators import audit
 from urnalake.operators.quality import require_schema
 from urnalake.operators.silver import to_silver
@@ -31,9 +32,12 @@ def build_silver_year(spark: SparkSession, lake: Lake, year: int) -> tuple[int,
     """
     start = datetime.now(UTC)
     try:
-        bronze = tables.read_year(spark, lake.bronze, year)
+        parts = tables.year_parts(spark, lake.bronze, year)
+        bronze = tables.union_loose(parts)
         rows_before = bronze.count()
-        silver = silver_frame(bronze)
+        # A column that a part of the year was never loaded with is no reason to remove its rows.
+        silver = tables.union_loose([silver_frame(part) for part in parts])
+        silver = silver.select(*map(quoted, [*bronze.columns, *(c for c in silver.columns if c not in bronze.columns)]))
         rows_after = tables.write_year(silver, lake.silver, year)["rows"]
     except Exception as error:
         failure = audit_log.silver_failure(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -48,6 +49,7 @@ def add_batch(df: DataFrame, root: str, name: str, staging: str) -> dict[int, in
     part of the batch until the last one is done.
     """
     spark = df.sparkSession
+    columns = hashlib.sha256("\0".join(c for c in df.columns if c != "year").encode()).hexdigest()[:8]
     folder = f"{staging.rstrip('/')}/{name}"
     df.write.mode("overwrite").options(**PARQUET_OPTIONS).partitionBy("year").parquet(folder)
     filesystem, source = hadoop_path(spark, folder)
@@ -64,7 +66,7 @@ def add_batch(df: DataFrame, root: str, name: str, staging: str) -> dict[int, in
         filesystem.mkdirs(target)
         for status in filesystem.listStatus(path(partition)):
             file = status.getPath()
-            if not filesystem.rename(file, path(target, f"batch-{name}-{file.getName()}")):
+            if not filesystem.rename(file, path(target, f"batch-{name}-{columns}-{file.getName()}")):
                 raise OSError(f"cannot move {file} to {target}")
     filesystem.delete(source, True)
     return rows
@@ -85,8 +87,41 @@ def years_frame(spark: SparkSession, years: list[int]) -> DataFrame:
 
 
 def read_year(spark: SparkSession, root: str, year: int) -> DataFrame:
-    """One year of a table without the partition column."""
-    return spark.read.parquet(f"{root.rstrip('/')}/year={year}")
+    """One year of a table without the partition column; a column only some files have is NULL in the others."""
+    return union_loose(year_parts(spark, root, year))
+
+
+def year_parts(spark: SparkSession, root: str, year: int) -> list[DataFrame]:
+    """One year of a table, a frame for all files of one set of columns.
+
+    A load has one set and so has each batch, told by the file name: one footer per frame tells its
+    columns, however many batches there are.
+    """
+    folder = f"{root.rstrip('/')}/year={year}"
+    filesystem, target = hadoop_path(spark, folder)
+    names = [s.getPath().getName() for s in filesystem.listStatus(target)] if filesystem.exists(target) else []
+    globs = {_same_columns(n) for n in names if n.startswith("batch-")}
+    if globs and any(n.startswith("part-") for n in names):
+        globs.add("part-*")
+    if len(globs) < 2:
+        return [spark.read.parquet(folder)]
+    ordered = sorted(globs, key=lambda g: (g != "part-*", g))
+    return [spark.read.option("pathGlobFilter", glob).parquet(folder) for glob in ordered]
+
+
+def _same_columns(name: str) -> str:
+    """The glob of batch files with the columns of this one; older names tell only their stream."""
+    if found := re.match(r"batch-.*-([0-9a-f]{8})-part-", name):
+        return f"batch-*-{found.group(1)}-part-*"
+    return re.sub(r"-\d{12}-part-.*", f"-{'?' * 12}-part-*", name)
+
+
+def union_loose(frames: list[DataFrame]) -> DataFrame:
+    """UNION ALL by name; a column that a frame lacks is NULL in its rows."""
+    result = frames[0]
+    for frame in frames[1:]:
+        result = result.unionByName(frame, allowMissingColumns=True)
+    return result
 
 
 def read_years(
@@ -108,7 +143,7 @@ def read_years(
 def read_years_in_full(spark: SparkSession, root: str, years: list[int]) -> DataFrame:
     """Like ``read_years`` with all columns; a column only some years have is NULL in the others.
 
-    A year is written by one job, so one footer per year tells its columns. Merging the
+    One footer tells the columns of all files that :func:`year_parts` puts together. Merging the
     schema of every file would open them all.
     """
     present = [y for y in years if y in set(years_in(spark, root))]
@@ -117,10 +152,7 @@ def read_years_in_full(spark: SparkSession, root: str, years: list[int]) -> Data
     frames = [
         read_year(spark, root, y).withColumns({"year": F.lit(y), "Ano": F.lit(y)}) for y in present
     ]
-    result = frames[0]
-    for frame in frames[1:]:
-        result = result.unionByName(frame, allowMissingColumns=True)
-    return result
+    return union_loose(frames)
 
 
 def union_years(frames: list[DataFrame]) -> DataFrame:
