@@ -2,6 +2,7 @@
 
 from urnalake.llm import (  # noqa: F401
     bpe,
+    centroids,
     chat,
     langid,
     licences,
