@@ -11,5 +11,6 @@ from urnalake.llm import (  # noqa: F401
     neardup,
     substrings,
     topk,
+    trie,
     warc,
 )
