@@ -13,4 +13,5 @@ from urnalake.llm import (  # noqa: F401
     topk,
     trie,
     warc,
+    wordbpe,
 )
