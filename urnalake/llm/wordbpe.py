@@ -174,30 +174,47 @@ def _bundles(batches, splitter: Splitter) -> Iterator[_Bundle]:
         yield bundle
 
 
-def _words_sent(rows: DataFrame, pattern: str, buckets: int) -> DataFrame:
-    """(bundle, bucket, numbers, words): each bundle's distinct words by the bucket of their hash."""
+def _cut(rows: DataFrame, pattern: str, buckets: int) -> DataFrame:
+    """Bundles as rows of two kinds.
+
+    With a bucket: the numbers and the bytes of the bundle's distinct words that their hash sends
+    there. Without one: the bundle's documents as numbers of their words, position by position.
+    """
+    key_type = rows.schema["id"].dataType.simpleString()
+    names = ["bundle", "bucket", "keys", "counts", "words", "numbers", "body"]
 
     def run(batches):
         splitter = Splitter(pattern)
         for bundle in _bundles(batches, splitter):
+            kinds = [pa.int64(), pa.int64(), pa.list_(bundle.keys[0].type), pa.binary(), pa.int64(), pa.binary(), pa.binary()]
             words = [w.encode("utf-8") for w in bundle.numbering]
             bucket = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) % np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
             cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-            pack = zstandard.ZstdCompressor(level=1)
-            columns: list[list] = [[], [], [], []]
+            pack, name, out = zstandard.ZstdCompressor(level=1), bundle.name(), []
             for numbers in np.split(order, cuts) if len(order) else []:
                 some = [words[i] for i in numbers]
                 lengths = np.array([len(w) for w in some], "<u4")
                 body = len(some).to_bytes(4, "little") + lengths.tobytes() + b"".join(some)
-                for column, value in zip(columns, (bundle.name(), int(bucket[numbers[0]]), _pack(numbers), pack.compress(body)), strict=True):
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)],
-                names=["bundle", "bucket", "numbers", "words"],
-            )
+                out.append((name, int(bucket[numbers[0]]), None, None, None, _pack(numbers), pack.compress(body)))
+            positions = np.concatenate(bundle.positions) if bundle.positions else np.zeros(0, np.uint32)
+            keys = [k.as_py() for k in bundle.keys]
+            out.append((name, None, keys, _pack(np.array(bundle.counts, np.int64)), len(words), _pack(positions), None))
+            columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    schema = f"bundle long, bucket long, keys array<{key_type}>, counts binary, words long, numbers binary, body binary"
+    return rows.mapInArrow(run, schema)
+
+
+def _words_sent(cut: DataFrame) -> DataFrame:
+    """The rows with words. A column filter would go below the exchange, and make it another one."""
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(batch.column("bucket").is_valid()).select(["bundle", "bucket", "numbers", "body"])
 
-    return rows.mapInArrow(run, "bundle long, bucket long, numbers binary, words binary")
+    return cut.mapInArrow(run, "bundle long, bucket long, numbers binary, body binary")
 
 
 def _encoded(sent: DataFrame, get_ranks) -> DataFrame:
@@ -207,7 +224,7 @@ def _encoded(sent: DataFrame, get_ranks) -> DataFrame:
         ranks = get_ranks()
         known: dict[bytes, bytes] = {}
         for batch in batches:
-            for bundle, numbers, packed in zip(*(batch.column(c) for c in ("bundle", "numbers", "words")), strict=True):
+            for bundle, numbers, packed in zip(*(batch.column(c) for c in ("bundle", "numbers", "body")), strict=True):
                 body = zstandard.ZstdDecompressor().decompress(packed.as_py())
                 count = int.from_bytes(body[:4], "little")
                 ends = np.cumsum(np.frombuffer(body, "<u4", count, 4), dtype=np.int64) + 4 + 4 * count
@@ -226,27 +243,12 @@ def _encoded(sent: DataFrame, get_ranks) -> DataFrame:
                     [pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=["bundle", "numbers", "sizes", "ids"]
                 )
 
-    return sent.select("bundle", "numbers", "words").mapInArrow(run, "bundle long, numbers binary, sizes binary, ids binary")
-
-
-def _positions(rows: DataFrame, pattern: str, key_type: str) -> DataFrame:
-    """(bundle, keys, counts, words, positions): a bundle's documents as numbers of their words."""
-    def run(batches):
-        splitter = Splitter(pattern)
-        for bundle in _bundles(batches, splitter):
-            positions = np.concatenate(bundle.positions) if bundle.positions else np.zeros(0, np.uint32)
-            keys = pa.array([[k.as_py() for k in bundle.keys]], pa.list_(bundle.keys[0].type))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([bundle.name()]), keys, pa.array([_pack(np.array(bundle.counts, np.int64))]),
-                 pa.array([len(bundle.numbering)]), pa.array([_pack(positions)], pa.binary())],
-                names=["bundle", "keys", "counts", "words", "positions"],
-            )
-
-    return rows.mapInArrow(run, f"bundle long, keys array<{key_type}>, counts binary, words long, positions binary")
+    return sent.select("bundle", "numbers", "body").mapInArrow(run, "bundle long, numbers binary, sizes binary, ids binary")
 
 
 def _reassembled(answers: pa.Table, bundles: pa.Table) -> Iterator[pa.Table]:
     """(id, ids) per document of the bundle, from the ids of its words."""
+    bundles = bundles.filter(bundles.column("bucket").is_null())
     if not bundles.num_rows:
         return
     words = bundles.column("words")[0].as_py()
@@ -258,10 +260,10 @@ def _reassembled(answers: pa.Table, bundles: pa.Table) -> Iterator[pa.Table]:
         parts.append(ids)
         held += len(ids)
     if (sizes < 0).any():
-        raise RuntimeError("the texts changed between two reads: write them to a table first")
+        raise RuntimeError("texts came in another order when they were read again: write them to a table first")
     ids = np.concatenate(parts) if parts else np.zeros(0, "<u4")
     for row in range(bundles.num_rows):
-        positions = _unpack(bundles.column("positions")[row].as_py())
+        positions = _unpack(bundles.column("numbers")[row].as_py())
         counts = _unpack(bundles.column("counts")[row].as_py()).astype(np.int64)
         lengths = sizes[positions]
         ends = np.cumsum(lengths)
@@ -277,9 +279,11 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id",
     """(id, ids) per row: the ids of its whole text.
 
     Null and empty texts have no ids; repeated rows, equal and null ids each keep their row; an
-    empty table has no rows; other columns are ignored. ``docs`` is read twice, and a row that
-    is not the same in both reads raises, so it should be a table. A text is one row of its bundle,
-    however long; its words are cut a piece at a time.
+    empty table has no rows; other columns are ignored. A text is one row of its bundle, however
+    long; its words are cut a piece at a time.
+
+    Words and positions leave one exchange by bundle, which both ways read. Should a lost task's
+    texts come in another order when they are read again, a bundle misses words, and that raises.
 
     A word that all documents have is one entry per bundle, so no word is hot. The number of
     buckets is that of input or shuffle partitions, whichever is larger, so the distinct words of
@@ -290,16 +294,16 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id",
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     key_type = rows.schema["id"].dataType.simpleString()
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows.rdd.getNumPartitions())
-    sent = _words_sent(rows, pattern, buckets).repartition(buckets, "bucket")
-    answers = _encoded(sent, _shared_ranks(spark, ranks_path))
-    bundles = _positions(rows, pattern, key_type)
-    out = answers.groupBy("bundle").cogroup(bundles.groupBy("bundle")).applyInArrow(_one_table, f"id {key_type}, ids array<int>")
+    cut = _cut(rows, pattern, buckets).repartition(buckets, "bundle")
+    answers = _encoded(_words_sent(cut).repartition(buckets, "bucket"), _shared_ranks(spark, ranks_path))
+    out = answers.groupBy("bundle").cogroup(cut.groupBy("bundle")).applyInArrow(_one_table, f"id {key_type}, ids array<int>")
     return out.withColumnRenamed("id", key)
 
 
 def _one_table(answers: pa.Table, bundles: pa.Table) -> pa.Table:
     found = list(_reassembled(answers, bundles))
-    return pa.concat_tables(found) if found else pa.table({"id": bundles.column("keys").combine_chunks().flatten(), "ids": pa.array([], pa.list_(pa.int32()))})
+    empty = {"id": pa.array([], bundles.schema.field("keys").type.value_type), "ids": pa.array([], pa.list_(pa.int32()))}
+    return pa.concat_tables(found) if found else pa.table(empty)
 
 
 _RANKS: dict[bytes, dict[bytes, int]] = {}
