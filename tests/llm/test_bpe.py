@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import numpy as np
@@ -42,17 +43,21 @@ def test_equals_the_library(model, library):
 
 def test_long_words_and_words_side_by_side_agree(model):
     rng = random.Random(6)
-    for length in (1, 2, 3, 17, 64, 65, 200):
-        symbols = model.symbols("".join(rng.choice("etaoinshr") for _ in range(length)))
-        assert model.merge([symbols, symbols[:1]])[0].tolist() == model.merge_alone(symbols.tolist())
+    for length in (1, 2, 3, 17, 64):
+        words = ["".join(rng.choice("etaoinshr") for _ in range(n)).encode() for n in (min(length, 64), 1, 3)]
+        ids, counts = model.merge(*model.symbols(words))
+        alone = [model.merge_alone(model.symbols([w])[0].tolist()) for w in words]
+        assert ids.tolist() == sum(alone, []) and counts.tolist() == list(map(len, alone))
 
 
 def test_lowest_rank_first_then_leftmost(model):
     """Against the definition: look at all pairs, merge the leftmost one of lowest rank."""
     rng = random.Random(7)
     for _ in range(50):
-        s = model.symbols("".join(rng.choice("the an") for _ in range(12)).replace(" ", "") or "a").tolist()
+        word = ("".join(rng.choice("the an") for _ in range(12)).replace(" ", "") or "a").encode()
+        s = model.symbols([word])[0].tolist()
         mine = model.merge_alone(s)
+        assert model.merge(*model.symbols([word]))[0].tolist() == mine
         while True:
             ranked = [(model.pair_table[(a << 32) | b][0], i) for i, (a, b) in enumerate(zip(s, s[1:], strict=False)) if (a << 32) | b in model.pair_table]
             if not ranked:
@@ -68,6 +73,22 @@ def test_text_cut_into_pieces(model, library, monkeypatch):
     assert np.frombuffer(model.encode_batch([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_every_code_point_as_the_library(model, library):
+    every = [chr(c) for c in range(0x20, 0x110000) if not 0xD800 <= c < 0xE000]
+    for begin in range(0, len(every), 2048):
+        texts = [f"a{c}b 1{c}! e{c}\u0301" for c in every[begin : begin + 2048]]
+        mine = [np.frombuffer(ids, "<u4").tolist() for ids in model.encode_batch(texts)]
+        theirs = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert [t for t, a, b in zip(texts, mine, theirs, strict=True) if a != b] == []
+
+
+def test_memory_of_words_is_bounded(model, library, monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 50)
+    monkeypatch.setattr(bpe, "PIECE_CHARS", 100)
+    text = " ".join(f"w{i % 70} x{i}y" for i in range(400))
+    assert np.frombuffer(model.encode_batch([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_tables(spark, library):
     rows = [(1, "Hello world"), (1, "Hello world"), (2, None), (None, ""), (3, "x" * 5000)]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("ids", F.lit("theirs")).withColumn("decoded", F.lit(1))
@@ -88,4 +109,5 @@ def test_query_equals_the_library(spark, library):
     for row in bpe.op5_bpe(spark, sf).collect():
         ids = library.encode(texts[row["doc_id"]] or "", add_special_tokens=False).ids
         assert row["n_tokens"] == len(ids)
+        assert row["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert row["decoded_sha256"] == sha(library.decode(ids, skip_special_tokens=False))

@@ -9,8 +9,6 @@ words stand side by side in one array, so each step runs on all words of a batch
 from __future__ import annotations
 
 import json
-import re
-import sys
 import unicodedata
 from collections.abc import Callable, Iterable
 
@@ -23,11 +21,12 @@ from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType, Stru
 
 from urnalake.checks.registry import check
 from urnalake.llm.common import ship, table
+from urnalake.llm.scripts import BEYOND_LATIN, NEWER, for_latin, lower, normal_form, with_older_classes
 
-#: Words whose ids a task keeps at a time; beyond it the memory starts anew.
-KEPT_WORDS = 100_000
+#: Words whose ids a task keeps at a time; beyond it the older half goes.
+KEPT_WORDS = 300_000
 #: Symbols (words times longest word) that are merged side by side at a time.
-SIDE_BY_SIDE = 1 << 18
+SIDE_BY_SIDE = 1 << 16
 #: Rows whose ids or decoded texts a task holds at a time.
 ROWS_AT_A_TIME = 200
 #: Bytes of a word beyond which it is merged alone: few words are so long.
@@ -35,7 +34,9 @@ LONG_WORD = 64
 #: Characters of a document that are looked up at a time.
 PIECE_CHARS = 1 << 20
 
-_NONE = np.int64(1) << np.int64(62)
+_NONE = np.int32(np.iinfo(np.int32).max)
+#: Bits of a place in a tree of words of up to LONG_WORD symbols; ranks have the others.
+_SHORT_BITS = 6
 _PLACE_BITS = 34
 
 
@@ -58,13 +59,13 @@ class BpeModel:
         self.added = {content: np.uint32(number).tobytes() for content, number in added.items()}
         self.added_pattern = regex.compile("(" + "|".join(map(regex.escape, added)) + ")") if added else None
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.pattern = regex.compile(split["pattern"]["Regex"])
-        # Letters and numbers that only the newest Unicode tables have are signs to the tokenizer.
-        newer = _newer_letters()
-        strict = split["pattern"]["Regex"].replace(r"\p{L}", rf"[\p{{L}}--[{newer}]]").replace(r"\p{N}", rf"[\p{{N}}--[{newer}]]")
-        self.strict_pattern, self.newer = regex.compile("(?V1)" + strict), frozenset(newer)
-        self.beyond = re.compile(f"[^\\x00-{chr(ord(min(newer)) - 1)}]")
-        self.byte_symbols = _byte_symbols()
+        pattern = split["pattern"]["Regex"]
+        self.pattern, self.latin, self.older = regex.compile(pattern), for_latin(pattern), with_older_classes(pattern)
+        if (len(model["merges"]) << _SHORT_BITS) >= int(_NONE):
+            raise ValueError("too many merges for 32-bit tree values")
+        names = _byte_symbols()
+        self.inner = np.array([self.vocabulary.get(n, -1) for n in names], np.int32)
+        self.last = np.array([self.vocabulary.get(n + self.suffix, -1) for n in names], np.int32)
         pairs, ranks, merged = [], [], []
         for rank, pair in enumerate(model["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
@@ -73,25 +74,23 @@ class BpeModel:
             merged.append(self.vocabulary[left + right])
         order = np.argsort(np.array(pairs, np.int64), kind="stable")
         self.pairs = np.array(pairs, np.int64)[order]
-        self.ranks = np.array(ranks, np.int64)[order]
-        self.merged = np.array(merged, np.int64)[order]
+        self.ranks = np.array(ranks, np.int32)[order]
+        self.merged = np.array(merged, np.int32)[order]
         self.pair_table = {p: (r, m) for p, r, m in zip(pairs, ranks, merged, strict=True)}
         # A word of the pattern is never an added token: these mix signs and letters.
         self.known: dict[str, bytes] = dict(self.added)
 
     # Text to words
 
-    def normalize(self, text: str) -> str:
-        text = unicodedata.normalize("NFC", text)
-        text = regex.sub(r"\s+", " ", text)
-        # Lower case goes character by character: the final sigma is no exception.
-        return text.lower() if "Σ" not in text else "".join(map(str.lower, text))
-
     def words(self, text: str) -> list[str]:
-        text = self.normalize(text)
-        if self.beyond.search(text) and not self.newer.isdisjoint(text):
-            return self.strict_pattern.findall(text)
-        return self.pattern.findall(text)
+        """The words of a text in normal form and lower case. White space is in no word."""
+        if BEYOND_LATIN.search(text):
+            text = lower(normal_form(text))
+        else:  # in normal form already
+            text = text.lower()
+        if not BEYOND_LATIN.search(text):
+            return self.latin.findall(text)
+        return (self.older if NEWER.search(text) else self.pattern).findall(text)
 
     def segments(self, text: str) -> list[str]:
         """The text cut at the added tokens; these stay as pieces of their own."""
@@ -101,83 +100,96 @@ class BpeModel:
 
     # Words to ids
 
-    def symbols(self, word: str) -> np.ndarray:
-        """The ids of a word's bytes, the last one with the word's end; unknown ones are left out."""
-        names = [self.byte_symbols[b] for b in word.encode("utf-8")]
-        names[-1] += self.suffix
-        return np.array([self.vocabulary[n] for n in names if n in self.vocabulary], np.int64)
+    def symbols(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(symbols, number per word): ids of the words' bytes, a last one with the word's end.
+
+        Symbols that the vocabulary does not have are left out.
+        """
+        lengths = np.array([len(w) for w in words], np.int64)
+        values = np.frombuffer(b"".join(words), np.uint8)
+        symbols, ends = self.inner[values], np.cumsum(lengths) - 1
+        symbols[ends] = self.last[values[ends]]
+        if symbols.min(initial=0) >= 0:
+            return symbols, lengths
+        word_of = np.repeat(np.arange(len(words)), lengths)
+        known = symbols >= 0
+        return symbols[known], np.bincount(word_of[known], minlength=len(words))
 
     def learn(self, words: Iterable[str]) -> None:
         """Encode the words not known yet, those of similar length side by side."""
-        new = sorted({w for w in words if w not in self.known}, key=len)
-        sequences = [self.symbols(w) for w in new]
+        new = sorted(((w.encode("utf-8"), w) for w in words if w not in self.known), key=lambda w: len(w[0]))
         begin = 0
         while begin < len(new):
-            width, end = _width(len(sequences[begin])), begin + 1
-            if len(sequences[begin]) > LONG_WORD:
-                merged = [self.merge_alone(sequences[begin].tolist())]
+            width, end = _width(len(new[begin][0])), begin + 1
+            if len(new[begin][0]) > LONG_WORD:
+                symbols, _ = self.symbols([new[begin][0]])
+                self.known[new[begin][1]] = np.array(self.merge_alone(symbols.tolist()), "<u4").tobytes()
             else:
-                while end < len(new) and len(sequences[end]) <= width and (end - begin) * width < SIDE_BY_SIDE:
+                while end < len(new) and len(new[end][0]) <= width and (end - begin) * width < SIDE_BY_SIDE:
                     end += 1
-                merged = self.merge(sequences[begin:end])
-            for word, ids in zip(new[begin:end], merged, strict=True):
-                self.known[word] = np.asarray(ids).astype("<u4").tobytes()
+                ids, counts = self.merge(*self.symbols([w for w, _ in new[begin:end]]))
+                ids, stops = ids.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
+                for (_, word), start, stop in zip(new[begin:end], [0, *stops], stops, strict=False):
+                    self.known[word] = ids[start:stop]
             begin = end
 
     def lookup(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rank, merged symbol) of pairs; rank ``_NONE`` where there is no merge."""
-        key = (left << 32) | right
+        key = (left.astype(np.int64) << 32) | right
         at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
         found = (self.pairs[at] == key) & (left >= 0) & (right >= 0)
         return np.where(found, self.ranks[at], _NONE), self.merged[at]
 
-    def merge(self, sequences: list[np.ndarray]) -> list[np.ndarray]:
-        """Merge every sequence of symbols as far as it goes."""
-        count = len(sequences)
-        leaves = _width(max(map(len, sequences), default=1))
-        symbol = np.full((count, leaves + 1), -1, np.int64)  # the last column is a stop
-        for row, sequence in enumerate(sequences):
-            symbol[row, : len(sequence)] = sequence
-        follower = np.tile(np.arange(1, leaves + 2), (count, 1))
-        leader = np.tile(np.arange(-1, leaves), (count, 1))
-        places = np.arange(leaves, dtype=np.int64)
-        ranks, _ = self.lookup(symbol[:, :-1], symbol[:, 1:])
-        tree = np.full((count, 2 * leaves), _NONE)
-        tree[:, leaves:] = np.where(ranks < _NONE, (ranks << _PLACE_BITS) | places, _NONE)
+    def merge(self, symbols: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Words of up to LONG_WORD symbols merged as far as it goes: (ids, number per word)."""
+        rows, leaves = len(counts), _width(int(counts.max(initial=1)))
+        symbol = np.full((rows, leaves + 1), -1, np.int32)  # the last column is a stop
+        inside = np.arange(leaves + 1)[None, :] < counts[:, None]
+        symbol[inside] = symbols
+        follower = np.tile(np.arange(1, leaves + 2, dtype=np.int32), (rows, 1))
+        leader = np.tile(np.arange(-1, leaves, dtype=np.int32), (rows, 1))
+        places = np.arange(leaves, dtype=np.int32)
+        ranks, joined = self.lookup(symbol[:, :-1], symbol[:, 1:])
+        tree = np.full((rows, 2 * leaves), _NONE, np.int32)
+        tree[:, leaves:] = np.where(ranks < _NONE, (ranks << _SHORT_BITS) | places, _NONE)
         width = leaves // 2
         while width:
             tree[:, width : 2 * width] = np.minimum(tree[:, 2 * width : 4 * width : 2], tree[:, 2 * width + 1 : 4 * width : 2])
             width //= 2
         active = np.flatnonzero(tree[:, 1] < _NONE)
         while len(active):
-            at = tree[active, 1] & ((1 << _PLACE_BITS) - 1)
+            at = tree[active, 1] & ((1 << _SHORT_BITS) - 1)
             other = follower[active, at]
-            _, joined = self.lookup(symbol[active, at], symbol[active, other])
-            behind = follower[active, other]
-            symbol[active, at], symbol[active, other] = joined, -1
+            behind, before = follower[active, other], leader[active, at]
+            symbol[active, at], symbol[active, other] = joined[active, at], -1
             follower[active, at] = behind
-            inside = behind <= leaves
-            leader[active[inside], behind[inside]] = at[inside]
-            self._update(tree, symbol, active, other, np.full(len(active), leaves))
-            self._update(tree, symbol, active, at, np.minimum(behind, leaves))
-            before = leader[active, at]
-            has = before >= 0
-            self._update(tree, symbol, active[has], before[has], at[has])
+            go_on, has = behind <= leaves, before >= 0
+            leader[active[go_on], behind[go_on]] = at[go_on]
+            # Two pairs are new, that of the symbol that is gone is none.
+            row = np.concatenate([active, active[has], active])
+            place = np.concatenate([at, before[has], other])
+            new = len(active) + int(has.sum())
+            right = np.concatenate([np.minimum(behind, leaves), at[has]])
+            rank, joins = self.lookup(symbol[row[:new], place[:new]], symbol[row[:new], right])
+            joined[row[:new], place[:new]] = joins
+            value = np.full(len(row), _NONE, np.int32)
+            value[:new] = np.where(rank < _NONE, (rank << _SHORT_BITS) | place[:new], _NONE)
+            in_tree = place < leaves
+            self._update(tree, row[in_tree], place[in_tree], value[in_tree])
             active = active[tree[active, 1] < _NONE]
-        return [row[row >= 0] for row in symbol]
-
-    def _update(self, tree, symbol, rows, place, right) -> None:
-        """New values for one leaf per row, and for the nodes above it."""
-        leaves = tree.shape[1] // 2
-        if not len(rows):
-            return
-        rank, _ = self.lookup(symbol[rows, place], symbol[rows, right])
-        node = place + leaves
-        tree[rows, node] = np.where(rank < _NONE, (rank << _PLACE_BITS) | place, _NONE)
-        while leaves > 1:
+        kept = symbol >= 0
+        return symbol[kept], kept.sum(1)
+
+    @staticmethod
+    def _update(tree: np.ndarray, rows: np.ndarray, places: np.ndarray, values: np.ndarray) -> None:
+        """New values for leaves, and for the nodes above them, one level after the other."""
+        width = tree.shape[1] // 2
+        node = places + width
+        tree[rows, node] = values
+        while width > 1:
             node >>= 1
             tree[rows, node] = np.minimum(tree[rows, 2 * node], tree[rows, 2 * node + 1])
-            leaves >>= 1
+            width >>= 1
 
     def merge_alone(self, symbol: list[int]) -> list[int]:
         """:meth:`merge` for one long sequence: the same tree, one value at a time."""
@@ -245,8 +257,8 @@ class BpeModel:
 
     def _encode_waiting(self, waiting: list[tuple[int, list[str]]], out: list[list[bytes]]) -> None:
         if len(self.known) > KEPT_WORDS:
-            self.known.clear()
-            self.known.update(self.added)
+            newer = list(self.known.items())[len(self.known) // 2 :]
+            self.known = {**dict(newer), **self.added}
         self.learn(set().union(*(words for _, words in waiting)))
         for number, words in waiting:
             out[number].append(b"".join(map(self.known.__getitem__, words)))
@@ -272,13 +284,6 @@ def _width(length: int) -> int:
     return 1 << max(1, (length - 1).bit_length())
 
 
-def _newer_letters() -> str:
-    """Letters and numbers of the pattern library that the interpreter's tables do not know."""
-    every = "".join(chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000)
-    letters = regex.findall(r"[\p{L}\p{N}]", every)
-    return "".join(c for c in letters if unicodedata.category(c) == "Cn") or "\ue000"
-
-
 def _byte_symbols() -> list[str]:
     """Bytes as printable characters: these stand for themselves, the others follow from 256 on."""
     printable = {*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAC + 1), *range(0xAE, 0xFF + 1)}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 
 import regex
 
@@ -21,6 +22,22 @@ NEWER_LETTERS = (
 # The same for numbers.
 NEWER_NUMBERS = ((0x11DE0, 0x11DE9), (0x1246F, 0x1246F), (0x12475, 0x1247F), (0x12550, 0x12686), (0x16FF4, 0x16FF6))
 
+# Capitals that the libraries know and Python 3.13 does not, and how far their small letters are.
+NEWER_CAPITALS = (
+    (0x1C89, 0x1C89, 1), (0xA7CB, 0xA7CB, 0x264 - 0xA7CB), (0xA7CC, 0xA7CC, 1), (0xA7CE, 0xA7CE, 1), (0xA7D2, 0xA7D2, 1),
+    (0xA7D4, 0xA7D4, 1), (0xA7DA, 0xA7DA, 1), (0xA7DC, 0xA7DC, 0x19B - 0xA7DC), (0x10D50, 0x10D65, 0x20),
+    (0x16EA0, 0x16EB8, 0x1B),
+)
+# Marks that the tokenizer library's normal form takes for characters of their own.
+MARKS_APART = (
+    (0x7FD, 0x7FD), (0x899, 0x89B), (0x8CF, 0x8D3), (0xC3C, 0xC3C), (0xD3B, 0xD3C), (0xEBA, 0xEBA), (0x1715, 0x1715),
+    (0x1ABF, 0x1AC0), (0x1AC3, 0x1AC4), (0x1ACA, 0x1ACA), (0x1DF6, 0x1DFA), (0xA82C, 0xA82C), (0x10EFD, 0x10EFF),
+    (0x10F46, 0x10F47), (0x10F4B, 0x10F4B), (0x10F4D, 0x10F50), (0x10F83, 0x10F83), (0x10F85, 0x10F85),
+    (0x11070, 0x11070), (0x1133B, 0x1133B), (0x11839, 0x1183A), (0x1193D, 0x1193E), (0x11943, 0x11943),
+    (0x119E0, 0x119E0), (0x11A34, 0x11A34), (0x11A47, 0x11A47), (0x11A99, 0x11A99), (0x11D42, 0x11D42),
+    (0x11D44, 0x11D45), (0x11D97, 0x11D97), (0x11F41, 0x11F42), (0x16FF0, 0x16FF1), (0x1E4EC, 0x1E4EE),
+)
+
 
 def character_set(ranges) -> str:
     """Code point ranges as the inside of a character class."""
@@ -54,3 +71,22 @@ def _filled(character_class: str, classes: dict[str, str]) -> str:
     for name, members in classes.items():
         character_class = character_class.replace(name, members)
     return character_class
+
+
+_APART = re.compile(f"([{character_set(MARKS_APART)}])")
+_CAPITALS = {c: c + far for first, last, far in NEWER_CAPITALS for c in range(first, last + 1)}
+_CAPITAL = re.compile(f"[{''.join(map(chr, _CAPITALS))}]")
+
+
+def normal_form(text: str) -> str:
+    """NFC as the tokenizer library has it: no mark moves across, or joins with, MARKS_APART."""
+    if not _APART.search(text):
+        return unicodedata.normalize("NFC", text)
+    return "".join(unicodedata.normalize("NFC", part) for part in _APART.split(text))
+
+
+def lower(text: str) -> str:
+    """Lower case character by character: the final sigma is no exception."""
+    if _CAPITAL.search(text):
+        text = text.translate(_CAPITALS)
+    return text.lower() if "Σ" not in text else "".join(map(str.lower, text))
