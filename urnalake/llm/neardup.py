@@ -20,7 +20,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from urnalake.checks.registry import check
@@ -196,7 +196,7 @@ def _packed(docs: DataFrame) -> DataFrame:
 
         pack = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            texts = [pack.compress((t or "").encode("utf-8", "surrogatepass")) for t in batch.column("text").to_pylist()]
+            texts = [pack.compress((t.as_py() or "").encode("utf-8", "surrogatepass")) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(texts, pa.binary())], names=["id", "packed"])
 
     return docs.select("id", "text").mapInArrow(run, "id long, packed binary")
@@ -283,7 +283,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     mixed = placed.join(largest, "key")
     mixed = mixed.groupBy("id", "component").agg(F.max(F.col("component") != F.col("largest")).alias("outside"))
     mixed = written(mixed, "neardup-mixed")
-    across = _possible_pairs(_ranked_shingles(texts.join(mixed, "id")))
+    across = _possible_pairs(texts.join(mixed, "id"))
     second = verified(_similar_by_estimate(across, classes), texts)
     links = first.select("a", "b").unionByName(second)
 
@@ -301,91 +301,57 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
 
 
-def _ranked_shingles(texts: DataFrame) -> DataFrame:
-    """(id, component, outside, shingle, crossing, place, n, u): shingles, the rarest of a text first.
+def _possible_pairs(texts: DataFrame) -> DataFrame:
+    """(a, b) of different components that may be linked, once each.
 
-    A shingle is crossing if texts of several components have it. n is the number of the text's
-    shingles, u that of its crossing ones.
+    What two sets of different components share are crossing shingles, those that texts of several
+    components have. Two linked sets of n and m shingles share at least c = PARTS[0] * (n + m) /
+    (PARTS[0] + PARTS[1]). Of u crossing shingles, the rarest first, one of the first u - c + 1
+    is therefore among such of the other set. As c is at least PARTS[0] / PARTS[1] of n, most
+    texts send no shingle at all; places and sizes travel along, so the exact c of a pair is
+    looked at where it meets.
     """
+    ship(texts.sparkSession)
+    low, high = PARTS
+    names = ["id", "own", "component", "outside", "n", "shingle"]
 
     def run(batches):
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("id", "component", "outside", "packed"))
-            for i, component, outside, packed in zip(*columns, strict=True):
-                shingles = shingle_set(_unpacked(packed))
+            for i, component, outside, packed in zip(*(batch.column(c) for c in ("id", "component", "outside", "packed")), strict=True):
+                shingles = shingle_set(_unpacked(packed.as_py()))
                 count = len(shingles)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(count, i)), pa.array(np.full(count, component)), pa.array(np.full(count, outside)),
-                     pa.array(shingles.view(np.int64))],
-                    names=["id", "component", "outside", "shingle"],
-                )
+                own = xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
+                row = (i.as_py(), own, component.as_py(), outside.as_py(), count)
+                columns = [pa.array(np.full(count, value)) for value in row]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(shingles.view(np.int64))], names=names)
 
+    # An id with several texts has several sets: ``own`` tells them apart.
     rows = texts.select("id", "component", "outside", "packed").mapInArrow(
-        run, "id long, component long, outside boolean, shingle long"
-    ).distinct()
-    owners = rows.groupBy("shingle").agg(
-        F.count(F.lit(1)).alias("sets"), (F.min("component") != F.max("component")).alias("crossing")
+        run, "id long, own long, component long, outside boolean, n long, shingle long"
     )
-    own = Window.partitionBy("id")
-    return rows.join(owners, "shingle").withColumns(
-        {
-            "place": F.row_number().over(own.orderBy("sets", "shingle")),
-            "n": F.count(F.lit(1)).over(own),
-            "u": F.count(F.when(F.col("crossing"), 1)).over(own),
-        }
-    )
-
-
-#: Sizes up to this one are a band each; beyond it, sizes within half a per cent share one.
-_OWN_BAND = 200
-
-
-def _band(size: Column) -> Column:
-    beyond = F.floor(F.log(size.cast("double") / _OWN_BAND) * _OWN_BAND + 1e-9) + _OWN_BAND
-    return F.when(size <= _OWN_BAND, size).otherwise(beyond).cast("int")
-
-
-def _smallest_in(band: Column) -> Column:
-    """A size that no set in the band is below."""
-    beyond = F.lit(float(_OWN_BAND)) * F.exp((band - _OWN_BAND) / F.lit(float(_OWN_BAND)))
-    return F.when(band <= _OWN_BAND, band.cast("double")).otherwise(beyond - F.lit(1e-3))
-
-
-def _possible_pairs(ranked: DataFrame) -> DataFrame:
-    """(a, b) of different components that may be linked, once each.
-
-    Two linked sets of n and m shingles share at least c = PARTS[0] * (n + m) / (PARTS[0] +
-    PARTS[1]), so one of the first n - c + 1 of the one is among the first m - c + 1 of the other.
-    For sets of like size that is a seventh of their shingles, for a text with too many edits
-    hardly more than those edits, which few others have. So the sizes, in bands, are part of the
-    key. A set with u shingles in common with any of another component has partners in a range of
-    sizes only, most often in none.
-    """
-    low, high = PARTS
-    least = F.ceil(F.col("n") * low / high)
-    most = F.least(F.floor(F.col("n") * high / low), F.floor(F.col("u") * (low + high) / low) - F.col("n"))
-
-    sizes = _smallest_in(F.col("own")) + _smallest_in(F.col("other"))
-    common = F.ceil(sizes * low / (low + high) - F.lit(1e-6))
-    keys = (
-        ranked.withColumns({"least": least, "most": most}).where("crossing AND least <= most")
-        .withColumn("own", _band(F.col("n")))
-        .withColumn("other", F.explode(F.sequence(_band(F.col("least")), _band(F.col("most")))))
-        .where(F.col("place") <= F.col("n") - common + 1)
-        .select("shingle", "own", "other", "id", "component", "outside")
+    rows = written(rows, "neardup-shingles")
+    crossing = rows.groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("sets"), F.min("component").alias("one"), F.max("component").alias("other")
+    ).where("one <> other").select("shingle", "sets")
+    text = Window.partitionBy("id", "own")
+    ranked = rows.join(crossing, "shingle").withColumns(
+        {"place": F.row_number().over(text.orderBy("sets", "shingle")), "u": F.count(F.lit(1)).over(text)}
     )
-    x = keys.where("outside").select("shingle", "own", "other", F.col("id").alias("x"), F.col("component").alias("cx"))
-    y = keys.select(
-        "shingle", F.col("own").alias("other"), F.col("other").alias("own"), F.col("id").alias("y"),
-        F.col("component").alias("cy"),
+    first = F.col("u") - F.ceil(F.col("n") * low / high) + 1
+    sent = written(ranked.where(F.col("place") <= first).drop("sets", "own"), "neardup-prefixes")
+
+    x, y = (sent.select("shingle", *(F.col(c).alias(c + side) for c in sent.columns if c != "shingle")) for side in "xy")
+    common = F.ceil((F.col("nx") + F.col("ny")) * low / (low + high))
+    pairs = x.where("outsidex").join(y, "shingle").where("componentx <> componenty AND NOT (outsidey AND idy < idx)").where(
+        (F.col("placex") <= F.col("ux") - common + 1) & (F.col("placey") <= F.col("uy") - common + 1)
+        & (F.col("nx") * low <= F.col("ny") * high) & (F.col("ny") * low <= F.col("nx") * high)
     )
-    pairs = x.join(y, ["shingle", "own", "other"]).where("cx <> cy")
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    return pairs.select(F.least("idx", "idy").alias("a"), F.greatest("idx", "idy").alias("b")).distinct()
 
 
 def _in_company(keys: DataFrame) -> DataFrame:
-    """The rows of keys that several ids have."""
-    shared = keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
+    """The rows of keys that several classes have."""
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     return keys.join(shared.select("key"), "key", "left_semi")
 
 
