@@ -29,12 +29,30 @@ def test_rake_equals_brute_force(spark):
     targets = [{f"s{i}": i + 1.0 for i in range(7)}, {"l0": 5.0, "l1": 3.0, "l2": 2.0}, {"t0": 1.0, "t1": 1.0}]
     df = spark.createDataFrame([(*k, n) for k, n in cells.items()], "source string, lang string, topic string, tokens long")
     given = {n: spark.createDataFrame(list(t.items()), "value string, share double") for n, t in zip(mixing.MARGINS, targets, strict=True)}
-    got = {(r["source"], r["lang"], r["topic"]): r["weight"] for r in mixing.rake(df, given).collect()}
+    got = {(r["source"], r["lang"], r["topic"]): r["weight"] for r in mixing.rake(df, given)[0].collect()}
     expected = raked(cells, targets)
     assert got.keys() == expected.keys()
     assert all(got[k] == pytest.approx(expected[k], rel=1e-3, abs=1e-9) for k in got)
 
 
+def test_targets_that_contradict_each_other_are_reported(spark):
+    rows = [("a", "x", "p", 10), ("b", "y", "p", 10)]
+    df = spark.createDataFrame(rows, "source string, lang string, topic string, tokens long")
+    targets = {"source": [("a", 0.5), ("b", 0.5)], "lang": [("x", 0.9), ("y", 0.1)], "topic": [("p", 1.0)]}
+    given = {n: spark.createDataFrame(t, "value string, share double") for n, t in targets.items()}
+    with pytest.warns(UserWarning, match="not converged"):
+        weights, off = mixing.rake(df, given)
+    assert {r["source"]: round(r["weight"], 6) for r in weights.collect()} == {"a": 0.9, "b": 0.1}
+    assert off == pytest.approx(0.8)
+
+
+def test_given_topics(spark):
+    df = spark.createDataFrame([(1, "a b", "s", "en", "law"), (2, "c", "s", "en", None)], "doc_id long, text string, source string, lang string, about string")
+    got = mixing.mixed(df, topic="about").collect()
+    assert {r["doc_id"]: r["topic"] for r in got} == {1: "law", 2: None}
+    assert all(r["deviation"] <= mixing.TOLERANCE for r in got)
+
+
 def test_query_meets_its_targets(spark):
     rows = mixing.op8_mixing(spark, "/root/testdata/sf0.01").collect()
     assert len(rows) == 1000

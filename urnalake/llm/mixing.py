@@ -8,6 +8,9 @@ of what is kept have the target shares.
 
 from __future__ import annotations
 
+import functools
+import warnings
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,11 +21,15 @@ MARGINS = ("source", "lang", "topic")
 #: Targets of the registered query and the pipeline: shares to this power, so that small sources,
 #: languages and topics gain.
 TEMPERS = {"source": 0.7, "lang": 0.8, "topic": 0.9}
-#: Raking ends when every marginal is this close to its target, relatively, or after so many rounds.
+#: Raking has converged when every marginal is this close to its target, relatively.
 TOLERANCE = 1e-4
 MOST_ROUNDS = 50
+#: Rounds in a row that leave more than this part of the least deviation, before raking ends.
+GAIN, PATIENCE = 0.999, 4
 SEED = 20
 
+_NEW = ("n_tokens", "topic", "probability", "kept", "deviation")
+
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -57,12 +64,15 @@ def tempered_targets(cells: DataFrame, tempers: dict[str, float]) -> dict[str, D
     return targets
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], purpose: str = "mixing") -> DataFrame:
-    """``cells`` (marginals, tokens) with raked ``weight``; weights sum to 1.
+def rake(cells: DataFrame, targets: dict[str, DataFrame], purpose: str = "mixing", most_rounds: int = MOST_ROUNDS) -> tuple[DataFrame, float]:
+    """(``cells`` (marginals, tokens) with raked ``weight``, how far the worst marginal is off).
 
-    Targets are (value, share) per marginal and need not sum to 1. Values without a target get
-    weight 0; targets without cells are left out of the sum. Each round fits one marginal after
-    the other and is a written table; the number of cells does not grow with the documents.
+    Weights sum to 1. Targets are (value, share) per marginal and need not sum to 1. Values without
+    a target get weight 0; targets without cells are left out of the sum. Each round fits one
+    marginal after the other and is a written table; the number of cells does not grow with the
+    documents. Targets that contradict each other or the empty cells cannot all be met: then the
+    rounds end when PATIENCE of them bring no gain, or after ``most_rounds``, and the deviation, relative to
+    the target, says what is left. It is TOLERANCE at most where raking has converged.
     """
     names = list(targets)
     weighted = cells.withColumn("weight", F.col("tokens").cast("double"))
@@ -72,8 +82,8 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], purpose: str = "mixing
         rows = target.groupBy("value").agg(F.sum("share").alias("share")).join(present, "value").where("share > 0")
         total = rows.agg(F.sum("share")).first()[0] or 1.0
         wanted[name] = written(rows.select("value", (F.col("share") / total).alias("share")), purpose)
-    current = written(weighted, purpose)
-    for _ in range(MOST_ROUNDS):
+    current, off, least, idle = written(weighted, purpose), float("inf"), float("inf"), 0
+    for _ in range(most_rounds):
         for name in names:
             target = wanted[name].select(F.col("value").alias(name), F.col("share").alias("__share"))
             fitted = F.col("weight") * F.col("__share") / F.sum("weight").over(Window.partitionBy(name))
@@ -81,9 +91,14 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], purpose: str = "mixing
                 "weight", F.when(F.col("weight") > 0, F.coalesce(fitted, F.lit(0.0))).otherwise(0.0)
             ).drop("__share")
         current = written(current.select(*cells.columns, "weight"), purpose)
-        if _largest_deviation(current, wanted) <= TOLERANCE:
+        off = _largest_deviation(current, wanted)
+        idle = idle + 1 if off > least * GAIN else 0
+        least = min(least, off)
+        if off <= TOLERANCE or idle == PATIENCE:
             break
-    return current
+    if TOLERANCE < off < float("inf"):
+        warnings.warn(f"raking has not converged: a marginal is off by {off:.3g} of its target", stacklevel=2)
+    return current, off
 
 
 def _largest_deviation(current: DataFrame, wanted: dict[str, DataFrame]) -> float:
@@ -91,49 +106,63 @@ def _largest_deviation(current: DataFrame, wanted: dict[str, DataFrame]) -> floa
     for name, target in wanted.items():
         sums = current.groupBy(F.col(name).alias("value")).agg(F.sum("weight").alias("sum"))
         parts.append(target.join(sums, "value").select(F.max(F.abs(F.col("sum") / F.col("share") - 1)).alias("d")))
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.unionByName(part)
+    every = functools.reduce(DataFrame.unionByName, parts)
     return every.agg(F.max("d")).first()[0] or 0.0
 
 
-def mixed(
-    docs: DataFrame, targets: dict[str, DataFrame] | None = None, key: str = "doc_id", text: str = "text",
-    source: str = "source", lang: str = "lang", seed: int = SEED,
+def featured(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang",
+    topic: str | None = None, seed: int = SEED,
 ) -> DataFrame:
-    """``docs`` with ``n_tokens``, ``topic``, ``probability`` and ``kept``.
+    """``docs`` with ``n_tokens``, ``topic`` and what :func:`sampled` needs; texts are read here only.
 
-    ``targets`` has (value, share) tables for "source", "lang" and "topic", values as strings
-    with "=" in front ("null" for null); by default shares tempered by TEMPERS. Documents without
-    tokens weigh nothing and are kept. Whether a document is kept follows from its id and text
-    and the seed alone, so repeated rows are kept or dropped together. Columns of the new names
-    are replaced; other columns and all rows stay; an empty table gives no rows.
+    ``topic`` names a column to take topics from; without one they are :func:`topic_of` the texts.
     """
-    new = ("n_tokens", "topic", "probability", "kept")
-    kept = [c for c in docs.columns if c not in new]
-    rows = docs.select(
-        *kept, tokens_of(F.col(text)).alias("n_tokens"), topic_of(F.col(text)).alias("topic"),
-        _category(F.col(source)).alias("__source"), _category(F.col(lang)).alias("__lang"),
-    ).withColumn("__topic", _category(F.col("topic")))
+    kept = [c for c in docs.columns if c not in _NEW]
+    draw = F.xxhash64(F.col(key), F.col(text), F.lit(seed)).cast("double") / 2.0**64 + 0.5
+    subject = F.col(topic) if topic else topic_of(F.col(text))
+    return docs.select(
+        *kept, tokens_of(F.col(text)).alias("n_tokens"), subject.alias("topic"), _category(F.col(source)).alias("__source"),
+        _category(F.col(lang)).alias("__lang"), _category(subject).alias("__topic"), draw.alias("__draw"),
+    )
+
+
+def sampled(rows: DataFrame, targets: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Rows of :func:`featured` with ``probability``, ``kept`` and ``deviation``."""
+    rows = written(rows, "mixing-rows")
     own = {name: f"__{name}" for name in MARGINS}
     cells = rows.groupBy(*(F.col(own[n]).alias(n) for n in MARGINS)).agg(F.sum("n_tokens").alias("tokens"))
     cells = written(cells, "mixing-cells")
-    raked = rake(cells, targets or tempered_targets(cells, TEMPERS))
-    ratio = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens"))
-    rated = raked.withColumn("ratio", ratio)
+    raked, off = rake(cells, targets or tempered_targets(cells, TEMPERS))
+    rated = raked.withColumn("ratio", F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")))
     most = rated.agg(F.max("ratio")).first()[0] or 1.0
     chances = rated.select(*(F.col(n).alias(own[n]) for n in MARGINS), (F.col("ratio") / most).alias("probability"))
-    draw = F.xxhash64(F.col(key), F.col(text), F.lit(seed)).cast("double") / 2.0**64 + 0.5
     chance = F.when(F.col("n_tokens") == 0, F.lit(1.0)).otherwise(F.coalesce("probability", F.lit(0.0)))
     return (
         rows.join(chances, list(own.values()), "left")
         .withColumn("probability", chance)
-        .withColumn("kept", draw < F.col("probability"))
-        .select(*kept, *new)
+        .withColumn("kept", F.col("__draw") < F.col("probability"))
+        .withColumn("deviation", F.lit(off))
+        .drop("__draw", *own.values())
     )
 
 
+def mixed(docs: DataFrame, targets: dict[str, DataFrame] | None = None, **names) -> DataFrame:
+    """``docs`` with ``n_tokens``, ``topic``, ``probability``, ``kept`` and ``deviation``.
+
+    ``targets`` has (value, share) tables for "source", "lang" and "topic", values as strings
+    with "=" in front ("null" for null); by default shares tempered by TEMPERS. ``deviation`` is
+    how far the worst marginal is off its target, relatively (see :func:`rake`). ``names`` go to
+    :func:`featured`. Documents without tokens weigh nothing and are kept. Whether a document is
+    kept follows from its id and text and the seed alone, so repeated rows are kept or dropped
+    together. Columns of the new names are replaced; other columns and all rows stay; an empty
+    table gives no rows.
+    """
+    kept = [c for c in docs.columns if c not in _NEW]
+    return sampled(featured(docs, **names), targets).select(*kept, *_NEW)
+
+
 @check()
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = mixed(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
-    return rows.select("doc_id", "source", "lang", "topic", "n_tokens", "probability", "kept")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return sampled(featured(docs).drop("text"))
