@@ -263,6 +263,10 @@ class BpeModel:
         for number, words in waiting:
             out[number].append(b"".join(map(self.known.__getitem__, words)))
 
+    def forget(self) -> None:
+        """Give back the memory of words: workers stay for tasks that have other work."""
+        self.known = dict(self.added)
+
     def decode(self, ids: bytes) -> str:
         """Tokens joined by a space: the file names no decoder, so word ends stay visible."""
         return " ".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -325,6 +329,8 @@ def _with_column(df: DataFrame, column: str, into: str, kind: DataType, step: Ca
                 part = batch.slice(begin, ROWS_AT_A_TIME)
                 made = step(part.column(column))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), made], names=[*names, into])
+        for model in _MODELS.values():
+            model.forget()
 
     out = rows.mapInArrow(run, schema)
     return out.select(*[c for c in df.columns if c != into], into)
@@ -381,6 +387,8 @@ def token_digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_digests), pa.array(text_digests)],
                 names=["id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
+        for model in _MODELS.values():
+            model.forget()
 
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     out = rows.mapInArrow(run, f"id {key_type}, n_tokens long, ids_sha256 string, decoded_sha256 string")
