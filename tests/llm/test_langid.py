@@ -1,3 +1,6 @@
+import math
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -69,3 +72,55 @@ def test_long_texts_are_scored_in_pieces(models, monkeypatch):
     whole = models.entropies(codes)
     monkeypatch.setattr(langid, "PIECE_CHARS", 100)
     assert np.allclose(whole[0], models.entropies(codes)[0])
+
+
+def kneser_ney(texts_of, order):
+    """Per language a function (context, character) -> probability, from the definition."""
+    models, alphabet = {}, set()
+    for lang, texts in texts_of.items():
+        counts = Counter()
+        for text in texts:
+            codes = langid.codes_of(text).tolist()
+            counts.update(tuple(codes[i : i + order]) for i in range(len(codes) - order + 1))
+        levels = {order: counts}
+        for k in range(order - 1, 0, -1):
+            levels[k] = Counter(g[1:] for g in levels[k + 1])
+        alphabet |= set(levels[1])
+        models[lang] = levels
+
+    def probability(lang, context, character):
+        p = 1.0 / (len(alphabet) + 1)
+        for k in range(1, order + 1):
+            level, own = models[lang][k], context[len(context) - k + 1 :]
+            once, twice = (sum(n == m for n in level.values()) for m in (1, 2))
+            d = once / (once + 2 * twice) if once else 0.5
+            followers = [n for g, n in level.items() if g[:-1] == own]
+            if followers:
+                p = max(level[own + (character,)] - d, 0.0) / sum(followers) + d * len(followers) / sum(followers) * p
+        return p
+
+    return probability
+
+
+def test_entropies_equal_the_definition():
+    texts = {"a": ["the cat sat on the mat", "the rat sat", "that hat"], "b": ["le chat est la", "la table est belle", "le rat"]}
+    rows = []
+    for lang, own in texts.items():
+        for text in own:
+            codes = langid.codes_of(text).tolist()
+            rows += [(lang, "".join(map(chr, codes[i : i + 4])), 1) for i in range(len(codes) - 3)]
+    models = langid.build_models(pd.DataFrame(rows, columns=["lang", "gram", "n"]))
+    probability = kneser_ney(texts, langid.ORDER)
+    for text in ("the table", "chat", "xyz zq", "le rat sat on that"):
+        codes = langid.codes_of(text).tolist()
+        found, n = models.entropies(langid.codes_of(text))
+        for column, lang in enumerate(models.languages):
+            logs = [math.log(probability(lang, tuple(codes[i : i + 3]), codes[i + 3])) for i in range(len(codes) - 3)]
+            assert n == len(logs) and found[column] == pytest.approx(-sum(logs) / n, rel=1e-5)
+
+
+def test_too_many_labels_raise(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 2)
+    rows = [(i, "some text", f"l{i}") for i in range(12)]
+    with pytest.raises(ValueError, match="languages"):
+        langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from urnalake.checks.registry import check
@@ -25,8 +25,8 @@ ORDER = 4
 #: Labelled texts per language that are used, those with the smallest hashes of their ids: about as
 #: many as given here, four fifths to count on and a fifth to calibrate rejection on.
 TRAIN_DOCS = 2_500
-#: N-grams per language in a model, the most frequent ones.
-MOST_GRAMS = 300_000
+#: Languages at most: the driver holds the n-grams of TRAIN_DOCS texts of each. More labels raise.
+MOST_LANGUAGES = 400
 #: Where only one language is learned: rejected beyond so many times its own texts' largest excess.
 SLACK = 4.0
 #: Characters beyond which an entropy counts as exact, for excess and score.
@@ -235,10 +235,13 @@ def _sorted_rows(names: list[str], values: np.ndarray, order: int) -> tuple[np.n
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang") -> LanguageModels:
     """Models from labelled texts outside the held-out quarter; see TRAIN_DOCS for the bound.
 
-    Null texts and labels teach nothing. Without labelled texts there are no languages.
+    Null texts and labels teach nothing. Without labelled texts there are no languages; more than
+    MOST_LANGUAGES raise. All n-grams of the sample are kept.
     """
     rows = docs.where(~is_held_out(F.col(key)) & F.col(label).isNotNull() & F.col(text).isNotNull())
-    sizes = {row["lang"]: row["n"] for row in rows.groupBy(F.col(label).alias("lang")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = {row["lang"]: row["n"] for row in rows.groupBy(F.col(label).alias("lang")).agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1).collect()}
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     if not sizes:
         return LanguageModels([], {}, {}, np.zeros(0), np.zeros(0), np.zeros(0))
     # A row's hash, spread evenly over 0 to 1, against the share of its language that is wanted.
@@ -247,12 +250,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str =
     fifth = F.pmod(F.xxhash64(F.col(key), F.lit("calibrate")), F.lit(5)) == 0
     used = rows.where(place < limit).select(F.col(text).alias("text"), F.col(label).alias("lang"), fifth.alias("fifth"))
     counts = count_grams(used.where("NOT fifth"), "lang", "text")
-    return _calibrated(build_models(_most_frequent(counts).toPandas()), used.where("fifth"))
-
-
-def _most_frequent(counts: DataFrame) -> DataFrame:
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    return counts.withColumn("rank", rank).where(F.col("rank") <= MOST_GRAMS).drop("rank")
+    return _calibrated(build_models(counts.toPandas()), used.where("fifth"))
 
 
 def _calibrated(models: LanguageModels, texts: DataFrame) -> LanguageModels:
