@@ -2,13 +2,14 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from urnalake.llm import topk
 
 
 def brute(candidates, queries, k):
-    candidates = sorted({(i, tuple(v)) for i, v in candidates if i is not None and v is not None and None not in v})
+    candidates = sorted((i, tuple(v)) for i, v in candidates if i is not None and v is not None and None not in v)
     queries = {(i, tuple(v)) for i, v in queries if i is not None and v is not None and None not in v}
     out = []
     for q, v in queries:
@@ -37,6 +38,14 @@ def test_odd_rows(spark):
     assert found(spark, rows, [], 5) == found(spark, [], rows, 5) == []
 
 
+def test_scores_that_do_not_fit_raise(spark):
+    rows = [(50, [3 * 10**9, 10**9]), (51, [3 * 10**9, 2 * 10**9])]
+    with pytest.raises(PySparkException, match="64 bits"):
+        found(spark, rows, rows, 5)
+    with pytest.raises(PySparkException, match="64 bits"):
+        spark.createDataFrame([([1e17],)], "e array<double>").select(topk.whole_components(F.col("e"))).collect()
+
+
 def test_whole_components(spark):
     rows = [([0.5, -0.001],), ([float("nan"), 1.0],), ([float("inf")],), ([None, 1.0],), (None,), ([],)]
     df = spark.createDataFrame(rows, "e array<float>")

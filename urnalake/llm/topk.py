@@ -31,10 +31,14 @@ STEP = 256
 
 
 def whole_components(vector: Column, scale: int = 256) -> Column:
-    """floor(scale * x) per component; null where the vector is null or has a null or non-finite one."""
+    """floor(scale * x) per component; null where the vector is null or has a null or non-finite one.
+
+    A whole number that does not fit 64 bits raises.
+    """
     wide = F.transform(vector, lambda x: x.cast("double"))
     sound = F.forall(wide, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
-    return F.when(sound, F.transform(wide, lambda x: F.floor(x * scale)))
+    complaint = F.raise_error(F.lit("a component does not fit 64 bits")).cast("bigint")
+    return F.when(sound, F.transform(wide, lambda x: F.when(F.abs(x * scale) < 2.0**62, F.floor(x * scale)).otherwise(complaint)))
 
 
 def pivot_table(vectors: DataFrame, pivots: int = PIVOTS) -> dict[int, np.ndarray]:
@@ -60,6 +64,9 @@ def search_block(queries: np.ndarray, query_ids, vectors: np.ndarray, ids, pivot
     """
     if not len(vectors) or not len(queries):
         return
+    largest = [float(np.abs(a.astype(np.float64)).max(initial=0.0)) for a in (queries, vectors)]
+    if largest[0] * largest[1] * vectors.shape[1] >= 2.0**63:
+        raise OverflowError("a score might not fit 64 bits")
     order = np.argsort(ids, kind="stable")
     vectors, ids = vectors[order], ids[order]
     as_float = vectors.astype(np.float64)
@@ -92,8 +99,9 @@ def nearest(candidates: DataFrame, queries: DataFrame, k: int = 5, key: str = "v
     Both tables have (id, integer vector); scores are exact integers, ties go to smaller ids. A
     query meets every vector of its dimension except those with its id; one of another dimension
     has no score with it. Null vectors, vectors with null components and null ids take no part;
-    repeated rows count once; an id with several vectors is ranked by each of them. Queries
-    without candidates have no rows, nor has an empty table.
+    repeated candidates are candidates each; a repeated query counts once; an id with several
+    vectors is ranked by each of them. Queries without candidates have no rows, nor has an empty
+    table. Where components are so large that a score might not fit 64 bits, it raises.
 
     Queries and candidates are dealt into blocks by their ids' hash, so equal vectors or a hot
     value do not gather anywhere; each pair of blocks is a task that returns k rows per query.
@@ -106,7 +114,7 @@ def nearest(candidates: DataFrame, queries: DataFrame, k: int = 5, key: str = "v
             "dim", F.size("v")
         )
 
-    vectors, asked = tidy(candidates).distinct(), tidy(queries).distinct()
+    vectors, asked = tidy(candidates), tidy(queries).distinct()
     vectors, asked = written(vectors, "topk-vectors"), written(asked, "topk-queries")
     pivots = candidates.sparkSession.sparkContext.broadcast(pivot_table(vectors))
     spread = 2 * candidates.sparkSession.sparkContext.defaultParallelism
@@ -147,9 +155,10 @@ WITH whole AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), asked AS (SELECT DISTINCT vec_id, v FROM whole WHERE vec_id % 50 = 0
 ), scored AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
-  FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+  FROM asked q JOIN whole c ON q.vec_id <> c.vec_id
 ), ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
 )
