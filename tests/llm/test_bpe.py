@@ -97,6 +97,9 @@ def test_tables(spark, library):
         expected = library.encode(row["text"] or "", add_special_tokens=False).ids
         assert row["ids"] == expected
         assert row["decoded"] == library.decode(expected, skip_special_tokens=False)
+    both = bpe.encode_and_digest(df.withColumn("decoded_sha256", F.lit(0)), bpe.tokenizer_path())
+    assert both.columns == ["doc_id", "text", "decoded", "ids", "decoded_sha256"]
+    assert sorted((r["ids"], r["decoded_sha256"]) for r in both.collect()) == sorted((r["ids"], sha(r["decoded"])) for r in out)
     digests = bpe.token_digests(df, bpe.tokenizer_path())
     got = sorted((r["doc_id"] or 0, r["n_tokens"], r["decoded_sha256"]) for r in digests.collect())
     assert got[:3] == [(0, 0, sha("")), (1, 2, sha("hello</w> world</w>")), (1, 2, sha("hello</w> world</w>"))]

@@ -345,9 +345,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", into: str = "ids") ->
     get = _model_step(docs.sparkSession, path)
 
     def step(texts: pa.Array) -> pa.Array:
-        encoded = get().encode_batch(texts.to_pylist())
-        offsets = np.cumsum([0, *(len(x) // 4 for x in encoded)]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(encoded), "<i4")))
+        return _ids_array(get().encode_batch(texts.to_pylist()))
 
     return _with_column(docs, text, into, ArrayType(IntegerType()), step)
 
@@ -364,6 +362,39 @@ def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") ->
     return _with_column(df, ids, into, StringType(), step)
 
 
+def encode_and_digest(docs: DataFrame, path: str, text: str = "text", into: str = "ids", digest: str = "decoded_sha256") -> DataFrame:
+    """:func:`encode` with one more column, the SHA-256 of what the ids decode to.
+
+    Decoded texts stay in the task, and one Python worker does both: two steps in a row would take
+    two workers a core, each with a model of its own. Both columns are replaced if they are there.
+    """
+    import hashlib
+
+    get = _model_step(docs.sparkSession, path)
+    names = [c for c in docs.columns if c not in (into, digest)]
+    rows = docs.select(*names, *([text] if text in (into, digest) else []))
+    schema = StructType([*(rows.schema[c] for c in names), StructField(into, ArrayType(IntegerType())), StructField(digest, StringType())])
+
+    def run(batches):
+        for batch in batches:
+            for begin in range(0, batch.num_rows, ROWS_AT_A_TIME):
+                part, model = batch.slice(begin, ROWS_AT_A_TIME), get()
+                encoded = model.encode_batch(part.column(text).to_pylist())
+                digests = [hashlib.sha256(model.decode(ids).encode("utf-8")).hexdigest() for ids in encoded]
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(c) for c in names), _ids_array(encoded), pa.array(digests, pa.string())], names=[*names, into, digest]
+                )
+        for model in _MODELS.values():
+            model.forget()
+
+    return rows.mapInArrow(run, schema)
+
+
+def _ids_array(encoded: list[bytes]) -> pa.Array:
+    offsets = np.cumsum([0, *(len(x) // 4 for x in encoded)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(encoded), "<i4")))
+
+
 def token_digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256): encoded, and decoded again from the ids.
 
