@@ -47,12 +47,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the digest of what they decode to."""
-    path = bpe.tokenizer_path()
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), path), path)
-    return coded.select(
-        "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-    )
+    coded = bpe.encode_and_digest(docs.select("doc_id", "lang", "source", "text"), bpe.tokenizer_path())
+    return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded_sha256")
 
 
 STAGES = [
