@@ -30,7 +30,7 @@ def test_everything_else_works_without_them(tmp_path, gone):
     collect = [sys.executable, "-m", "pytest", "tests", "--collect-only", "-q", "-p", "no:cacheprovider"]
     run = subprocess.run(collect, cwd=copy, capture_output=True, text=True, timeout=120, env=env)
     assert run.returncode == 0, run.stdout + run.stderr
-    assert "test_query_equals_sql" in run.stdout and "op1" not in run.stdout and "tests/llm" not in run.stdout
+    assert "test_query_equals_sql" in run.stdout and "sql[op" not in run.stdout and "tests/llm" not in run.stdout
 
 
 def test_nothing_else_imports_them():

@@ -100,3 +100,33 @@ def test_paths_without_a_filesystem_are_refused(spark, tmp_path):
         files.open_filesystem("/lake/landing")
     assert files.qualified(spark, str(tmp_path)) == f"file:{tmp_path}"
     assert files.open_filesystem(f"file://{tmp_path}")[1] == files.open_filesystem(f"file:{tmp_path}")[1] == str(tmp_path)
+
+
+def _tree(content, range_bytes, fanout):
+    level = [hashlib.sha256(content[i : i + range_bytes]).hexdigest() for i in range(0, max(len(content), 1), range_bytes)]
+    while True:
+        level = [hashlib.sha256("".join(level[i : i + fanout]).encode()).hexdigest() for i in range(0, len(level), fanout)]
+        if len(level) == 1:
+            return level[0]
+
+
+@pytest.mark.parametrize(("range_bytes", "fanout"), [(100, 2), (64, 3), (5000, 4), (1 << 20, 1024)])
+def test_digest_tree_equals_the_definition(spark, tmp_path, range_bytes, fanout):
+    contents = {"a b%20.csv": bytes(range(256)) * 9, "empty.csv": b"", "one.csv": b"x", "even.csv": b"y" * 200}
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    listed = files.list_files(spark, str(tmp_path), "*.csv")
+    assert {r["path"].rsplit("/", 1)[1]: r["length"] for r in listed.collect()} == {n: len(c) for n, c in contents.items()}
+    expected = {n: _tree(c, range_bytes, fanout) for n, c in contents.items()}
+    for parts in (1, 7):  # however tasks share the work
+        leaves = files.range_digests(listed.repartition(parts), range_bytes)
+        got = {r["path"].rsplit("/", 1)[1]: r["sha256"] for r in files.tree_digests(leaves, fanout).collect()}
+        assert got == expected
+
+
+def test_empty_files_are_digested(spark, tmp_path):
+    (tmp_path / "empty.csv").write_bytes(b"")
+    (tmp_path / "full.csv").write_bytes(b"abc")
+    found = files.digests(files.list_files(spark, str(tmp_path))).collect()
+    assert {r["size_bytes"]: r["sha256"] for r in found} == {0: hashlib.sha256(b"").hexdigest(), 3: hashlib.sha256(b"abc").hexdigest()}
+    assert files.folder_digest(files.digests(files.list_files(spark, str(tmp_path)))).first()["n_files"] == 2

@@ -367,30 +367,63 @@ def _page_files(spark, sf_dir: str) -> str:
                     out.write(html.encode("utf-8"))
             yield pd.DataFrame({"page_id": batch["page_id"]})
 
-    pages = I.table(spark, sf_dir, "pages").select("page_id", "html").where("html <> ''")
+    pages = I.table(spark, sf_dir, "pages").select("page_id", F.coalesce("html", F.lit("")).alias("html"))
     pages.mapInPandas(write_each, "page_id long").write.format("noop").mode("overwrite").save()
     return folder
 
 
 @check(
-    """SELECT page_id, strlen(html)::BIGINT AS size_bytes, sha256(html) AS sha256 FROM pages WHERE html <> ''"""
+    """SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS size_bytes, sha256(coalesce(html, '')) AS sha256 FROM pages"""
 )
 def file_checksums(spark, sf_dir):
-    """Size and SHA-256 of files, each the html of a page."""
+    """Size and SHA-256 of files, each the html of a page; empty pages are empty files."""
     digests = files.digests(files.list_files(spark, _page_files(spark, sf_dir)))
-    page = F.regexp_extract("path", r"/(-?\d+)\.html$", 1).cast("long")
-    return digests.select(page.alias("page_id"), "size_bytes", "sha256")
+    return digests.select(_page_of_file().alias("page_id"), "size_bytes", "sha256")
+
+
+def _page_of_file():
+    return F.regexp_extract("path", r"/(-?\d+)\.html$", 1).cast("long")
+
+
+_TREE_SQL = """
+WITH bytes AS (SELECT page_id, hex(encode(coalesce(html, ''))) AS h FROM pages
+), leaves AS (
+  SELECT page_id, i, sha256(unhex(substr(h, i * 1000 + 1, 1000))) AS d
+  FROM bytes, LATERAL unnest(range(0, greatest((length(h) + 999) // 1000, 1))) AS u(i)
+), nodes AS (SELECT page_id, i // 3 AS i, sha256(string_agg(d, '' ORDER BY i)) AS d FROM leaves GROUP BY ALL
+), upper_nodes AS (SELECT page_id, i // 3 AS i, sha256(string_agg(d, '' ORDER BY i)) AS d FROM nodes GROUP BY ALL
+), top AS (SELECT page_id, i // 3 AS i, sha256(string_agg(d, '' ORDER BY i)) AS d FROM upper_nodes GROUP BY ALL)
+SELECT page_id, i::BIGINT AS part, d AS sha256 FROM top
+"""
+
+
+@check(_TREE_SQL)
+def file_tree_digests(spark, sf_dir):
+    """Digest trees of files over ranges of 500 bytes: the nodes of the third level, parts of 13,500 bytes."""
+    leaves = files.range_digests(files.list_files(spark, _page_files(spark, sf_dir)), 500)
+    # Parts of a file have a tree each, so that all trees have the same three levels.
+    parts = leaves.select(
+        F.concat_ws("#", "path", F.floor(F.col("number") / 27).cast("string")).alias("path"),
+        F.lit(26).alias("last"), (F.col("number") % 27).alias("number"), "sha256",
+    )
+    for _ in range(3):
+        parts = files.next_level(parts, 3)
+    name = F.substring_index("path", "#", 1)
+    return parts.select(
+        F.regexp_extract(name, r"/(-?\d+)\.html$", 1).cast("long").alias("page_id"),
+        F.substring_index("path", "#", -1).cast("long").alias("part"), "sha256",
+    )
 
 
 _PIECES_SQL = ", ".join(
-    f"sum(('0x' || substr(sha256(html), {start}, 16))::UBIGINT)::VARCHAR" for start in range(1, 65, 16)
+    f"sum(('0x' || substr(sha256(coalesce(html, '')), {start}, 16))::UBIGINT)::VARCHAR" for start in range(1, 65, 16)
 )
 
 
 @check(
-    f"""SELECT count(*) AS n_files, sum(strlen(html))::BIGINT AS size_bytes,
-  sha256(concat_ws('|', count(*)::VARCHAR, sum(strlen(html))::VARCHAR, {_PIECES_SQL})) AS sha256
-FROM pages WHERE html <> ''"""
+    f"""SELECT count(*) AS n_files, sum(strlen(coalesce(html, '')))::BIGINT AS size_bytes,
+  sha256(concat_ws('|', count(*)::VARCHAR, sum(strlen(coalesce(html, '')))::VARCHAR, {_PIECES_SQL})) AS sha256
+FROM pages"""
 )
 def folder_checksum(spark, sf_dir):
     """One checksum over a folder of files, from the files' own."""

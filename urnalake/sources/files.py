@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import sys
 from collections.abc import Iterator
 from typing import BinaryIO
+from urllib.parse import unquote
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -34,14 +36,20 @@ def chunks(stream: BinaryIO) -> Iterator[bytes]:
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """(path, length) of the files below ``path``, empty ones left out; their content is not read."""
-    return (
+    """(path, length) of the files below ``path``, empty ones too; their content is not read.
+
+    Spark's file sources pass over empty files, but their index knows them.
+    """
+    found = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
         .load(path)
-        .select("path", "length")
     )
+    names = [re.sub("^file:/+", "file:/", unquote(name)) for name in found.inputFiles()]
+    every = spark.createDataFrame([(name,) for name in names], "path string")
+    listed = every.join(found.select("path", "length"), "path", "left")
+    return listed.select("path", F.coalesce("length", F.lit(0)).alias("length"))
 
 
 def digests(files: DataFrame) -> DataFrame:
@@ -65,6 +73,77 @@ def digests(files: DataFrame) -> DataFrame:
     return files.select("path").mapInPandas(hash_files, "path string, size_bytes bigint, sha256 string")
 
 
+#: Bytes of a leaf of a digest tree, and children of a node.
+RANGE_BYTES = 8 << 20
+FANOUT = 1024
+
+
+def byte_ranges(files: DataFrame, range_bytes: int) -> DataFrame:
+    """(path, length, last, number, start, size): files of (path, length) cut into ranges, in any order.
+
+    An empty file is one empty range. Ranges are dealt to tasks one by one, so one large file is
+    as many tasks' work as many small ones.
+    """
+    last = F.greatest(F.ceil(F.col("length") / range_bytes) - 1, F.lit(0))
+    files = files.select("path", "length", last.alias("last"))
+    cut = files.withColumn("number", F.explode(F.sequence(F.lit(0).cast("long"), "last")))
+    start = F.col("number") * range_bytes
+    dealt = cut.withColumn("start", start).withColumn("size", F.least(F.lit(range_bytes), F.col("length") - start))
+    return dealt.repartition("path", "number")
+
+
+def range_digests(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """(path, last, number, sha256) of every byte range; a range is read a megabyte at a time."""
+
+    def hash_ranges(batches):
+        import hashlib
+
+        import pandas as pd
+
+        for batch in batches:
+            for path, last, number, start, size in zip(*(batch[c] for c in ("path", "last", "number", "start", "size")), strict=True):
+                filesystem, inside = open_filesystem(path)
+                digest, left = hashlib.sha256(), size
+                with filesystem.open_input_file(inside) as file:
+                    file.seek(start)
+                    while left and (block := file.read(min(CHUNK, left))):
+                        digest.update(block)
+                        left -= len(block)
+                if left:
+                    raise OSError(f"{path} has become shorter while it was read")
+                yield pd.DataFrame({"path": [path], "last": [last], "number": [number], "sha256": [digest.hexdigest()]})
+
+    ranges = byte_ranges(files, range_bytes).select("path", "last", "number", "start", "size")
+    return ranges.mapInPandas(hash_ranges, "path string, last bigint, number bigint, sha256 string")
+
+
+def tree_digests(leaves: DataFrame, fanout: int = FANOUT) -> DataFrame:
+    """(path, sha256) from :func:`range_digests`: the root of a tree over each file's ranges.
+
+    A leaf is the SHA-256 of a range. A node is the SHA-256 of the hex digests of up to ``fanout``
+    neighbouring nodes below it, one behind the other. There is at least one level of nodes, and
+    as many as leave one node per file. So the root depends on the content, the range size and the
+    fanout alone, not on how tasks share the work, and no group is larger than the fanout.
+    """
+    last = leaves.agg(F.max("last")).first()[0] or 0
+    level = next_level(leaves, fanout)
+    roots = level.where("last = 0")
+    while last := last // fanout:
+        level = next_level(level.where("last > 0"), fanout)
+        roots = roots.unionByName(level.where("last = 0"))
+    return roots.select("path", "sha256")
+
+
+def next_level(nodes: DataFrame, fanout: int) -> DataFrame:
+    """(path, last, number, sha256) of the nodes above; ``last`` is the highest number of the file."""
+    ordered = F.array_sort(F.collect_list(F.struct("number", "sha256")))
+    joined = F.array_join(F.transform(ordered, lambda n: n["sha256"]), "").cast("binary")
+    above = [F.floor(F.col(c) / fanout).alias(f"{c}_above") for c in ("last", "number")]
+    return nodes.groupBy("path", *above).agg(F.sha2(joined, 256).alias("sha256")).select(
+        "path", F.col("last_above").alias("last"), F.col("number_above").alias("number"), "sha256"
+    )
+
+
 def folder_digest(file_digests: DataFrame) -> DataFrame:
     """(n_files, size_bytes, sha256) over all files of a folder, whatever their order.
 
