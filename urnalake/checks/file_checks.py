@@ -53,6 +53,21 @@ def csv_roundtrip(spark, sf_dir):
     return landed_csv.typed(landed_csv.read_landed(spark, folder))
 
 
+@check(
+    I.with_landed(
+        f"""SELECT * REPLACE (NM_MUNICIPIO || chr(10) || '"' || SG_UF || ';"' AS NM_MUNICIPIO) FROM (SELECT {_TYPED_SQL} FROM landed)
+        WHERE NM_MUNICIPIO IS NOT NULL AND SG_UF IS NOT NULL"""
+    )
+)
+def csv_multiline(spark, sf_dir):
+    """Names with line breaks, separators and quote signs, read from byte ranges of the files."""
+    folder = scratch_folder(spark, "csv")
+    rows = landed_csv.nullify_tokens(I.landed(spark, sf_dir)).where("NM_MUNICIPIO IS NOT NULL AND SG_UF IS NOT NULL")
+    name = F.concat("NM_MUNICIPIO", F.lit('\n"'), "SG_UF", F.lit(';"'))
+    rows.withColumn("NM_MUNICIPIO", name).write.options(sep=S.CSV_SEPARATOR, header="true", escape='"').csv(folder)
+    return landed_csv.typed(landed_csv.read_landed(spark, folder, multi_line=True, range_bytes=100_000))
+
+
 def _table_of_years(spark, sf_dir: str) -> str:
     root = scratch_folder(spark, "silver")
     rows = I.silver(spark, sf_dir).drop("Ano").withColumn("year", F.col("ANO_ELEICAO"))

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from urnalake import schema as S
 from urnalake.functions.casting import cast_by_name, nullify_tokens, quoted
+from urnalake.sources import quoted_csv
 
 CORRUPT = "__malformed_line"
 _TARGET_TEXT_BYTES = 1 << 30
@@ -37,6 +38,7 @@ def read_landed(
     keep_malformed: bool = False,
     malformed: Observation | None = None,
     multi_line: bool = False,
+    range_bytes: int = quoted_csv.RANGE_BYTES,
 ) -> DataFrame:
     """Landed columns as strings in header order, whatever they are.
 
@@ -44,7 +46,7 @@ def read_landed(
     with too few fields is padded with NULL, one with too many fails the job; ``malformed``
     counts the former as ``malformed`` while the rows are used. With ``keep_malformed`` the text
     of both kinds is kept in an extra column instead. ``multi_line`` allows line breaks inside
-    quotes, at the price that a file is no longer split between tasks.
+    quotes: files are read twice then, in ranges of ``range_bytes`` that tasks share.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     options = csv_options(encoding) | {"recursiveFileLookup": "true", "multiLine": str(multi_line).lower()}
@@ -52,11 +54,13 @@ def read_landed(
     if not names:
         raise ValueError(f"no header line in {', '.join(paths)}")
     layout = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
-    lines = (
-        spark.read.options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
-        .schema(layout)
-        .csv(paths)
-    )
+    options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    if multi_line:
+        records = quoted_csv.records(spark, paths, names, S.CSV_SEPARATOR, encoding, range_bytes)
+        ddl = ", ".join("`" + name.replace("`", "``") + "` string" for name in layout.names)
+        lines = records.select(F.from_csv("record", ddl, options | {"header": "false"}).alias("row")).select("row.*")
+    else:
+        lines = spark.read.options(**options).schema(layout).csv(paths)
     if malformed is not None:
         # The first field is counted as well: no CSV query may use the malformed text alone.
         counts = [F.count(CORRUPT).alias("malformed"), F.count(quoted(names[0])).alias("first_fields")]
