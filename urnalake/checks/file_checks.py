@@ -22,7 +22,7 @@ from urnalake.plans.lake import Lake
 from urnalake.plans.reports import report_of
 from urnalake.plans.years import run_years
 from urnalake.session import scratch_folder
-from urnalake.sources import archives, audit_log, files, landed_csv, tables
+from urnalake.sources import archives, audit_log, files, landed_csv, tables, versions
 from urnalake.streaming.bronze import load_new_files
 
 _TYPED_SQL = ", ".join(
@@ -367,6 +367,34 @@ def table_replace_rows(spark, sf_dir):
     return rounded(rollups.state_by_year(all_years))
 
 
+_VERSIONS_SQL = " UNION ALL ".join(
+    f"SELECT {number} AS version, Ano, count(*) AS n, sum(QT_COMPARECIMENTO)::BIGINT AS comparecimento FROM silver WHERE {rows} GROUP BY Ano"
+    for number, rows in ((1, "true"), (2, "Ano <> 1999 OR QT_APTOS > 10"), (3, "(Ano <> 1999 OR QT_APTOS > 10) AND Ano <> 1996"))
+)
+
+
+@check(I.with_silver(_VERSIONS_SQL))
+def lake_versions(spark, sf_dir):
+    """Three versions of a table, each still readable: all years, one replaced by fewer rows, one emptied.
+
+    A fourth commit has written its rows but not its manifest, so no version has them.
+    """
+    root = scratch_folder(spark, "versions")
+    rows = I.silver(spark, sf_dir).drop("Ano").withColumn("year", F.col("ANO_ELEICAO"))
+    years = [r["year"] for r in rows.select("year").distinct().collect()]
+    versions.replace_years(rows, root, years)
+    versions.replace_years(rows.where("year = 1999 AND QT_APTOS > 10"), root, [1999])
+    versions.replace_years(rows.where(F.lit(False)), root, [1996])
+    versions.stage(rows, root)
+    read = [
+        versions.read_years(spark, root, years, at=versions.version(spark, root, n)).withColumn("version", F.lit(n))
+        for n in versions.versions_in(spark, root)
+    ]
+    return tables.union_years(read).groupBy("version", "Ano").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("QT_COMPARECIMENTO").alias("comparecimento")
+    )
+
+
 def _page_files(spark, sf_dir: str) -> str:
     """The html of every page as a file of its own, named by the page."""
     folder = files.qualified(spark, scratch_folder(spark, "pages"))
