@@ -13,10 +13,12 @@ from urnalake import schema as S
 from urnalake.checks import inputs as I
 from urnalake.checks.registry import check
 from urnalake.checks.report_checks import NATIONAL_SQL, REGIONAL_SQL, STATE_SQL, rounded
+from urnalake.checks.quality_checks import _SILVER_RULES
 from urnalake.checks.silver_checks import _LANDED, _SQL_TYPES, _nullified, _sample_sql
 from urnalake.operators import audit, rollups
 from urnalake.operators.ranking import exact_sample
 from urnalake.plans import bronze as bronze_plan
+from urnalake.plans import checked
 from urnalake.plans import silver as silver_plan
 from urnalake.plans.lake import Lake
 from urnalake.plans.reports import report_of
@@ -395,6 +397,35 @@ def lake_versions(spark, sf_dir):
     )
 
 
+_REASONS_SQL = ", ".join(f"CASE WHEN {p} THEN '{f}:{r}' END" for f, r, p in _SILVER_RULES if f != "ANO_ELEICAO")
+
+
+@check(
+    I.with_silver(
+        f"""SELECT CASE WHEN why = '' THEN 'table' ELSE 'quarantine' END AS layer, Ano, why, count(*) AS n,
+  sum(QT_COMPARECIMENTO)::BIGINT AS comparecimento
+FROM (SELECT *, concat_ws(',', {_REASONS_SQL}) AS why FROM silver) GROUP BY ALL""",
+        empty_cells=True,
+    )
+)
+def quarantine(spark, sf_dir):
+    """Rows that keep the value rules and rows that break some, with the rules they break."""
+    root = scratch_folder(spark, "checked")
+    rows = I.silver(spark, sf_dir, empty_cells=True)
+    years = [r["Ano"] for r in rows.select("Ano").distinct().collect()]
+    rules = [rule for rule in S.silver_rules() if rule.field != "ANO_ELEICAO"]
+    run_years(lambda y: checked.write_checked_year(rows.where(F.col("Ano") == y), root, y, rules), years)
+    layers = [
+        tables.union_loose([tables.read_year(spark, checked.layer(root, name), y) for y in tables.years_in(spark, checked.layer(root, name))])
+        .withColumn("layer", F.lit(name))
+        for name in (checked.TABLE, checked.QUARANTINE)
+    ]
+    why = F.coalesce(F.array_join(checked.REASONS, ","), F.lit("")).alias("why")
+    return tables.union_years(layers).groupBy("layer", "Ano", why).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("QT_COMPARECIMENTO").alias("comparecimento")
+    )
+
+
 def _page_files(spark, sf_dir: str) -> str:
     """The html of every page as a file of its own, named by the page."""
     folder = files.qualified(spark, scratch_folder(spark, "pages"))

@@ -123,6 +123,12 @@ def rule_violations(df: DataFrame, rules: list[S.Rule]) -> DataFrame:
     return counts.select(F.inline(F.array(*lines)))
 
 
+def broken_rules(rules: list[S.Rule]) -> Column:
+    """The rules that a row breaks, as an array of "field:name" in the order of ``rules``."""
+    named = [F.when(rule.broken, F.lit(f"{rule.field}:{rule.name}")) for rule in rules]
+    return F.array_compact(F.array(*named)) if named else F.array().cast("array<string>")
+
+
 def is_consistent() -> Column:
     return F.col("QT_COMPARECIMENTO") + F.col("QT_ABSTENCAO") == F.col("QT_APTOS")
 

@@ -24,6 +24,11 @@ class Lake:
     def silver(self) -> str:
         return self._folder("silver", S.BRONZE_DATASET)
 
+    @property
+    def checked(self) -> str:
+        """Silver rows after the value rules, beside the rows that break one."""
+        return self._folder("checked", S.BRONZE_DATASET)
+
     @property
     def bronze_log(self) -> str:
         return self._folder("audit", "bronze")
