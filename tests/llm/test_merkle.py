@@ -1,4 +1,8 @@
+import hashlib
+import random
 import re
+from datetime import date, timedelta
+from decimal import Decimal
 
 import pytest
 from brute import sha
@@ -7,14 +11,21 @@ from pyspark.sql import functions as F
 from urnalake.llm import merkle
 
 
+PARAGRAPH, PIECE = r"[^\n]*\n|[^\n]+", r"(?s).{7,63}?[ e]|.{1,64}"
+
+
+def md5(text):
+    return hashlib.md5(text.encode()).hexdigest()
+
+
 def root(text):
     sections = re.findall(r"(?s).+?(?:\n{2,}|\Z)", text)
-    digests = [sha("".join(sha(p) for p in re.findall(r"[^\n]*\n|[^\n]+", s))) for s in sections]
-    return sha("".join(digests))
+    paragraph = lambda p: sha("".join(map(md5, re.findall(PIECE, p))))
+    return sha("".join(sha("".join(map(paragraph, re.findall(PARAGRAPH, s)))) for s in sections))
 
 
 def leaves(text):
-    return {x for p in re.findall(r"[^\n]*\n|[^\n]+", text) for x in re.findall(r"(?s).{1,16}", p)}
+    return {x for p in re.findall(PARAGRAPH, text) for x in re.findall(PIECE, p)}
 
 
 def likeness(a, b):
@@ -50,6 +61,28 @@ def test_equals_brute_force(spark, name):
     assert sorted(map(tuple, merkle.fingerprints(df).collect()), key=str) == expected(CASES[name])
 
 
+@pytest.mark.parametrize(
+    ("kind", "make"),
+    [("long", lambda i: 2**60 + 3 * i), ("string", lambda i: f"id-{i * 7919 % 1000}"), ("date", lambda i: date(2000, 1, 1) + timedelta(i)),
+     ("decimal(30,2)", lambda i: Decimal(10**25 + i)), ("int", lambda i: -i)],
+)
+def test_ids_of_any_size_and_kind(spark, kind, make):
+    docs = [(make(i), f"text {i} " * (i % 9)) for i in range(400)]
+    got = sorted(map(tuple, merkle.fingerprints(spark.createDataFrame(docs, f"doc_id {kind}, text string")).collect()), key=str)
+    ordered = sorted(docs)
+    numbered = {r[0]: r[1:] for r in expected([(i, t) for i, (_, t) in enumerate(ordered)])}
+    assert got == sorted(((key, *numbered[i]) for i, (key, _) in enumerate(ordered)), key=str)
+
+
+def test_a_character_in_front_changes_little(spark):
+    rng = random.Random(1)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9))) for _ in range(800)]
+    text = " ".join(words)
+    df = spark.createDataFrame([(text, "X" + text)], "a string, b string")
+    alike = df.select(merkle.likeness(merkle.tree(F.col("a")), merkle.tree(F.col("b")))).first()[0]
+    assert 0.8 < alike < 1.0 and alike == likeness(text, "X" + text)
+
+
 def test_empty_table(spark):
     assert merkle.fingerprints(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 

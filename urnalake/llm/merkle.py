@@ -5,6 +5,8 @@ Everything is a column expression; no row leaves the JVM.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,9 +17,12 @@ from urnalake.llm.common import table
 # of their piece, so the pieces of a text joined together are that text.
 SECTION = r"(?s).+?(?:\n{2,}|\z)"
 PARAGRAPH = r"[^\n]*\n|[^\n]+"
-# Paragraphs are cut into leaves of this many code points, so that short texts have several.
-LEAF = r"(?s).{1,16}"
-MOST_RANGES = 1000
+# A paragraph's pieces, the leaves, end at the first space or "e" behind their seventh code point, so
+# that what is put in moves the cuts near it only; text without either is cut every 64 code points.
+PIECE = r"(?s).{7,63}?[ e]|.{1,64}"
+#: Rows of a range that one window sorts, on average, and sampled ids per range.
+RANGE_ROWS = 500_000
+SAMPLED = 8
 
 
 def _all(text: Column, pattern: str) -> Column:
@@ -25,45 +30,70 @@ def _all(text: Column, pattern: str) -> Column:
 
 
 def tree(text: Column) -> Column:
-    """The branches of a text: an array of sections, each with its digest and its paragraphs.
+    """The branches of a text: sections with digest and paragraphs, these with digest and pieces.
 
-    A paragraph's digest covers its text, a section's digest those of its paragraphs. Null
-    counts as the empty text, which has no section.
+    A piece is a 64-bit digest; a paragraph's digest covers the digests of its pieces, a section's
+    those of its paragraphs. Null counts as the empty text, which has no section.
     """
     return F.transform(
         _all(F.coalesce(text, F.lit("")), SECTION),
-        lambda section: _section(
-            F.transform(_all(section, PARAGRAPH), lambda p: F.sha2(p.cast("binary"), 256))
-        ),
+        lambda section: _section(F.transform(_all(section, PARAGRAPH), _paragraph)),
     )
 
 
+def _paragraph(text: Column) -> Column:
+    return F.transform(
+        F.array(F.transform(_all(text, PIECE), lambda piece: F.md5(piece.cast("binary")))),
+        lambda digests: F.struct(
+            F.sha2(F.array_join(digests, "").cast("binary"), 256).alias("digest"),
+            F.transform(digests, lambda d: F.unhex(F.substring(d, 1, 16))).alias("pieces"),
+        ),
+    )[0]
+
+
 def _section(paragraphs: Column) -> Column:
-    return F.struct(F.sha2(F.array_join(paragraphs, ""), 256).alias("digest"), paragraphs.alias("paragraphs"))
+    digests = F.array_join(F.transform(paragraphs, lambda p: p["digest"]), "")
+    return F.struct(F.sha2(digests.cast("binary"), 256).alias("digest"), paragraphs.alias("paragraphs"))
 
 
 def root(branches: Column) -> Column:
     """The digest over a tree's section digests: equal for equal texts."""
-    return F.sha2(F.array_join(F.transform(branches, lambda s: s["digest"]), ""), 256)
+    return F.sha2(F.array_join(F.transform(branches, lambda s: s["digest"]), "").cast("binary"), 256)
 
 
-def leaves(text: Column) -> Column:
-    """The distinct 64-bit leaf hashes of a text's paragraphs."""
-    return F.array_distinct(
-        F.flatten(
-            F.transform(
-                _all(F.coalesce(text, F.lit("")), PARAGRAPH),
-                lambda p: F.transform(_all(p, LEAF), lambda piece: F.xxhash64(piece)),
-            )
-        )
-    )
+def _digests(nodes: Column) -> Column:
+    return F.transform(nodes, lambda n: n["digest"])
+
 
+def _pieces(paragraphs: Column) -> Column:
+    return F.array_distinct(F.flatten(F.transform(paragraphs, lambda p: p["pieces"])))
 
-def likeness(root_a: Column, leaves_a: Column, root_b: Column, leaves_b: Column) -> Column:
-    """1 for equal roots, else twice the leaves in common over the leaves of both."""
-    both = F.size(leaves_a) + F.size(leaves_b)
-    shared = F.size(F.array_intersect(leaves_a, leaves_b))
-    return F.when((root_a == root_b) | (both == 0), F.lit(1.0)).otherwise(2.0 * shared / both)
+
+def _paragraphs(sections: Column) -> Column:
+    return F.flatten(F.transform(sections, lambda s: s["paragraphs"]))
+
+
+def shared_pieces(a: Column, b: Column) -> Column:
+    """How many different pieces two trees have in common.
+
+    What lies below equal digests is shared as a whole; only below sections and then paragraphs
+    whose digest the other tree lacks are the pieces themselves looked for.
+    """
+
+    def parted(nodes: Column, others: Column) -> tuple[Column, Column]:
+        both = F.array_intersect(_digests(nodes), _digests(others))
+        return F.filter(nodes, lambda n: F.array_contains(both, n["digest"])), F.filter(nodes, lambda n: ~F.array_contains(both, n["digest"]))
+
+    same_sections, other_sections = parted(a, b)
+    same, different = parted(_paragraphs(other_sections), _paragraphs(b))
+    found = F.array_intersect(_pieces(different), _pieces(_paragraphs(b)))
+    return F.size(F.array_union(F.array_union(_pieces(_paragraphs(same_sections)), _pieces(same)), found))
+
+
+def likeness(a: Column, b: Column) -> Column:
+    """1 for equal roots, else twice the pieces that two trees share over the pieces of both."""
+    both = F.size(_pieces(_paragraphs(a))) + F.size(_pieces(_paragraphs(b)))
+    return F.when((root(a) == root(b)) | (both == 0), F.lit(1.0)).otherwise(2.0 * shared_pieces(a, b) / both)
 
 
 def edits(before: Column, after: Column) -> Column:
@@ -77,7 +107,7 @@ def edits(before: Column, after: Column) -> Column:
         paragraphs = F.greatest(F.coalesce(F.size(a["paragraphs"]), F.lit(0)), F.coalesce(F.size(b["paragraphs"]), F.lit(0)))
         changed = F.filter(
             F.transform(F.sequence(F.lit(0), F.greatest(paragraphs - 1, F.lit(0))), lambda i: i),
-            lambda i: ~F.get(a["paragraphs"], i).eqNullSafe(F.get(b["paragraphs"], i)),
+            lambda i: ~F.get(a["paragraphs"], i)["digest"].eqNullSafe(F.get(b["paragraphs"], i)["digest"]),
         )
         return F.struct(index.alias("section"), changed.alias("paragraphs"))
 
@@ -92,83 +122,83 @@ def with_tree(df: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumn("branches", tree(F.col(text))).withColumn("fingerprint", root(F.col("branches")))
 
 
-def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text", also=()) -> DataFrame:
+def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, text, next_text): every row with the text of the row behind it, the last with the first.
 
-    Rows follow each other by id, nulls last, equal ids by text. The ids are cut into ranges at
-    approximate quantiles that are ids themselves. Each range is one window group, closed by a
-    copy of the next range's first row, so no order over all rows is needed. ``also`` maps names
-    to expressions on ``text`` that are computed behind the exchange, for the row and its next.
+    Rows follow each other by id, nulls last, equal ids by text. Ids may be of any type that has an
+    order. They are cut into ranges at ids of a sample whose size goes with the number of rows.
+    Each range is one window group, closed by a copy of the next range's first row, so no order
+    over all rows is needed.
     """
+    spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(1, min(MOST_RANGES, 4 * parts))
-    cuts, nulls = rows.agg(
-        F.percentile_approx("id", [i / wanted for i in range(wanted)], 10_000),
-        F.count(F.when(F.col("id").isNull(), 1)),
-    ).first()
-    cuts = sorted(set(cuts or []))
-    count = len(cuts) + bool(nulls)
-    if not count:
-        return _lead(rows.withColumn("range", F.lit(0)).withColumn("guard", F.lit(0)), also)
-    bounds = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<bigint>")
-    last = F.lit(len(cuts) + 1)
-    place = F.when(F.col("id").isNull(), last).otherwise(F.size(F.filter(bounds, lambda c: c <= F.col("id"))))
-    placed = rows.withColumn("range", place).withColumn("guard", F.lit(0))
-    first = placed.where(F.col("id").isin(cuts) if cuts else F.lit(False))
-    if nulls:
-        first = first.unionByName(placed.where(F.col("id").isNull()))
-    before = (F.col("range") + (count - 2)) % count + 1
+    kind = rows.schema["id"].dataType
+    count, nulls, least = rows.agg(F.count(F.lit(1)), F.count(F.when(F.col("id").isNull(), 1)), F.min("id")).first()
+    wanted = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), count // RANGE_ROWS)
+    # Ids whose hash is small: about SAMPLED times as many as ranges, whichever rows have them.
+    small = F.xxhash64("id").cast("double") / 2.0**64 + 0.5 < min(1.0, SAMPLED * wanted / max(count, 1))
+    sample = [r["id"] for r in rows.select("id").where(F.col("id").isNotNull() & small).distinct().orderBy("id").collect()]
+    cuts = ([least] if least is not None else []) + [c for c in sample[:: max(1, len(sample) // wanted)] if c != least]
+    ranges = len(cuts) + bool(nulls)
+    if not ranges:
+        return rows.withColumn("next_text", F.lit("")).where(F.lit(False))
+    literal = [F.lit(c).cast(kind) for c in cuts]
+    place = F.when(F.col("id").isNull(), len(cuts) + 1).otherwise(_cuts_up_to(F.col("id"), literal))
+    placed = rows.withColumn("range", place.cast("int")).withColumn("guard", F.lit(0))
+    first = placed.where(F.col("id").isin(literal) | F.col("id").isNull())
+    before = (F.col("range") + (ranges - 2)) % ranges + 1
     guards = first.groupBy("range").agg(F.min("text").alias("text")).select(
-        F.lit(None).cast(rows.schema["id"].dataType).alias("id"),
-        "text",
-        before.cast("int").alias("range"),
-        F.lit(1).alias("guard"),
+        F.lit(None).cast(kind).alias("id"), "text", before.cast("int").alias("range"), F.lit(1).alias("guard")
     )
-    return _lead(placed.unionByName(guards), also)
-
-
-def _lead(placed: DataFrame, also) -> DataFrame:
     order = Window.partitionBy("range").orderBy("guard", "id", "text")
-    rows = placed.withColumn("next_text", F.lead("text").over(order))
-    for name, expression in dict(also).items():
-        rows = rows.withColumn(name, expression(F.col("text")))
-    for name in dict(also):
-        rows = rows.withColumn(f"next_{name}", F.lead(name).over(order))
+    rows = placed.unionByName(guards).withColumn("next_text", F.lead("text").over(order))
     return rows.where("guard = 0").drop("range", "guard")
 
 
+def _cuts_up_to(value: Column, cuts: list[Column]) -> Column:
+    """How many of the sorted cuts are not above a value: by groups of cuts first, then in one."""
+    if not cuts:
+        return F.lit(0)
+    width = max(1, math.isqrt(len(cuts)))
+    groups = [cuts[i : i + width] for i in range(0, len(cuts), width)]
+    group = F.size(F.filter(F.array(*[g[0] for g in groups]), lambda c: c <= value))
+    inside = F.size(F.filter(F.get(F.array(*[F.array(*g) for g in groups]), group - 1), lambda c: c <= value))
+    return F.when(group == 0, 0).otherwise((group - 1) * width + inside)
+
+
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Each text and its edited form (last quarter replaced from the next text) compared by tree.
 
     Null text counts as empty; two empty texts are alike. Rows are kept one for one, also equal
-    ones; an empty table gives no rows. Other columns are not used.
+    ones; an empty table gives no rows. Ids may be null, large, text or dates. Other columns are
+    not used.
     """
-    rows = with_next(docs, key, text, {"pieces": leaves, "root": lambda c: root(tree(c))})
+    rows = with_next(docs, key, text)
     n = F.char_length("text")
     tail = F.floor(n / 4).cast("int")
     rows = rows.withColumn(
         "edited", F.concat(F.expr("left(text, char_length(text) - int(floor(char_length(text) / 4)))"),
                            F.when(tail > 0, F.substring("next_text", F.lit(1), tail)).otherwise(""))
     )
-    rows = rows.withColumn("edited_root", root(tree(F.col("edited")))).withColumn(
-        "edited_pieces", leaves(F.col("edited"))
-    )
+    rows = rows.withColumns({"own": tree(F.col("text")), "after": tree(F.col("edited")), "next": tree(F.col("next_text"))})
     return rows.select(
         F.col("id").alias(key),
         n.cast("long").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        F.col("root").alias("fingerprint"),
-        F.col("edited_root").alias("edited_fingerprint"),
-        likeness(F.col("root"), F.col("pieces"), F.col("edited_root"), F.col("edited_pieces")).alias("near_edited"),
-        likeness(F.col("root"), F.col("pieces"), F.col("next_root"), F.col("next_pieces")).alias("near_next"),
+        root(F.col("own")).alias("fingerprint"),
+        root(F.col("after")).alias("edited_fingerprint"),
+        likeness(F.col("own"), F.col("after")).alias("near_edited"),
+        likeness(F.col("own"), F.col("next")).alias("near_next"),
     )
 
 
-_ROOT_SQL = r"""sha256(array_to_string(list_transform(regexp_extract_all({0}, '(?s).+?(?:\n{{2,}}|\z)'),
-    lambda s: sha256(array_to_string(list_transform(regexp_extract_all(s, '[^\n]*\n|[^\n]+'), lambda p: sha256(p)), ''))), ''))"""
-_LEAVES_SQL = r"""list_distinct(flatten(list_transform(regexp_extract_all({0}, '[^\n]*\n|[^\n]+'),
-    lambda p: regexp_extract_all(p, '(?s).{{1,16}}'))))"""
+_PIECES_SQL = r"regexp_extract_all({0}, '(?s).{{7,63}}?[ e]|.{{1,64}}')"
+_PARAGRAPHS_SQL = r"regexp_extract_all({0}, '[^\n]*\n|[^\n]+')"
+_ROOT_SQL = rf"""sha256(array_to_string(list_transform(regexp_extract_all({{0}}, '(?s).+?(?:\n{{{{2,}}}}|\z)'),
+    lambda s: sha256(array_to_string(list_transform({_PARAGRAPHS_SQL.format("s")}, lambda p:
+      sha256(array_to_string(list_transform({_PIECES_SQL.format("p").replace("{", "{{").replace("}", "}}")}, lambda x: md5(x)), ''))), ''))), ''))"""
+_LEAVES_SQL = f"""list_distinct(flatten(list_transform({_PARAGRAPHS_SQL},
+    lambda p: {_PIECES_SQL.format("p").replace("{", "{{").replace("}", "}}")})))"""
 _LIKE_SQL = """CASE WHEN {0} = {2} OR len({1}) + len({3}) = 0 THEN 1.0::DOUBLE
     ELSE 2.0::DOUBLE * len(list_intersect({1}, {3})) / (len({1}) + len({3})) END"""
 
