@@ -29,36 +29,43 @@ def _all(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it is named there."""
+    return F.transform(F.array(value), use)[0]
+
+
 def tree(text: Column) -> Column:
     """The branches of a text: sections with digest and paragraphs, these with digest and pieces.
 
-    A piece is a 64-bit digest; a paragraph's digest covers the digests of its pieces, a section's
-    those of its paragraphs. Null counts as the empty text, which has no section.
+    A piece is 64 bits of its digest; a paragraph's digest covers the digests of its pieces, a
+    section's those of its paragraphs. Null counts as the empty text, which has no section.
     """
+    return F.transform(_all(F.coalesce(text, F.lit("")), SECTION), lambda text: _let(_paragraphs_of(text), _section))
+
+
+def _paragraphs_of(section: Column) -> Column:
     return F.transform(
-        _all(F.coalesce(text, F.lit("")), SECTION),
-        lambda section: _section(F.transform(_all(section, PARAGRAPH), _paragraph)),
+        _all(section, PARAGRAPH),
+        lambda text: _let(F.transform(_all(text, PIECE), lambda piece: F.md5(piece.cast("binary"))), _paragraph),
     )
 
 
-def _paragraph(text: Column) -> Column:
-    return F.transform(
-        F.array(F.transform(_all(text, PIECE), lambda piece: F.md5(piece.cast("binary")))),
-        lambda digests: F.struct(
-            F.sha2(F.array_join(digests, "").cast("binary"), 256).alias("digest"),
-            F.transform(digests, lambda d: F.unhex(F.substring(d, 1, 16))).alias("pieces"),
-        ),
-    )[0]
+def _paragraph(digests: Column) -> Column:
+    """Pieces are whole numbers, as Spark compares arrays of these by hash tables."""
+    return F.struct(
+        F.sha2(F.array_join(digests, "").cast("binary"), 256).alias("digest"),
+        F.transform(digests, lambda d: F.xxhash64(d)).alias("pieces"),
+    )
 
 
 def _section(paragraphs: Column) -> Column:
-    digests = F.array_join(F.transform(paragraphs, lambda p: p["digest"]), "")
+    digests = F.array_join(_digests(paragraphs), "")
     return F.struct(F.sha2(digests.cast("binary"), 256).alias("digest"), paragraphs.alias("paragraphs"))
 
 
 def root(branches: Column) -> Column:
     """The digest over a tree's section digests: equal for equal texts."""
-    return F.sha2(F.array_join(F.transform(branches, lambda s: s["digest"]), "").cast("binary"), 256)
+    return F.sha2(F.array_join(_digests(branches), "").cast("binary"), 256)
 
 
 def _digests(nodes: Column) -> Column:
@@ -73,27 +80,53 @@ def _paragraphs(sections: Column) -> Column:
     return F.flatten(F.transform(sections, lambda s: s["paragraphs"]))
 
 
+def _parted(a: Column, b: Column) -> Column:
+    """(same, mine, theirs): nodes equal by digest from either end on, and those between them.
+
+    Each digest is looked at twice, so that the cost goes with the number of nodes.
+    """
+
+    def equal_ahead(x: Column, y: Column) -> Column:
+        found = F.array_position(F.zip_with(_digests(x), _digests(y), lambda m, n: m.eqNullSafe(n)), False)
+        return F.when(found == 0, F.size(x)).otherwise((found - 1).cast("int"))
+
+    def cut(ends: Column) -> Column:
+        front = ends["front"]
+        back = F.least(ends["back"], F.size(a) - front, F.size(b) - front)
+        return F.struct(
+            F.concat(F.slice(a, F.lit(1), front), F.slice(a, F.size(a) - back + 1, back)).alias("same"),
+            F.slice(a, front + 1, F.size(a) - front - back).alias("mine"),
+            F.slice(b, front + 1, F.size(b) - front - back).alias("theirs"),
+        )
+
+    return _let(F.struct(equal_ahead(a, b).alias("front"), equal_ahead(F.reverse(a), F.reverse(b)).alias("back")), cut)
+
+
 def shared_pieces(a: Column, b: Column) -> Column:
     """How many different pieces two trees have in common.
 
-    What lies below equal digests is shared as a whole; only below sections and then paragraphs
-    whose digest the other tree lacks are the pieces themselves looked for.
+    What lies below equal digests at either end is shared as a whole; only between them sections
+    are opened, then paragraphs, and only the pieces of what is left are looked for.
     """
 
-    def parted(nodes: Column, others: Column) -> tuple[Column, Column]:
-        both = F.array_intersect(_digests(nodes), _digests(others))
-        return F.filter(nodes, lambda n: F.array_contains(both, n["digest"])), F.filter(nodes, lambda n: ~F.array_contains(both, n["digest"]))
+    def sections(s: Column) -> Column:
+        return _let(
+            F.struct(_paragraphs(s["mine"]).alias("mine"), _paragraphs(s["theirs"]).alias("theirs")),
+            lambda p: _let(_parted(p["mine"], p["theirs"]), lambda q: paragraphs(s, q)),
+        )
+
+    def paragraphs(s: Column, q: Column) -> Column:
+        same = _pieces(F.concat(_paragraphs(s["same"]), q["same"]))
+        return F.size(F.array_union(same, F.array_intersect(_pieces(q["mine"]), _pieces(q["theirs"]))))
 
-    same_sections, other_sections = parted(a, b)
-    same, different = parted(_paragraphs(other_sections), _paragraphs(b))
-    found = F.array_intersect(_pieces(different), _pieces(_paragraphs(b)))
-    return F.size(F.array_union(F.array_union(_pieces(_paragraphs(same_sections)), _pieces(same)), found))
+    return _let(_parted(a, b), sections)
 
 
 def likeness(a: Column, b: Column) -> Column:
     """1 for equal roots, else twice the pieces that two trees share over the pieces of both."""
     both = F.size(_pieces(_paragraphs(a))) + F.size(_pieces(_paragraphs(b)))
-    return F.when((root(a) == root(b)) | (both == 0), F.lit(1.0)).otherwise(2.0 * shared_pieces(a, b) / both)
+    part = _let(both, lambda n: F.when(n == 0, F.lit(1.0)).otherwise(2.0 * shared_pieces(a, b) / n))
+    return F.when(root(a) == root(b), F.lit(1.0)).otherwise(part)
 
 
 def edits(before: Column, after: Column) -> Column:
