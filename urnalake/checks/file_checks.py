@@ -7,18 +7,20 @@ answer straight from the driver tables.
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import functions as F
 
 from urnalake import schema as S
 from urnalake.checks import inputs as I
 from urnalake.checks.registry import check
-from urnalake.checks.report_checks import NATIONAL_SQL, REGIONAL_SQL, STATE_SQL, rounded
+from urnalake.checks.report_checks import FUSED_SQL, NATIONAL_SQL, REGIONAL_SQL, STATE_SQL, rounded
 from urnalake.checks.quality_checks import _SILVER_RULES
 from urnalake.checks.silver_checks import _LANDED, _SQL_TYPES, _nullified, _sample_sql
 from urnalake.operators import audit, rollups
 from urnalake.operators.ranking import exact_sample
 from urnalake.plans import bronze as bronze_plan
-from urnalake.plans import checked
+from urnalake.plans import cells, checked
 from urnalake.plans import silver as silver_plan
 from urnalake.plans.lake import Lake
 from urnalake.plans.reports import report_of
@@ -369,6 +371,23 @@ def table_replace_rows(spark, sf_dir):
     return rounded(rollups.state_by_year(all_years))
 
 
+@check(I.with_silver(f"SELECT *, Ano = 1999 AS made_again FROM ({FUSED_SQL.replace('FROM silver', f'FROM {_MORE_THAN_10}')})", empty_cells=True))
+def rollups_incremental(spark, sf_dir):
+    """Rollups from cells of every year; after one year is replaced, only its cells are made again."""
+    lake = Lake(scratch_folder(spark, "lake"))
+    rows = I.silver(spark, sf_dir, empty_cells=True).drop("Ano").withColumn("year", F.col("ANO_ELEICAO"))
+    rows.write.options(**tables.PARQUET_OPTIONS).partitionBy("year").parquet(lake.silver)
+    years = tables.years_in(spark, lake.silver)
+    cells.refresh(spark, lake, years)
+    start = datetime.now(UTC)
+    kept = tables.write_year(rows.where("year = 1999 AND QT_APTOS > 10").drop("year"), lake.silver, 1999)["rows"]
+    built = audit_log.silver_success(spark, S.SILVER_DATASET, 1999, start, datetime.now(UTC), kept, kept)
+    audit_log.append(built, lake.silver_log)
+    again = cells.refresh(spark, lake, years)
+    stored = tables.read_years(spark, lake.cells, years, S.CELL_SCHEMA)
+    return rounded(rollups.rollups_of_cells(stored)).withColumn("made_again", F.col("Ano").isin(again))
+
+
 _VERSIONS_SQL = " UNION ALL ".join(
     f"SELECT {number} AS version, Ano, count(*) AS n, sum(QT_COMPARECIMENTO)::BIGINT AS comparecimento FROM silver WHERE {rows} GROUP BY Ano"
     for number, rows in ((1, "true"), (2, "Ano <> 1999 OR QT_APTOS > 10"), (3, "(Ano <> 1999 OR QT_APTOS > 10) AND Ano <> 1996"))

@@ -64,19 +64,19 @@ def state_by_year(spark, sf_dir):
     return _states(spark, sf_dir)
 
 
-_FUSED_SQL = f"""SELECT CASE WHEN grouping(SG_UF) = 0 THEN 'state'
+FUSED_SQL = f"""SELECT CASE WHEN grouping(SG_UF) = 0 THEN 'state'
        WHEN grouping(NOME_REGIAO) = 0 THEN 'regional' ELSE 'national' END AS level,
   Ano, NOME_REGIAO, SG_UF, {_TOTALS}, {_MEAN}
 FROM silver GROUP BY GROUPING SETS ((Ano), (Ano, NOME_REGIAO), (Ano, SG_UF))
 HAVING grouping(SG_UF) = 1 OR SG_UF <> 'ZZ'"""
 
 
-@check(I.with_silver(_FUSED_SQL))
+@check(I.with_silver(FUSED_SQL))
 def rollups_fused(spark, sf_dir):
     return rounded(rollups.rollups_fused(I.silver(spark, sf_dir)))
 
 
-@check(I.with_silver(_FUSED_SQL, empty_cells=True))
+@check(I.with_silver(FUSED_SQL, empty_cells=True))
 def rollups_fused_nan_edge(spark, sf_dir):
     return rounded(rollups.rollups_fused(I.silver(spark, sf_dir, empty_cells=True)))
 

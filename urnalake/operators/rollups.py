@@ -69,7 +69,11 @@ def rollups_fused(silver: DataFrame) -> DataFrame:
     Grouping sets straight over silver would expand every row three times; here they run
     over the cells, of which there is at most one per year and state code.
     """
-    cells = rollup_cells(silver)
+    mean = F.try_divide(F.sum("rate_sum"), F.sum("rate_count"))
+    return _rollups_over(rollup_cells(silver), mean)
+
+
+def _rollups_over(cells: DataFrame, mean: Column) -> DataFrame:
     year, region, uf = F.col("Ano"), F.col(S.REGION), F.col("SG_UF")
     level = (
         F.when(F.grouping("SG_UF") == 0, STATE).when(F.grouping(S.REGION) == 0, REGIONAL).otherwise(NATIONAL)
@@ -78,11 +82,43 @@ def rollups_fused(silver: DataFrame) -> DataFrame:
         level.alias("level"),
         F.sum("comparecimento_total").alias("comparecimento_total"),
         F.sum("abstencao_total").alias("abstencao_total"),
-        F.try_divide(F.sum("rate_sum"), F.sum("rate_count")).alias("taxa_comparecimento"),
+        mean.alias("taxa_comparecimento"),
     )
     return fused.where((F.col("level") != STATE) | not_overseas())
 
 
+def stored_cells(silver: DataFrame) -> DataFrame:
+    """Cells that can be kept and merged later: ``CELL_SCHEMA`` and ``Ano``.
+
+    NaN and infinite rates are counted apart, so ``rate_sum`` is finite and adding up cells in any
+    order and any grouping tells the same mean as the rows do.
+    """
+    rate = F.col(S.RATE_TURNOUT)
+    infinity = F.lit(float("inf"))
+    nan, above, below = F.isnan(rate), rate == infinity, rate == -infinity
+    return silver.groupBy("Ano", S.REGION, "SG_UF").agg(
+        *_totals(),
+        F.coalesce(F.sum(F.when(~(nan | above | below), rate)), F.lit(0.0)).alias("rate_sum"),
+        F.count(rate).alias("rate_count"),
+        F.count_if(nan).alias("rate_nan"),
+        F.count_if(above).alias("rate_infinite"),
+        F.count_if(below).alias("rate_negative_infinite"),
+    )
+
+
+def rollups_of_cells(cells: DataFrame) -> DataFrame:
+    """What :func:`rollups_fused` gives for the rows that the stored cells were made of."""
+    nan, above, below = (F.sum(c) > 0 for c in ("rate_nan", "rate_infinite", "rate_negative_infinite"))
+    infinity = F.lit(float("inf"))
+    mean = (
+        F.when(nan | (above & below), F.lit(float("nan")))
+        .when(above, infinity)
+        .when(below, -infinity)
+        .otherwise(F.try_divide(F.sum("rate_sum"), F.sum("rate_count")))
+    )
+    return _rollups_over(cells, mean)
+
+
 def level_of(fused: DataFrame, level: str) -> DataFrame:
     """One of the three rollups back out of the fused form, with that rollup's columns."""
     rows = fused.where(F.col("level") == level)

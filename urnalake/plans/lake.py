@@ -29,6 +29,11 @@ class Lake:
         """Silver rows after the value rules, beside the rows that break one."""
         return self._folder("checked", S.BRONZE_DATASET)
 
+    @property
+    def cells(self) -> str:
+        """Mergeable rollup measures of every silver year."""
+        return self._folder("cells", S.BRONZE_DATASET)
+
     @property
     def bronze_log(self) -> str:
         return self._folder("audit", "bronze")

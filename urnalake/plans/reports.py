@@ -60,7 +60,12 @@ def report_of(
     is scanned once however many parts of the report are shown. A lost executor only means
     that Spark computes the missing part again.
     """
-    fused = rollups.rollups_fused(selection.choose_years(silver, years)).cache()
+    return report_of_rollups(rollups.rollups_fused(selection.choose_years(silver, years)), years, regions)
+
+
+def report_of_rollups(rows: DataFrame, years: list[int], regions: tuple[str, ...] = S.REPORT_REGIONS) -> Report:
+    """Report over the three rollups in fused form, of ``years`` alone."""
+    fused = rows.cache()
     return Report(
         national=rollups.level_of(fused, rollups.NATIONAL),
         regional=rollups.level_of(fused, rollups.REGIONAL),

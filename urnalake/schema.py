@@ -138,6 +138,14 @@ SILVER_AUDIT_SCHEMA = T.StructType(
     + _AUDIT_END
 )
 
+# Mergeable measures of one region and state of a year; rate_sum leaves out NaN and infinite rates.
+CELL_SCHEMA = T.StructType(
+    [T.StructField(REGION, T.StringType()), T.StructField("SG_UF", T.StringType())]
+    + [T.StructField(c, T.LongType()) for c in ("comparecimento_total", "abstencao_total")]
+    + [T.StructField("rate_sum", T.DoubleType())]
+    + [T.StructField(c, T.LongType()) for c in ("rate_count", "rate_nan", "rate_infinite", "rate_negative_infinite")]
+)
+
 INTEGER_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 DECIMAL_TYPES = (T.FloatType, T.DoubleType)
 TEXT_TYPES = (T.StringType,)
