@@ -19,6 +19,7 @@ from urnalake.checks.quality_checks import _SILVER_RULES
 from urnalake.checks.silver_checks import _LANDED, _SQL_TYPES, _nullified, _sample_sql
 from urnalake.operators import audit, rollups
 from urnalake.operators.ranking import exact_sample
+from urnalake.operators.union import unite
 from urnalake.plans import bronze as bronze_plan
 from urnalake.plans import cells, checked
 from urnalake.plans import silver as silver_plan
@@ -26,7 +27,7 @@ from urnalake.plans.lake import Lake
 from urnalake.plans.reports import report_of
 from urnalake.plans.years import run_years
 from urnalake.session import scratch_folder
-from urnalake.sources import archives, audit_log, files, landed_csv, tables, versions
+from urnalake.sources import archives, audit_log, encodings, files, landed_csv, tables, versions
 from urnalake.streaming.bronze import load_new_files
 
 _TYPED_SQL = ", ".join(
@@ -72,6 +73,24 @@ def csv_multiline(spark, sf_dir):
     return landed_csv.typed(landed_csv.read_landed(spark, folder, multi_line=True, range_bytes=100_000))
 
 
+@check(
+    I.with_landed(
+        f"""SELECT * REPLACE ('São João ' || NM_MUNICIPIO AS NM_MUNICIPIO) FROM (SELECT {_TYPED_SQL} FROM landed)
+        WHERE NM_MUNICIPIO IS NOT NULL"""
+    )
+)
+def csv_encodings(spark, sf_dir):
+    """A folder of files in two encodings, each read by the one its bytes tell."""
+    folder = scratch_folder(spark, "csv")
+    rows = landed_csv.nullify_tokens(I.landed(spark, sf_dir)).where("NM_MUNICIPIO IS NOT NULL")
+    rows = rows.withColumn("NM_MUNICIPIO", F.concat(F.lit("São João "), "NM_MUNICIPIO"))
+    for odd, encoding in enumerate((encodings.UTF_8, encodings.LATIN_1)):
+        half = rows.where(F.col("CD_MUNICIPIO") % 2 == odd).write.options(sep=S.CSV_SEPARATOR, header="true")
+        half.option("encoding", encoding).csv(f"{folder}/half={odd}")
+    chosen = encodings.files_by_encoding(spark, [folder], range_bytes=100_000)
+    return landed_csv.typed(landed_csv.read_landed(spark, folder, chosen))
+
+
 def _table_of_years(spark, sf_dir: str) -> str:
     root = scratch_folder(spark, "silver")
     rows = I.silver(spark, sf_dir).drop("Ano").withColumn("year", F.col("ANO_ELEICAO"))
@@ -358,6 +377,25 @@ def lake_skip(spark, sf_dir):
     )
 
 
+@check(
+    I.with_bronze(
+        """SELECT ANO_ELEICAO AS Ano, CAST(CD_MUNICIPIO AS BIGINT) AS CD_MUNICIPIO,
+  CAST(QT_COMPARECIMENTO AS DOUBLE) AS QT_COMPARECIMENTO, CAST(QT_ABSTENCAO AS DECIMAL(21,2)) AS QT_ABSTENCAO FROM bronze"""
+    )
+)
+def years_of_other_types(spark, sf_dir):
+    """Yearly tables with counts as int, long, double and decimal, united without loss."""
+    root = scratch_folder(spark, "types")
+    rows = I.bronze(spark, sf_dir).withColumn("CD_MUNICIPIO", F.col("CD_MUNICIPIO").cast("int"))
+    kinds = [("int", "int", "int"), ("bigint", "bigint", "bigint"), ("bigint", "double", "decimal(7,2)")]
+    years = sorted(r["ANO_ELEICAO"] for r in rows.select("ANO_ELEICAO").distinct().collect())
+    for place, year in enumerate(years):
+        types = zip(("CD_MUNICIPIO", "QT_COMPARECIMENTO", "QT_ABSTENCAO"), kinds[place % 3], strict=True)
+        cast = rows.where(F.col("ANO_ELEICAO") == year).select(*[F.col(c).cast(t) for c, t in types])
+        tables.write_year(cast, root, year)
+    return tables.read_years_in_full(spark, root, years).drop("year")
+
+
 _MORE_THAN_10 = "(SELECT * FROM silver WHERE Ano <> 1999 OR QT_APTOS > 10) AS silver"
 
 
@@ -435,7 +473,7 @@ def quarantine(spark, sf_dir):
     rules = [rule for rule in S.silver_rules() if rule.field != "ANO_ELEICAO"]
     run_years(lambda y: checked.write_checked_year(rows.where(F.col("Ano") == y), root, y, rules), years)
     layers = [
-        tables.union_loose([tables.read_year(spark, checked.layer(root, name), y) for y in tables.years_in(spark, checked.layer(root, name))])
+        unite([tables.read_year(spark, checked.layer(root, name), y) for y in tables.years_in(spark, checked.layer(root, name))])
         .withColumn("layer", F.lit(name))
         for name in (checked.TABLE, checked.QUARANTINE)
     ]

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from urnalake import schema as S
+from urnalake.operators.union import unite
 
 KEY = ("dataset", "ano")
 
@@ -33,8 +34,8 @@ def listing(log: DataFrame) -> DataFrame:
 
 
 def evolve(log: DataFrame, newer: DataFrame) -> DataFrame:
-    """Rows of both logs with the columns of both; the ones a log lacks are NULL."""
-    return log.unionByName(newer, allowMissingColumns=True)
+    """Rows of both logs with the columns of both; the ones a log lacks are NULL, types are widened."""
+    return unite([log, newer])
 
 
 def with_duration(df: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import UTC, datetime
@@ -15,7 +16,7 @@ from urnalake.operators import audit
 from urnalake.operators.quality import require_contract
 from urnalake.plans.lake import Lake
 from urnalake.plans.years import run_years
-from urnalake.sources import archives, audit_log, files, landed_csv, manifest, tables
+from urnalake.sources import archives, audit_log, encodings, files, landed_csv, manifest, tables
 
 
 @dataclass
@@ -26,13 +27,14 @@ class Loaded:
     malformed: int
     size_bytes: int
     checksum: str
+    encoding: str
 
 
 def bronze_frame(
     spark: SparkSession,
     path: str,
     source: str,
-    encoding: str = "UTF-8",
+    encoding: str | Mapping[str, Sequence[str]] = "UTF-8",
     input_bytes: int | None = None,
     malformed: Observation | None = None,
     multi_line: bool = False,
@@ -47,13 +49,17 @@ def bronze_frame(
 
 def _write(
     spark: SparkSession, lake: Lake, path: str, size_bytes: int, year: int, encoding: str, multi_line: bool
-) -> tuple[int, int]:
-    """(rows, malformed lines), both counted by the write itself."""
+) -> tuple[int, int, str]:
+    """(rows, malformed lines, encoding), the first two counted by the write itself.
+
+    With :data:`encodings.PER_FILE` the files are judged first, in a pass of its own over their bytes.
+    """
     source = f"{S.SOURCE_PREFIX}:{S.BRONZE_DATASET}:{year}"
     malformed = Observation()
-    frame = bronze_frame(spark, path, source, encoding, size_bytes, malformed, multi_line)
+    chosen = encodings.files_by_encoding(spark, [path]) if encoding == encodings.PER_FILE else encoding
+    frame = bronze_frame(spark, path, source, chosen, size_bytes, malformed, multi_line)
     rows = tables.write_year(frame, lake.bronze, year)["rows"]
-    return rows, malformed.get["malformed"]
+    return rows, malformed.get["malformed"], chosen if isinstance(chosen, str) else encodings.summary(chosen)
 
 
 def _load_archives(
@@ -67,8 +73,8 @@ def _load_archives(
     folder = f"{lake.landing}/year={year}/{uuid.uuid4().hex}"
     landed = archives.land_archives(spark, found, folder).select("size_bytes", "sha256")
     whole = files.folder_digest(landed).first()
-    rows, malformed = _write(spark, lake, folder, whole["size_bytes"], year, encoding, multi_line)
-    return Loaded(rows, malformed, whole["size_bytes"], whole["sha256"])
+    rows, malformed, used = _write(spark, lake, folder, whole["size_bytes"], year, encoding, multi_line)
+    return Loaded(rows, malformed, whole["size_bytes"], whole["sha256"], used)
 
 
 def _load_files(
@@ -83,8 +89,8 @@ def _load_files(
     size_bytes = listed.agg(F.sum("length")).first()[0] or 0
     with ThreadPoolExecutor(max_workers=1) as pool:
         digest = pool.submit(lambda: files.folder_digest(files.digests(listed)).first())
-        rows, malformed = _write(spark, lake, origin, size_bytes, year, encoding, multi_line)
-    return Loaded(rows, malformed, size_bytes, digest.result()["sha256"])
+        rows, malformed, used = _write(spark, lake, origin, size_bytes, year, encoding, multi_line)
+    return Loaded(rows, malformed, size_bytes, digest.result()["sha256"], used)
 
 
 def ingest_year(
@@ -105,7 +111,7 @@ def ingest_year(
         raise
     success = audit_log.bronze_success(
         spark, S.BRONZE_DATASET, year, start, datetime.now(UTC),
-        done.rows, done.size_bytes, done.checksum, done.malformed,
+        done.rows, done.size_bytes, done.checksum, done.malformed, encoding=done.encoding,
     )
     audit_log.append(success, lake.bronze_log)
     return done.rows

@@ -12,6 +12,7 @@ from urnalake.functions.casting import quoted
 from urnalake.operators import audit
 from urnalake.operators.quality import require_schema
 from urnalake.operators.silver import to_silver
+from urnalake.operators.union import unite
 from urnalake.plans.lake import Lake
 from urnalake.plans.years import run_years
 from urnalake.sources import audit_log, tables
@@ -33,10 +34,10 @@ def build_silver_year(spark: SparkSession, lake: Lake, year: int) -> tuple[int,
     start = datetime.now(UTC)
     try:
         parts = tables.year_parts(spark, lake.bronze, year)
-        bronze = tables.union_loose(parts)
+        bronze = unite(parts)
         rows_before = bronze.count()
         # A column that a part of the year was never loaded with is no reason to remove its rows.
-        silver = tables.union_loose([silver_frame(part) for part in parts])
+        silver = unite([silver_frame(part) for part in parts])
         silver = silver.select(*map(quoted, [*bronze.columns, *(c for c in silver.columns if c not in bronze.columns)]))
         rows_after = tables.write_year(silver, lake.silver, year)["rows"]
     except Exception as error:

@@ -124,6 +124,8 @@ BRONZE_AUDIT_SCHEMA = T.StructType(
         T.StructField("linhas_malformadas", T.LongType()),
         # KIND_BATCH for a batch of the stream; NULL for the load of a year.
         T.StructField("carga", T.StringType()),
+        # The encoding, or how many files had which; older log files have no such column.
+        T.StructField("codificacao", T.StringType()),
     ]
     + _AUDIT_END
 )

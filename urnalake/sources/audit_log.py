@@ -51,11 +51,13 @@ def append(row: DataFrame, root: str) -> None:
     row.write.parquet(f"{root.rstrip('/')}/run_id={uuid.uuid4().hex}")
 
 
-def bronze_success(spark, dataset, year, start, end, rows, size_bytes, checksum, malformed=None, kind=None) -> DataFrame:
+def bronze_success(
+    spark, dataset, year, start, end, rows, size_bytes, checksum, malformed=None, kind=None, encoding=None
+) -> DataFrame:
     return record(
         spark, S.BRONZE_AUDIT_SCHEMA, dataset, year, start, end,
         status=S.STATUS_OK, linhas=rows, tamanho_bytes=size_bytes, checksum=checksum,
-        linhas_malformadas=malformed, carga=kind, erro=None,
+        linhas_malformadas=malformed, carga=kind, codificacao=encoding, erro=None,
     )
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from urnalake import schema as S
 from urnalake.functions.casting import cast_by_name, nullify_tokens, quoted
-from urnalake.sources import quoted_csv
+from urnalake.sources import encodings, quoted_csv
 
 CORRUPT = "__malformed_line"
 _TARGET_TEXT_BYTES = 1 << 30
@@ -34,7 +34,7 @@ def csv_options(encoding: str = "UTF-8") -> dict[str, str]:
 def read_landed(
     spark: SparkSession,
     paths: str | Sequence[str],
-    encoding: str = "UTF-8",
+    encoding: str | Mapping[str, Sequence[str]] = "UTF-8",
     keep_malformed: bool = False,
     malformed: Observation | None = None,
     multi_line: bool = False,
@@ -47,20 +47,24 @@ def read_landed(
     counts the former as ``malformed`` while the rows are used. With ``keep_malformed`` the text
     of both kinds is kept in an extra column instead. ``multi_line`` allows line breaks inside
     quotes: files are read twice then, in ranges of ``range_bytes`` that tasks share.
+
+    With :data:`encodings.PER_FILE` each file is read by the encoding its bytes tell; files by
+    encoding, as :func:`encodings.files_by_encoding` gives them, are taken in place of ``paths``.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    options = csv_options(encoding) | {"recursiveFileLookup": "true", "multiLine": str(multi_line).lower()}
-    names = spark.read.options(**options).csv(paths).columns
-    if not names:
+    if encoding == encodings.PER_FILE:
+        encoding = encodings.files_by_encoding(spark, paths)
+    groups = {encoding: paths} if isinstance(encoding, str) else dict(encoding)
+    headers = {e: _header(spark, found, e, multi_line) for e, found in groups.items()}
+    names = next(iter(headers.values()), [])
+    if not all(headers.values()) or not names:
         raise ValueError(f"no header line in {', '.join(paths)}")
-    layout = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
-    options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    if multi_line:
-        records = quoted_csv.records(spark, paths, names, S.CSV_SEPARATOR, encoding, range_bytes)
-        ddl = ", ".join("`" + name.replace("`", "``") + "` string" for name in layout.names)
-        lines = records.select(F.from_csv("record", ddl, options | {"header": "false"}).alias("row")).select("row.*")
-    else:
-        lines = spark.read.options(**options).schema(layout).csv(paths)
+    if any(header != names for header in headers.values()):
+        raise ValueError(f"the header differs between files of different encodings: {headers}")
+    parts = [_lines(spark, found, names, e, multi_line, range_bytes) for e, found in groups.items()]
+    lines = parts[0]
+    for part in parts[1:]:
+        lines = lines.unionByName(part)
     if malformed is not None:
         # The first field is counted as well: no CSV query may use the malformed text alone.
         counts = [F.count(CORRUPT).alias("malformed"), F.count(quoted(names[0])).alias("first_fields")]
@@ -68,6 +72,27 @@ def read_landed(
     return lines if keep_malformed else reject_long_lines(lines, names)
 
 
+def _reader_options(encoding: str, multi_line: bool) -> dict[str, str]:
+    return csv_options(encoding) | {"recursiveFileLookup": "true", "multiLine": str(multi_line).lower()}
+
+
+def _header(spark: SparkSession, paths: Sequence[str], encoding: str, multi_line: bool) -> list[str]:
+    return spark.read.options(**_reader_options(encoding, multi_line)).csv(list(paths)).columns
+
+
+def _lines(
+    spark: SparkSession, paths: Sequence[str], names: Sequence[str], encoding: str, multi_line: bool, range_bytes: int
+) -> DataFrame:
+    """Landed columns and the text of malformed lines, of files of one encoding."""
+    layout = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
+    options = _reader_options(encoding, multi_line) | {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    if not multi_line:
+        return spark.read.options(**options).schema(layout).csv(list(paths))
+    records = quoted_csv.records(spark, list(paths), names, S.CSV_SEPARATOR, encoding, range_bytes)
+    ddl = ", ".join("`" + name.replace("`", "``") + "` string" for name in layout.names)
+    return records.select(F.from_csv("record", ddl, options | {"header": "false"}).alias("row")).select("row.*")
+
+
 def reject_long_lines(lines: DataFrame, names: Sequence[str]) -> DataFrame:
     """Fail on lines with more fields than the header; shorter ones stay padded with NULL.
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from urnalake import schema as S
 from urnalake.functions.casting import cast_by_name
+from urnalake.operators.union import unite
 from urnalake.sources.files import hadoop_path, path_exists
 
 PARQUET_OPTIONS = {"compression": "zstd", "parquet.compression.codec.zstd.level": "3"}
@@ -88,7 +89,7 @@ def years_frame(spark: SparkSession, years: list[int]) -> DataFrame:
 
 def read_year(spark: SparkSession, root: str, year: int) -> DataFrame:
     """One year of a table without the partition column; a column only some files have is NULL in the others."""
-    return union_loose(year_parts(spark, root, year))
+    return unite(year_parts(spark, root, year))
 
 
 def year_parts(spark: SparkSession, root: str, year: int) -> list[DataFrame]:
@@ -116,14 +117,6 @@ def _same_columns(name: str) -> str:
     return re.sub(r"-\d{12}-part-.*", f"-{'?' * 12}-part-*", name)
 
 
-def union_loose(frames: list[DataFrame]) -> DataFrame:
-    """UNION ALL by name; a column that a frame lacks is NULL in its rows."""
-    result = frames[0]
-    for frame in frames[1:]:
-        result = result.unionByName(frame, allowMissingColumns=True)
-    return result
-
-
 def read_years(
     spark: SparkSession, root: str, years: list[int], layout: T.StructType = S.SILVER_SCHEMA
 ) -> DataFrame:
@@ -143,6 +136,9 @@ def read_years(
 def read_years_in_full(spark: SparkSession, root: str, years: list[int]) -> DataFrame:
     """Like ``read_years`` with all columns; a column only some years have is NULL in the others.
 
+    Years that have a column in different types are united in one that holds the values of all, see
+    :func:`unite`.
+
     One footer tells the columns of all files that :func:`year_parts` puts together. Merging the
     schema of every file would open them all.
     """
@@ -152,7 +148,7 @@ def read_years_in_full(spark: SparkSession, root: str, years: list[int]) -> Data
     frames = [
         read_year(spark, root, y).withColumns({"year": F.lit(y), "Ano": F.lit(y)}) for y in present
     ]
-    return union_loose(frames)
+    return unite(frames)
 
 
 def union_years(frames: list[DataFrame]) -> DataFrame:
