@@ -2,10 +2,11 @@ import random
 
 import pytest
 from helpers import HEADER, write_text
+from pyspark.sql import functions as F
 
 from urnalake import schema as S
 from urnalake.plans.bronze import bronze_frame
-from urnalake.sources import landed_csv, quoted_csv
+from urnalake.sources import files, landed_csv, quoted_csv
 
 LINE = "2022;12345;Recife;PE;1000;800;200"
 
@@ -193,3 +194,66 @@ def test_quoted_files_with_other_headers_or_short_lines(spark, tmp_path):
     write_text(tmp_path / "b.csv", "B;A", "1;2")
     with pytest.raises(Exception, match="header"):
         landed_csv.read_landed(spark, str(tmp_path), multi_line=True).collect()
+
+
+def test_ranges_are_many_tasks_work(spark, tmp_path):
+    """Rows that name ranges are small, so adaptive execution would merge them into one task."""
+    write_text(tmp_path / "a.csv", "A;B", *['"x\ny";1'] * 2000)
+    listed = files.list_files(spark, str(tmp_path))
+    dealt = files.byte_ranges(listed, 100).select(F.spark_partition_id().alias("task")).distinct()
+    assert dealt.count() > 4
+    rows = landed_csv.read_landed(spark, str(tmp_path), multi_line=True, range_bytes=100)
+    assert rows.count() == 2000
+    assert rows.select(F.spark_partition_id().alias("task")).distinct().count() > 4
+
+
+def test_tasks_go_with_the_bytes_of_the_ranges(spark):
+    def tasks(*lengths, range_bytes=1 << 20):
+        return files.range_tasks(spark.createDataFrame([(str(n), n) for n in lengths], "path string, length bigint"), range_bytes)
+
+    assert tasks() == 1
+    assert tasks(0, 0, 5) == 3
+    assert tasks(4 << 20) == 4
+    assert tasks(1 << 40, 64 << 30) == (1 << 14) + (1 << 10)
+    assert tasks(1 << 40, range_bytes=1 << 30) == 1 << 10
+
+
+def test_little_is_read_behind_a_range(tmp_path, monkeypatch):
+    """The end of a range's last record is looked for step by step, not in a megabyte."""
+    path = write_text(tmp_path / "a.csv", *['"x\ny";1'] * 20_000, '"' + "\n" * 70_000 + '";2', "z;3")
+    data, size, scanned = (tmp_path / "a.csv").read_bytes(), 20_000, []
+    scan = quoted_csv.scan
+    monkeypatch.setattr(quoted_csv, "scan", lambda piece, *args: scanned.append(len(piece)) or scan(piece, *args))
+    found, state = [], quoted_csv.NEW
+    for number, start in enumerate(range(0, len(data), size)):
+        found += quoted_csv._range_records(f"file:{path}", number, start, len(data[start : start + size]), state, b";")
+        state = scan(data[start : start + size], state, b";")
+    assert [r for r in found if r] == [b'"x\ny";1'] * 20_000 + [b'"' + b"\n" * 70_000 + b'";2', b"z;3"]
+    assert sum(scanned) < 2 * len(data)
+
+
+def test_scan_equals_one_byte_at_a_time(monkeypatch):
+    def slow(data, state, breaks):
+        for at, byte in enumerate(data):
+            sign, quoted = byte == ord('"'), state == quoted_csv.QUOTED
+            if quoted or (sign and state in (quoted_csv.NEW, quoted_csv.QUOTE)):
+                state = quoted_csv.QUOTE if quoted and sign else quoted_csv.QUOTED
+            else:
+                breaks += [at] if byte == ord("\n") else []
+                state = quoted_csv.NEW if byte in b"\n;" else quoted_csv.PLAIN
+        return state
+
+    rng = random.Random(5)
+    for _ in range(4000):
+        monkeypatch.setattr(files, "CHUNK", rng.choice([1, 3, 1 << 20]))
+        data = "".join(rng.choice('""";\na') for _ in range(rng.randint(0, 25))).encode()
+        for state in (quoted_csv.NEW, quoted_csv.PLAIN, quoted_csv.QUOTED, quoted_csv.QUOTE):
+            expected, got = [], []
+            assert quoted_csv.scan(data, state, b";", got) == slow(data, state, expected)
+            assert got == expected
+
+
+def test_records_are_parsed_once(spark, tmp_path, capsys):
+    write_text(tmp_path / "a.csv", "A;B", '"x\ny";1')
+    landed_csv.read_landed(spark, str(tmp_path), multi_line=True).where("A > 'a'").explain("formatted")
+    assert capsys.readouterr().out.count("from_csv(") == 1

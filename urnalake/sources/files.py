@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 import sys
 from collections.abc import Iterator
@@ -9,7 +10,7 @@ from typing import BinaryIO
 from urllib.parse import unquote
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHUNK = 1 << 20
@@ -78,18 +79,37 @@ RANGE_BYTES = 8 << 20
 FANOUT = 1024
 
 
-def byte_ranges(files: DataFrame, range_bytes: int) -> DataFrame:
+#: Bytes that tasks are dealt in ranges, but for ranges that are longer.
+TASK_BYTES = 64 << 20
+
+
+def _last(range_bytes: int) -> Column:
+    return F.greatest(F.ceil(F.col("length") / range_bytes) - 1, F.lit(0))
+
+
+def range_tasks(files: DataFrame, range_bytes: int) -> int:
+    """Tasks that the ranges of the files in (path, length) are dealt to.
+
+    It goes with the bytes behind the ranges. Adaptive execution would go by the few bytes of the rows
+    that name them, and merge them into one task.
+    """
+    size, ranges = files.agg(F.sum("length"), F.sum(_last(range_bytes) + 1)).first()
+    wanted = max(files.sparkSession.sparkContext.defaultParallelism, math.ceil((size or 0) / TASK_BYTES))
+    return max(min(wanted, ranges or 0), 1)
+
+
+def byte_ranges(files: DataFrame, range_bytes: int, tasks: int | None = None) -> DataFrame:
     """(path, length, last, number, start, size): files of (path, length) cut into ranges, in any order.
 
-    An empty file is one empty range. Ranges are dealt to tasks one by one, so one large file is
-    as many tasks' work as many small ones.
+    An empty file is one empty range. Ranges are dealt to ``tasks`` one by one, else to as many as
+    :func:`range_tasks` says, so one large file is as many tasks' work as many small ones.
     """
-    last = F.greatest(F.ceil(F.col("length") / range_bytes) - 1, F.lit(0))
-    files = files.select("path", "length", last.alias("last"))
+    tasks = tasks or range_tasks(files, range_bytes)
+    files = files.select("path", "length", _last(range_bytes).alias("last"))
     cut = files.withColumn("number", F.explode(F.sequence(F.lit(0).cast("long"), "last")))
     start = F.col("number") * range_bytes
     dealt = cut.withColumn("start", start).withColumn("size", F.least(F.lit(range_bytes), F.col("length") - start))
-    return dealt.repartition("path", "number")
+    return dealt.repartition(tasks, "path", "number")
 
 
 def range_digests(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:

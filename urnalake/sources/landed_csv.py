@@ -90,7 +90,8 @@ def _lines(
         return spark.read.options(**options).schema(layout).csv(list(paths))
     records = quoted_csv.records(spark, list(paths), names, S.CSV_SEPARATOR, encoding, range_bytes)
     ddl = ", ".join("`" + name.replace("`", "``") + "` string" for name in layout.names)
-    return records.select(F.from_csv("record", ddl, options | {"header": "false"}).alias("row")).select("row.*")
+    # Behind a generator a record is parsed once; a plain column would be again in every filter on its fields.
+    return records.select(F.inline(F.array(F.from_csv("record", ddl, options | {"header": "false"}))))
 
 
 def reject_long_lines(lines: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import csv
 import io
-import re
 import sys
 from collections.abc import Iterator, Sequence
 
@@ -24,6 +23,8 @@ from urnalake.sources import files
 RANGE_BYTES = 32 << 20
 #: Records handed on at a time.
 _AT_A_TIME = 5000
+#: Bytes first read behind a range for the end of its last record; doubled until that is found.
+_BEYOND = 4 << 10
 
 #: What may come next: a new field, more of a plain field, more of a quoted one, or, behind a
 #: quote sign in a quoted field, either a second one or the field's end.
@@ -35,30 +36,43 @@ def scan(data: bytes, state: int, separator: bytes, breaks: list[int] | None = N
 
     A quote sign opens a quoted field at its beginning only, and is doubled inside.
     """
-    at, end = 0, len(data)
-    opening = re.compile(rb'[\n' + re.escape(separator) + rb']"')
-    while at < end:
-        if state == QUOTED:
-            quote = data.find(b'"', at)
-            if quote < 0:
-                return QUOTED
-            at, state = quote + 1, QUOTE
-            continue
-        if data[at : at + 1] == b'"' and state in (NEW, QUOTE):
-            at, state = at + 1, QUOTED
-            continue
-        found = opening.search(data, at)
-        stop = found.end() - 1 if found else end
-        if breaks is not None:
-            line = data.find(b"\n", at, stop)
-            while line >= 0:
-                breaks.append(line)
-                line = data.find(b"\n", line + 1, stop)
-        state = NEW if data[stop - 1 : stop] in (b"\n", separator) else PLAIN
-        at = stop
+    for at in range(0, len(data), files.CHUNK):
+        state = _scan_piece(data[at : at + files.CHUNK], at, state, separator[0], breaks)
     return state
 
 
+def _scan_piece(data: bytes, offset: int, state: int, separator: int, breaks: list[int] | None) -> int:
+    """As :func:`scan`, of the bytes at ``offset``, by runs of quote signs.
+
+    Of a run inside quotes, pairs are signs of the text, and a sign left over ends the field. Outside of
+    quotes a run at a field's beginning opens the field and then counts alike, and others are plain text.
+    So an odd run at a beginning changes sides, any other odd run leads outside, and even ones change nothing.
+    """
+    import numpy as np
+
+    codes = np.frombuffer(data, np.uint8)
+    quotes = np.flatnonzero(codes == ord('"'))
+    first = np.flatnonzero(np.diff(quotes, prepend=-2) > 1)
+    odd = np.diff(first, append=len(quotes)) % 2 == 1
+    before = codes[quotes[first] - 1]
+    opens = (before == separator) | (before == ord("\n"))
+    if data.startswith(b'"'):  # there is no byte before the first run
+        opens[0] = state in (NEW, QUOTE)
+    # Whether the bytes behind so many runs are inside quotes: by the changes since the last run that led outside.
+    changes = np.cumsum(np.append(state == QUOTED, odd & opens))
+    left = np.maximum.accumulate(np.append(0, np.where(odd & ~opens, np.arange(1, len(first) + 1), 0)))
+    inside = (changes - np.where(left > 0, changes[left], 0)) % 2 == 1
+    if breaks is not None:
+        lines = np.flatnonzero(codes == ord("\n"))
+        outside = ~inside[np.searchsorted(quotes[first], lines)]
+        breaks.extend((lines[outside] + offset).tolist())
+    if inside[-1]:
+        return QUOTED
+    if data.endswith(b'"'):
+        return QUOTE if opens[-1] or inside[-2] else PLAIN
+    return NEW if data[-1] in (separator, ord("\n")) else PLAIN
+
+
 def _read(path: str, start: int, size: int) -> bytes:
     filesystem, inside = files.open_filesystem(path)
     with filesystem.open_input_file(inside) as file:
@@ -70,17 +84,16 @@ def _ends(ranges: DataFrame, separator: bytes) -> DataFrame:
     """(path, number, start, size, ends): the state each range ends in, from each it may begin in."""
 
     def run(batches):
-        import pandas as pd
-
         for batch in batches:
-            for path, number, start, size in zip(*(batch[c] for c in ("path", "number", "start", "size")), strict=True):
+            ends = []
+            for path, start, size in zip(*(batch[c] for c in ("path", "start", "size")), strict=True):
                 data = _read(path, start, size)
                 if data.startswith(b'"'):
-                    ends = [scan(data, state, separator) for state in (NEW, PLAIN, QUOTED, QUOTE)]
+                    ends.append([scan(data, state, separator) for state in (NEW, PLAIN, QUOTED, QUOTE)])
                 else:  # the first byte tells all states outside of quotes alike
                     plain = scan(data, PLAIN, separator)
-                    ends = [plain, plain, scan(data, QUOTED, separator), plain]
-                yield pd.DataFrame({"path": [path], "number": [number], "start": [start], "size": [size], "ends": [ends]})
+                    ends.append([plain, plain, scan(data, QUOTED, separator), plain])
+            yield batch.assign(ends=ends)
 
     return ranges.select("path", "number", "start", "size").mapInPandas(
         run, "path string, number bigint, start bigint, size bigint, ends array<int>"
@@ -103,22 +116,25 @@ def _begun(ends: DataFrame) -> DataFrame:
 
 def _range_records(path: str, number: int, start: int, size: int, state: int, separator: bytes) -> Iterator[bytes]:
     """The records that begin behind a line break of the range, or with the file."""
-    data = _read(path, start, size)
-    breaks: list[int] = []
-    state = scan(data, state, separator, breaks)
-    begins = ([0] if number == 0 else []) + [b + 1 for b in breaks]
-    for begin, stop in zip(begins, breaks if number == 0 else breaks[1:], strict=False):
-        yield data[begin:stop]
-    if begins:
-        rest, at = [data[begins[-1] :]], start + len(data)
-        while block := _read(path, at, files.CHUNK):
-            breaks = []
-            state = scan(block, state, separator, breaks)
-            rest.append(block[: breaks[0]] if breaks else block)
-            if breaks:
-                break
-            at += len(block)
-        yield b"".join(rest)
+    filesystem, inside = files.open_filesystem(path)
+    with filesystem.open_input_file(inside) as file:
+        file.seek(start)
+        data = file.read(size)
+        breaks: list[int] = []
+        state = scan(data, state, separator, breaks)
+        begins = ([0] if number == 0 else []) + [b + 1 for b in breaks]
+        for begin, stop in zip(begins, breaks if number == 0 else breaks[1:], strict=False):
+            yield data[begin:stop]
+        if begins:
+            rest, beyond = [data[begins[-1] :]], _BEYOND
+            while block := file.read(beyond):
+                breaks = []
+                state = scan(block, state, separator, breaks)
+                rest.append(block[: breaks[0]] if breaks else block)
+                if breaks:
+                    break
+                beyond = min(2 * beyond, files.CHUNK)
+            yield b"".join(rest)
 
 
 def records(
@@ -134,9 +150,10 @@ def records(
     def run(batches):
         import pandas as pd
 
+        held = []  # ranges may be shorter than what is handed on
         for batch in batches:
             for row in batch.itertuples(index=False):
-                held, first = [], row.number == 0
+                first = row.number == 0
                 for raw in _range_records(row.path, row.number, row.start, row.size, row.state, sign):
                     raw = raw.removesuffix(b"\r")
                     if not raw.strip():
@@ -152,12 +169,13 @@ def records(
                     if len(held) == _AT_A_TIME:
                         yield pd.DataFrame({"record": held})
                         held = []
-                if held:
-                    yield pd.DataFrame({"record": held})
+        if held:
+            yield pd.DataFrame({"record": held})
 
     listed = files.list_files(spark, list(paths)).where("length > 0")
-    begun = _begun(_ends(files.byte_ranges(listed, range_bytes), sign))
-    return begun.repartition("path", "number").mapInPandas(run, "record string")
+    tasks = files.range_tasks(listed, range_bytes)
+    begun = _begun(_ends(files.byte_ranges(listed, range_bytes, tasks), sign))
+    return begun.repartition(tasks, "path", "number").mapInPandas(run, "record string")
 
 
 # Tasks carry this module with them, as they do the one that opens files.
